@@ -169,3 +169,58 @@ def words(data: np.ndarray, offs: np.ndarray, seps: np.ndarray = _SEPS, byte: np
 
 def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+# ---------------------------------------------------------------- "seen twice" bitmaps of fixed size
+SEEN_BITS, FREQ_BITS = 27, 24
+
+
+def bucket_count(spark: SparkSession) -> int:
+    return min(1 << 16, max(256, pow2_at_least(2 * shuffle_partitions(spark))))
+
+
+def bucket_blobs(e: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Sorted 64-bit entries as one packed array for each range of their leading bits."""
+    edges = np.arange(buckets, dtype=np.uint64) << U64(65 - buckets.bit_length())
+    at = [*np.searchsorted(e, edges).tolist(), len(e)]
+    ks = [k for k in range(buckets) if at[k] < at[k + 1]]
+    return pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array([e[at[k] : at[k + 1]].tobytes() for k in ks], pa.binary())], ["bucket", "blob"])
+
+
+def _bits_of(buckets: int, rare_df: int):
+    def run(key, group):
+        import pandas as pd
+
+        bucket = int(key[0])
+        v = np.sort(np.concatenate([np.frombuffer(b, U64) for b in group["blob"]]))
+        tok = v >> U64(16)
+        seen = np.zeros((1 << SEEN_BITS) // buckets, bool)
+        twice = tok[1:][tok[1:] == tok[:-1]]
+        seen[(twice >> U64(48 - SEEN_BITS)).astype(np.int64) - bucket * len(seen)] = True
+        freq = np.zeros((1 << FREQ_BITS) // buckets, bool)
+        if rare_df:
+            tok = np.unique(v) >> U64(16)
+            at = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
+            often = tok[at[np.diff(np.append(at, len(tok))) > rare_df]]
+            freq[(often >> U64(48 - FREQ_BITS)).astype(np.int64) - bucket * len(freq)] = True
+        return pd.DataFrame({"bucket": [bucket], "seen": [np.packbits(seen).tobytes()], "freq": [np.packbits(freq).tobytes()]})
+
+    return run
+
+
+def class_bitmaps(blobs: DataFrame, buckets: int, rare_df: int = 0) -> tuple[bytes, bytes]:
+    """Bitmaps by the leading bits of 64-bit entries (48 bits of token, 16 of owner): tokens that
+    occur twice, and tokens with more than rare_df owners. The tokens of one bucket meet in one
+    task, at most one array from each map task; the driver gets 2**27 + 2**24 bits, whatever the input."""
+    rows = blobs.groupBy("bucket").applyInPandas(_bits_of(buckets, rare_df), "bucket int, seen binary, freq binary").collect()
+    seen, freq = bytearray((1 << SEEN_BITS) // 8), bytearray((1 << FREQ_BITS) // 8)
+    for r in rows:
+        for whole, part in ((seen, r["seen"]), (freq, r["freq"])):
+            whole[r["bucket"] * len(part) : (r["bucket"] + 1) * len(part)] = part
+    return bytes(seen), bytes(freq)
+
+
+def bit(bits: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The bit of each entry in a bitmap over its n leading bits."""
+    i = v >> U64(64 - n)
+    return (bits[(i >> U64(3)).astype(np.int64)] >> (U64(7) - (i & U64(7))).astype(np.uint8)) & np.uint8(1)

@@ -23,7 +23,6 @@ checks and not n*n/2, and no link between two components is missed.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ from millrace.llm import common as C
 U64 = C.U64
 WIDTH = 5
 RARE_DF = 32
-SEEN_BITS, FREQ_BITS = 27, 24
+SEEN_BITS, FREQ_BITS = C.SEEN_BITS, C.FREQ_BITS
 _COEF = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, 16, dtype=np.uint64) | U64(1)
 _K1, _K2 = U64(0x1B873593CC9E2D51), U64(0x52DCE729DA3ED7B5)
 
@@ -76,10 +75,7 @@ def _count_map(buckets: int, width: int):
         size = 0
 
         def flush():
-            e = np.sort(np.concatenate(held))
-            at = np.searchsorted(e, np.arange(buckets, dtype=np.uint64) << U64(64 - buckets.bit_length() + 1)).tolist() + [len(e)]
-            ks = [k for k in range(buckets) if at[k] < at[k + 1]]
-            return pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array([e[at[k] : at[k + 1]].tobytes() for k in ks], pa.binary())], ["bucket", "blob"])
+            return C.bucket_blobs(np.sort(np.concatenate(held)), buckets)
 
         for batch in batches:
             for _, _, data, offs in C.utf8_blocks(batch.column(0)):
@@ -101,41 +97,10 @@ def _count_map(buckets: int, width: int):
     return run
 
 
-def _count_reduce(buckets: int, rare_df: int):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(key[0])
-        v = np.sort(np.concatenate([np.frombuffer(b, U64) for b in group["blob"]]))
-        tok = v >> U64(16)
-        seen = np.zeros((1 << SEEN_BITS) // buckets, bool)
-        # two entries from different sets or from copies in two tasks: never too few
-        twice = tok[1:][tok[1:] == tok[:-1]]
-        seen[(twice >> U64(48 - SEEN_BITS)).astype(np.int64) - bucket * len(seen)] = True
-        tok = np.unique(v) >> U64(16)
-        at = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
-        often = tok[at[np.diff(np.append(at, len(tok))) > rare_df]]
-        freq = np.zeros((1 << FREQ_BITS) // buckets, bool)
-        freq[(often >> U64(48 - FREQ_BITS)).astype(np.int64) - bucket * len(freq)] = True
-        return pd.DataFrame({"bucket": [bucket], "seen": [np.packbits(seen).tobytes()], "freq": [np.packbits(freq).tobytes()]})
-
-    return run
-
-
 def token_classes(texts: DataFrame, width: int, rare_df: int) -> tuple[bytes, bytes]:
     """The two bitmaps; their size is fixed, whatever the corpus."""
-    spark = texts.sparkSession
-    buckets = min(1 << 16, max(256, C.pow2_at_least(2 * C.shuffle_partitions(spark))))
-    blobs = texts.mapInArrow(_count_map(buckets, width), "bucket int, blob binary")
-    rows = blobs.groupBy("bucket").applyInPandas(_count_reduce(buckets, rare_df), "bucket int, seen binary, freq binary").collect()
-    seen, freq = bytearray((1 << SEEN_BITS) // 8), bytearray((1 << FREQ_BITS) // 8)
-    for r in rows:
-        for whole, part in ((seen, r["seen"]), (freq, r["freq"])):
-            whole[r["bucket"] * len(part) : (r["bucket"] + 1) * len(part)] = part
-    return bytes(seen), bytes(freq)
-
-
-def _bit(bits: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-    i = v >> U64(64 - n)
-    return (bits[(i >> U64(3)).astype(np.int64)] >> (U64(7) - (i & U64(7))).astype(np.uint8)) & np.uint8(1)
+    buckets = C.bucket_count(texts.sparkSession)
+    return C.class_bitmaps(texts.mapInArrow(_count_map(buckets, width), "bucket int, blob binary"), buckets, rare_df)
 
 
 def band_of(n: int) -> int:
@@ -192,11 +157,11 @@ def _sign_map(seen_b, freq_b, width: int):
                     s2.append(fp[1])
                     mine = None
                     if len(v) and fp not in done:
-                        hit = _bit(seen, v, SEEN_BITS)
+                        hit = C.bit(seen, v, SEEN_BITS)
                         if int(hit.sum()) >= (3 * len(v) + 3) // 4:
                             done.add(fp)
                             mine = v
-                            sigs.append(C.as_long(signatures(v, hit * (np.uint8(1) + _bit(freq, v, FREQ_BITS)))))
+                            sigs.append(C.as_long(signatures(v, hit * (np.uint8(1) + C.bit(freq, v, FREQ_BITS)))))
                     if mine is None:
                         sigs.append(None)
                     sets.append(None if mine is None else C.as_long(mine))

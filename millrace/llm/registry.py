@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("ngram_join",)
+_MODULES = ("ngram_join", "suffix_dedup")
 
 QUERIES: dict = {}
 SQL: dict = {}
