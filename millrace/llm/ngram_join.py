@@ -15,7 +15,7 @@ A wrong bit only moves a token to another class, the same one for all sets, so t
 results stay exact when a bitmap fills; only the pruning gets weaker.
 
 Copies are merged by a 128-bit fingerprint of the set first. Candidates then come in two
-rounds: each posting list against its smallest member, and after the components of these
+rounds: each posting list against its member with the fewest tokens of its own, and after the components of these
 links, only pairs from different components. A group of n near copies so costs about n
 checks and not n*n/2, and no link between two components is missed.
 """
@@ -138,7 +138,7 @@ def signatures(v: np.ndarray, cls: np.ndarray) -> np.ndarray:
             if not same.any():
                 break
             x, y = part[:-d][same], part[d:][same]
-            out.append(C.mix(x * _COEF[1] + y * _COEF[2] + U64(c + 1) * _K2))
+            out.append(C.mix(x * _COEF[1] + y * _COEF[2] + U64((c + 1) * int(_K2) & (1 << 64) - 1)))
     return np.unique(np.concatenate(out))
 
 
@@ -149,7 +149,7 @@ def _sign_map(seen_b, freq_b, width: int):
         for batch in batches:
             ids = batch.column(1)
             for lo, hi, data, offs in C.utf8_blocks(batch.column(0)):
-                n, s1, s2, sets, sigs = [], [], [], [], []
+                n, m, s1, s2, sets, sigs = [], [], [], [], [], []
                 for v in shingle_sets(data, offs, width):
                     fp = fingerprint(v)
                     n.append(len(v))
@@ -158,28 +158,33 @@ def _sign_map(seen_b, freq_b, width: int):
                     mine = None
                     if len(v) and fp not in done:
                         hit = C.bit(seen, v, SEEN_BITS)
-                        if int(hit.sum()) >= (3 * len(v) + 3) // 4:
+                        held = int(hit.sum())
+                        if held >= (3 * len(v) + 3) // 4:
                             done.add(fp)
                             mine = v
+                            m.append(held)
                             sigs.append(C.as_long(signatures(v, hit * (np.uint8(1) + C.bit(freq, v, FREQ_BITS)))))
                     if mine is None:
                         sigs.append(None)
+                        m.append(0)
                     sets.append(None if mine is None else C.as_long(mine))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "s1", "s2", "toks", "sigs"],
+                    [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64()))],
+                    ["doc_id", "n", "m", "s1", "s2", "toks", "sigs"],
                 )
 
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those (a, b) whose sets reach the threshold, by exact comparison."""
+LINKED = "100 * i >= 75 * (na + nb - i)"
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, i): exact overlaps of pairs of sets."""
     left = sets.select(F.col("rep").alias("a"), F.col("toks").alias("ta"))
     right = sets.select(F.col("rep").alias("b"), F.col("toks").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
-    inter = F.size(F.array_intersect("ta", "tb"))
-    return both.where(100 * inter >= 75 * (F.size("ta") + F.size("tb") - inter)).select("a", "b")
+    return both.select("a", "b", F.size("ta").alias("na"), F.size("tb").alias("nb"), F.size(F.array_intersect("ta", "tb")).alias("i"))
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, rare_df: int = RARE_DF) -> DataFrame:
@@ -192,29 +197,39 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     texts = docs.select(docs[text].cast("string").alias("text"), docs[key].cast("long").alias("doc_id"))
     seen, freq = token_classes(texts.select("text"), width, rare_df)
     sc = spark.sparkContext
-    signed = texts.mapInArrow(_sign_map(sc.broadcast(seen), sc.broadcast(freq), width), "doc_id long, n long, s1 long, s2 long, toks array<long>, sigs array<long>")
+    signed = texts.mapInArrow(_sign_map(sc.broadcast(seen), sc.broadcast(freq), width), "doc_id long, n long, m long, s1 long, s2 long, toks array<long>, sigs array<long>")
     t = C.materialize(signed, "sets")
     classes = t.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     classes = C.materialize(classes, "classes")
-    sets = t.where("toks is not null").select("s1", "s2", "n", "toks", "sigs").dropDuplicates(["s1", "s2"]).join(classes.where("rep is not null"), ["s1", "s2"]).select("rep", "n", "toks", "sigs")
+    sets = t.where("toks is not null").select("s1", "s2", "n", "m", "toks", "sigs").dropDuplicates(["s1", "s2"]).join(classes.where("rep is not null"), ["s1", "s2"]).select("rep", "n", "m", "toks", "sigs")
     sets = C.materialize(sets, "reps")
-    posts = sets.select("rep", "n", F.explode("sigs").alias("sig"))
-    heads = posts.groupBy("sig").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("c")).where("c > 1").select(F.col("sig").alias("k"), F.col("head.rep").alias("a"), F.col("head.n").alias("na"))
-    close = "4 * least(na, nb) >= 3 * greatest(na, nb) and a <> b"
-    first = posts.select("sig", F.col("rep").alias("b"), F.col("n").alias("nb")).join(heads, F.col("sig") == F.col("k")).where(close).groupBy("a", "b").agg(F.lit(1).alias("x")).select("a", "b")
-    first = C.materialize(first, "stars")
-    links = C.materialize(verified(first, sets), "links1")
-    comps = C.materialize(C.connected_components(links, "cc1"), "comps1")
+    # m, the tokens of a set that other sets hold, bounds its overlap with any; the set with the fewest of its own heads a list
+    posts = sets.select("rep", "n", "m", F.explode("sigs").alias("sig"))
+    heads = posts.groupBy("sig").agg(F.min(F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), "rep", "n", "m")).alias("head"), F.count("*").alias("c"))
+    heads = heads.where("c > 1").select(F.col("sig").alias("k"), F.col("head.rep").alias("a"), F.col("head.n").alias("na"), F.col("head.m").alias("ma"))
+    close = "4 * least(na, nb) >= 3 * greatest(na, nb) and 7 * least(ma, mb) >= 3 * (na + nb)"
+    first = posts.select("sig", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb")).join(heads, (F.col("sig") == F.col("k")) & F.expr(f"a <> b and {close}"))
+    first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("x")).select("a", "b")
+    first = C.materialize(overlaps(C.materialize(first, "stars"), sets), "links1")
+    comps = C.materialize(C.connected_components(first.where(LINKED).select("a", "b"), "cc1"), "comps1")
     # second round: posting lists that still span several components
-    member = sets.select("rep", "n", "sigs").join(comps, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("comp", "rep").alias("comp"), F.explode("sigs").alias("sig"))
-    split = member.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(F.col("sig").alias("k"))
-    open_ = C.materialize(member.join(split, F.col("sig") == F.col("k"), "left_semi").select("sig", "rep", "n", "comp"), "open")
-    x = open_.select("sig", F.col("rep").alias("x"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = open_.select(F.col("sig").alias("k"), F.col("rep").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    more = x.join(y, (F.col("sig") == F.col("k")) & (F.col("ca") < F.col("cb")) & F.expr("4 * least(na, nb) >= 3 * greatest(na, nb)"))
-    more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("x")).select("a", "b")
-    more = more.join(first, ["a", "b"], "left_anti")
-    links2 = verified(more, sets)
+    member = sets.select("rep", "n", "m", "sigs").join(comps, F.col("rep") == F.col("node"), "left").select("rep", "n", "m", F.coalesce("comp", "rep").alias("comp"), F.explode("sigs").alias("sig"))
+    own = ((F.col("n") - F.col("m")) / F.col("n")).alias("own")
+    split = member.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(own, "rep")).alias("head")).where("lo < hi").select(F.col("sig").alias("k"), F.col("head.rep").alias("c"))
+    # lists of one head are taken together: each member once, with the keys it shares lists by
+    open_ = member.join(split, F.col("sig") == F.col("k")).groupBy("c", "rep").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("comp").alias("comp"), F.collect_list("sig").alias("sigs"))
+    # i: overlap with the head, known from the first round; what two sets share lies within it or outside it
+    known = first.select(F.col("a").alias("p"), F.col("b").alias("q"), "i").unionByName(first.select(F.col("b").alias("p"), F.col("a").alias("q"), "i"))
+    open_ = open_.join(known, (F.col("rep") == F.col("p")) & (F.col("c") == F.col("q")), "left").withColumn("i", F.when(F.col("rep") == F.col("c"), F.col("n")).otherwise(F.col("i")))
+    open_ = open_.join(comps.select(F.col("node").alias("h"), F.col("comp").alias("hc")), F.col("c") == F.col("h"), "left")
+    open_ = C.materialize(open_.select("c", "rep", "n", "m", "comp", "sigs", "i", F.coalesce("hc", "c").alias("hc")), "open")
+    # of two sets from different components, one at least is outside the head's
+    x = open_.where("comp <> hc").select("c", F.col("rep").alias("x"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("comp").alias("ca"), F.col("i").alias("ia"), F.col("sigs").alias("sa"))
+    y = open_.select(F.col("c").alias("k"), F.col("rep").alias("y"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("comp").alias("cb"), F.col("i").alias("ib"), F.col("sigs").alias("sb"), F.col("hc").alias("hb"))
+    bound = "coalesce(7 * (least(ia, ib) + least(ma - ia, mb - ib)) >= 3 * (na + nb), true)"
+    more = x.join(y, (F.col("c") == F.col("k")) & F.expr(f"(cb = hb or ca < cb) and ca <> cb and {close} and {bound} and arrays_overlap(sa, sb)"))
+    more = C.materialize(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("z")).select("a", "b"), "more")
+    links2 = overlaps(more.join(first, ["a", "b"], "left_anti"), sets).where(LINKED).select("a", "b")
     final = C.connected_components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links2), "cc2")
     named = classes.join(C.materialize(final, "comps2"), F.col("rep") == F.col("node"), "left").select("s1", "s2", F.coalesce("comp", "rep").alias("component"))
     out = t.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
