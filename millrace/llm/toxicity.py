@@ -1,7 +1,7 @@
 """Toxicity: a support vector machine on a gapped string-subsequence kernel with Nyström landmarks.
 
-The kernel counts common subsequences of three letters within a span of ``SPAN`` + 1
-characters, each weighted by DECAY to the length of its span, so that strings with
+The kernel counts common subsequences of four letters (a word's beginning counts as one)
+within a span of ``SPAN`` + 1 characters, each weighted by DECAY to the length of its span, so that strings with
 inserted, masked or spaced-out characters stay close. Units of a sentence are its words;
 runs of single letters make up one unit, long words are read in overlapping windows, and
 digits and signs that stand for letters count as these. A sentence is as toxic as its
@@ -13,9 +13,9 @@ best, and the most frequent other units. The kernel against the landmarks, white
 K(L, L) ** -1/2, gives the features of a linear squared-hinge machine, which is trained on
 the witnesses: in each toxic text the unit that scores highest, three rounds, against the
 units of other texts. As the machine is linear in the kernel's feature space, landmarks
-and weights collapse into one table of 32**3 letter triples; that table (128 KB) is what
-the tasks get, and scoring a unit takes a few look-ups a character. Logistic calibration
-on the training texts' maxima gives the score.
+and weights collapse into one table of the landmarks' subsequences; that table (some MB at
+most) is what the tasks get, and scoring a unit takes a few look-ups a character. Logistic calibration
+on the training texts' maxima and sums gives the score.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ U64 = C.U64
 WIDE = 24
 SPAN, DECAY = 5, 0.75
 TRAIN_DOCS = 5000
-LANDMARKS = 64
+LANDMARKS = 128
+ROUNDS = 6
 # Codes: 1-26 letters, 27 other letters, 28 other signs. Digits and signs that stand for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _CODE = np.full(256, 28, np.uint8)
@@ -44,7 +45,8 @@ for _k, _v in _LEET.items():
     _CODE[ord(_k)] = ord(_v) - 96
 _SOLID = np.zeros(256, bool)  # a unit ends with one of these
 _SOLID[48:58] = _SOLID[65:91] = _SOLID[97:123] = _SOLID[128:] = True
-_PATTERNS = [(a, b, DECAY ** (b + 1)) for a, b in combinations(range(1, SPAN + 1), 2)]
+_START, _END = 29, 30  # a word's beginning and end count as letters
+_PATTERNS = [(a, b, d, DECAY ** (d + 1)) for a, b, d in combinations(range(1, SPAN + 1), 3)]
 
 
 def units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,40 +80,60 @@ def codes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     solid = inside & _SOLID[raw]
     upto = WIDE - solid[:, ::-1].argmax(1)
     inside &= np.arange(WIDE) < np.where(solid.any(1), upto, 0)[:, None]
-    return np.where(inside, _CODE[raw], 0)
+    out = np.zeros((len(s), WIDE + 2), np.uint8)
+    out[:, 0] = _START
+    code = np.where(inside, _CODE[raw], 0)
+    signs = np.flatnonzero((code == 28).any(1))
+    if len(signs):  # signs and spaces between letters are left out
+        order = np.argsort((code[signs] == 28) | (code[signs] == 0), axis=1, kind="stable")
+        code[signs] = np.take_along_axis(np.where(code[signs] == 28, 0, code[signs]), order, 1)
+        inside = code > 0
+    out[:, 1:-1] = code
+    out[np.arange(len(s)), inside.sum(1) + 1] = _END
+    return out
+
+
+def _subsequences(c: np.ndarray):
+    """(index of four letters or 0, weight, mask) for each pattern of gaps."""
+    x = c.astype(np.int32)
+    letter = (c > 0) & (c != 28)
+    n = c.shape[1]
+    for a, b, d, w in _PATTERNS:
+        ok = letter[:, : n - d] & letter[:, a : n - d + a] & letter[:, b : n - d + b] & letter[:, d:]
+        yield np.where(ok, (x[:, : n - d] << 15) | (x[:, a : n - d + a] << 10) | (x[:, b : n - d + b] << 5) | x[:, d:], 0), w, ok
 
 
-def _triples(c: np.ndarray):
-    """(index of the letter triple or 0, weight, mask) for each pattern of gaps."""
-    x = c.astype(np.int32)
-    letter = (c > 0) & (c < 28)
-    for a, b, w in _PATTERNS:
-        ok = letter[:, : WIDE - b] & letter[:, a : WIDE - b + a] & letter[:, b:]
-        yield np.where(ok, (x[:, : WIDE - b] << 10) | (x[:, a : WIDE - b + a] << 5) | x[:, b:], 0), w, ok
+def numbering(c: np.ndarray) -> np.ndarray:
+    """Numbers 1.. for the subsequences that occur in c, 0 for all others."""
+    used = np.unique(np.concatenate([idx[ok] for idx, _, ok in _subsequences(c)]))
+    out = np.zeros(1 << 20, np.int32)
+    out[used] = np.arange(1, len(used) + 1)
+    return out
 
 
-def features(c: np.ndarray) -> np.ndarray:
+def features(c: np.ndarray, number: np.ndarray) -> np.ndarray:
     """Dense kernel features of a few units, scaled."""
-    out = np.zeros((len(c), 1 << 15), np.float32)
+    out = np.zeros((len(c), number.max() + 1))
     norm = np.zeros(len(c))
     rows = np.arange(len(c))[:, None]
-    for idx, w, ok in _triples(c):
-        np.add.at(out, (np.broadcast_to(rows, idx.shape), idx), np.float32(w) * ok)
+    for idx, w, ok in _subsequences(c):
+        np.add.at(out, (np.broadcast_to(rows, idx.shape), number[idx]), w * ok)
         norm += w * w * ok.sum(1)
-    return out / np.sqrt(np.maximum(norm, 1e-12))[:, None].astype(np.float32)
+    out[:, 0] = 0
+    return out / np.sqrt(np.maximum(norm, 1e-12))[:, None]
 
 
-def project(c: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Scaled kernel products of units with each column of tables (32**3 x k)."""
+def project(c: np.ndarray, number: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Scaled kernel products of units with each column of tables; row 0 of tables is zero."""
     out = np.zeros((len(c), tables.shape[1]))
     norm = np.zeros(len(c))
-    for idx, w, ok in _triples(c):
-        out += w * tables[idx].sum(1)  # row 0 is zero
+    for idx, w, ok in _subsequences(c):
+        out += w * tables[number[idx]].sum(1)
         norm += w * w * ok.sum(1)
     return out / np.sqrt(np.maximum(norm, 1e-12))[:, None]
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 25) -> np.ndarray:
+def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 2e-4, rounds: int = 25) -> np.ndarray:
     """Primal Newton steps of the L2 machine; the last coefficient is the intercept."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
@@ -125,29 +147,40 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    a = np.zeros(2)
-    z = np.column_stack([x, np.ones(len(x))])
+def logistic(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a logistic fit, the intercept last."""
+    z = np.column_stack([z, np.ones(len(z))])
+    a = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ a, -30, 30)))
-        g = z.T @ (weight * (y - p)) - 1e-3 * a
-        hess = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, g)
-        a += np.clip(step, -4, 4)
+        g = z.T @ (weight * (y - p)) - 1e-2 * a
+        hess = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(a))
+        step = np.clip(np.linalg.solve(hess, g), -4, 4)
+        a += step
         if np.abs(step).max() < 1e-8:
             break
-    return float(a[0]), float(a[1])
+    return a
+
+
+def evidence(texts: int, text: np.ndarray, unit: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Per text: the highest margin of its units, and the log of what its distinct units have above 0."""
+    best = np.full(texts, -2.0)
+    np.maximum.at(best, text, f[unit])
+    on = np.flatnonzero(f[unit] > 0)
+    pair = np.unique(text[on].astype(np.int64) * (len(f) + 1) + unit[on])
+    return np.column_stack([best, np.log1p(np.bincount(pair // (len(f) + 1), f[pair % (len(f) + 1)], texts))])
 
 
 class Model:
-    def __init__(self, table: np.ndarray, bias: float, a: float, c: float, landmarks: list[bytes]):
-        self.table, self.bias, self.a, self.c, self.landmarks = table, bias, a, c, landmarks
+    def __init__(self, number: np.ndarray, table: np.ndarray, bias: float, landmarks: list[bytes]):
+        self.number, self.table, self.bias, self.landmarks = number, table, bias, landmarks
+        self.scale = np.array([1.0, 0.0, 0.0])
 
     def margins(self, c: np.ndarray) -> np.ndarray:
-        return np.clip(project(c, self.table)[:, 0] + self.bias, -2, 2)
+        return np.clip(project(c, self.number, self.table)[:, 0] + self.bias, -2, 2)
 
-    def scores(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.a * margin + self.c, -30, 30)))
+    def scores(self, seen: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(seen @ self.scale[:-1] + self.scale[-1], -30, 30)))
 
 
 def fit(docs: list[tuple[int, list[bytes]]], rates: dict[int, float]) -> Model | None:
@@ -164,54 +197,49 @@ def fit(docs: list[tuple[int, list[bytes]]], rates: dict[int, float]) -> Model |
     size = np.array([len(x) for x in names.tolist()])
     start = np.cumsum(size) - size
     c = codes(np.frombuffer(raw, np.uint8), start, start + size)
-    usable = sum(ok.any(1) for _, _, ok in _triples(c)).astype(bool)
+    usable = sum(ok.any(1) for _, _, ok in _subsequences(c)).astype(bool)
     telling = np.flatnonzero(usable & (df[1] >= 2) & (lift > 0))
-    telling = telling[np.argsort(-(lift * np.sqrt(df[1]))[telling], kind="stable")][: LANDMARKS // 2]
+    telling = telling[np.argsort(-(lift * np.sqrt(df[1]))[telling], kind="stable")][: 5 * LANDMARKS // 8]
     common = np.flatnonzero(usable & (df[0] >= df[1]))
     common = common[np.argsort(-df[0][common], kind="stable")]
     marks = np.concatenate([telling, common[: LANDMARKS - len(telling)]])
     if not len(marks):
         return None
-    phi = features(c[marks])
-    gram = phi @ phi.T
-    val, vec = np.linalg.eigh(gram.astype(float))
-    white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
-    # instances: units of toxic texts that can be witnesses, and the other texts' units, the most frequent and every so many of the rest
-    rest = common[:: max(1, len(common) // 20000)]
-    pool = np.flatnonzero(usable & (df[1] > 0) & (lift > 0))
-    neg = np.unique(np.concatenate([common[:5000], rest]))
-    x_of = np.full(len(names), -1)
-    rows = np.unique(np.concatenate([pool, neg]))
-    x_of[rows] = np.arange(len(rows))
-    x = np.concatenate([project(part, phi.T) for part in np.array_split(c[rows], max(1, len(rows) // 4000))]) @ white
-    score = np.where(df[1] >= 2, lift * np.sqrt(df[1]), lift - 10)[rows]
-    tox = np.flatnonzero(label[owner] == 1)
-    tox = tox[x_of[flat[tox]] >= 0]
-    w = None
-    for share in (0.5, 0.5, 0.5):
-        at = x_of[flat[tox]]
+    clean, tox = label[owner] == 0, label[owner] == 1
+    score = np.where(df[1] >= 2, lift * np.sqrt(df[1]), lift - 10)
+    score[~usable] = -np.inf
+    hard = np.zeros(len(names))
+    model = None
+    for turn in range(ROUNDS):
+        if turn in (0, 2, 4):  # the worst units of other texts become landmarks too
+            worst = np.argsort(-hard, kind="stable")[: LANDMARKS // 2]
+            marks = np.unique(np.concatenate([marks, worst[hard[worst] > 0]]))
+            number = numbering(c[marks])
+            phi = features(c[marks], number)
+            val, vec = np.linalg.eigh(phi @ phi.T)
+            white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
+        # witnesses: the units of a toxic text that score at least half of its highest
         top = np.full(len(docs), -np.inf)
-        np.maximum.at(top, owner[tox], score[at])
-        near = score[at] >= np.where(top > 0, share * top, top)[owner[tox]]
-        witness = np.bincount(at[near], minlength=len(rows)).astype(float)
-        pos = np.flatnonzero(witness)
-        ny = np.log1p(df[0][neg])
-        xs = np.concatenate([x[pos], x[x_of[neg]]])
-        y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
-        # both sides weigh the same; a witness of many texts weighs as many
-        weight = np.concatenate([witness[pos] ** 2 / (witness[pos] ** 2).sum(), ny / max(ny.sum(), 1e-9)])
-        w = squared_hinge(xs, y, weight)
-        score = x @ w[:-1] + w[-1]
-    table = (phi.T.astype(float) @ (white @ w[:-1]))[:, None]
-    table[0] = 0
-    # a triple with a code of 0 is no triple
-    model = Model(table.astype(np.float64), float(w[-1]), 1.0, 0.0, [names[i] for i in marks])
-    f = np.concatenate([model.margins(part) for part in np.array_split(c, max(1, len(c) // 4000))])
-    best = np.full(len(docs), -2.0)
-    np.maximum.at(best, owner, f[flat])
+        np.maximum.at(top, owner, score[flat])
+        near = tox & (score[flat] >= np.where(top > 0, 0.5 * top, top)[owner]) & np.isfinite(score[flat])
+        per_text = np.bincount(owner[near], minlength=len(docs))
+        witness = np.bincount(flat[near], 1 / per_text[owner[near]], minlength=len(names))
+        # other texts' worst units so far, and their most frequent ones
+        if model is not None:
+            worst = clean & (score[flat] >= np.maximum(top, -0.5)[owner])
+            hard += np.bincount(flat[worst], minlength=len(names))
+        pos, neg = np.flatnonzero(witness), np.unique(np.concatenate([common[:4000], np.flatnonzero(hard)]))
+        rows = np.concatenate([pos, neg])
+        x = np.concatenate([project(part, number, phi.T) for part in np.array_split(c[rows], 1 + len(rows) // 4000)]) @ white
+        weight = np.concatenate([witness[pos] / witness[pos].sum(), 0.5 * np.log1p(df[0][neg]) / max(np.log1p(df[0][neg]).sum(), 1e-9) + 0.5 * hard[neg] / max(hard.sum(), 1e-9)])
+        w = squared_hinge(x, np.concatenate([np.ones(len(pos)), -np.ones(len(neg))]), weight)
+        table = (phi.T @ (white @ w[:-1]))[:, None]
+        model = Model(number, table, float(w[-1]), [bytes(names[i]) for i in marks])
+        f = np.concatenate([model.margins(part) for part in np.array_split(c, 1 + len(c) // 8000)])
+        score = np.where(usable, f, -np.inf)
     weight = np.array([1 / max(rates.get(int(v), 1.0), 1e-9) for v in label])
-    model.a, model.c = logistic(best, label.astype(float), weight / weight.mean())
-    model.a = max(model.a, 1e-3)
+    model.scale = logistic(evidence(len(docs), owner, flat, f), label.astype(float), weight / weight.mean())
+    model.scale[:2] = np.maximum(model.scale[:2], 0.01)
     return model
 
 
@@ -234,16 +262,13 @@ def _score_map(model_b):
         for batch in batches:
             for lo, hi, data, offs in C.utf8_blocks(batch.column(0), 4 * C.BLOCK_BYTES):
                 text, s, e, h = units(data, offs)
-                best = np.full(hi - lo, -2.0)
+                inv, f = np.zeros(0, np.int64), np.zeros(0)
                 if len(s):
                     tag = np.where(h == 0, np.arange(1, len(h) + 1, dtype=np.uint64), h | U64(1 << 63))
                     _, one, inv = np.unique(tag, return_index=True, return_inverse=True)
-                    f = np.empty(len(one))
-                    for a in range(0, len(one), 20000):
-                        k = one[a : a + 20000]
-                        f[a : a + 20000] = model.margins(codes(data, s[k], e[k]))
-                    np.maximum.at(best, text, f[inv])
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(model.scores(best))], ["doc_id", "score"])
+                    f = np.concatenate([model.margins(codes(data, s[k], e[k])) for k in np.array_split(one, 1 + len(one) // 20000)])
+                seen = evidence(hi - lo, text, inv, f)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(model.scores(seen))], ["doc_id", "score"])
 
     return run
 
