@@ -122,79 +122,91 @@ def smith_waterman(a: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndar
     return best, end
 
 
+def _aligned(items: Items, seed: np.ndarray, lo_of: np.ndarray, hi_of: np.ndarray, column: pa.Array, min_score: float) -> list[tuple[int, int, float, int, int]]:
+    """(row, item, score, seeds, end word) of the windows that reach min_score."""
+    rows: list[tuple] = []
+    for base, _, data, offs in C.utf8_blocks(column):
+        h, _, _, first = C.words(data, offs)
+        at, k, text = items.hits(h, first)
+        # every (item, place) that holds the gram, if it is a seed there
+        n = hi_of[k] - lo_of[k]
+        rep = np.repeat(np.arange(len(at)), n)
+        e = lo_of[k][rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
+        ok = seed[e]
+        rep, e = rep[ok], e[ok]
+        if not len(e):
+            continue
+        item, start, doc = items.item[e], at[rep] - items.place[e], text[rep]
+        o = np.lexsort((start, item, doc))
+        item, start, doc = item[o], start[o], doc[o]
+        size = np.array([len(w) for w in items.words])[item]
+        # hits whose diagonals lie within half an item belong to one window
+        new = np.ones(len(o), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > size[1:] // 2)
+        cut = np.flatnonzero(new)
+        last = np.append(cut[1:], len(o)) - 1
+        w_item, w_doc, seeds = item[cut], doc[cut], last - cut + 1
+        half = size[cut] // 2 + 1
+        w_lo = np.maximum(start[cut] - half, first[w_doc])
+        w_hi = np.minimum(start[last] + size[cut] + half, first[w_doc + 1])
+        for it in np.unique(w_item):
+            mine = np.flatnonzero(w_item == it)
+            mine = mine[np.argsort(w_hi[mine] - w_lo[mine])]
+            for part in np.array_split(mine, -(-len(mine) // 512)):
+                width = int((w_hi[part] - w_lo[part]).max())
+                wins = np.zeros((len(part), width), U64)
+                for r, j in enumerate(part):
+                    wins[r, : w_hi[j] - w_lo[j]] = h[w_lo[j] : w_hi[j]]
+                score, end = smith_waterman(items.words[it], wins)
+                share = score / (2.0 * len(items.words[it]))
+                for r in np.flatnonzero(share >= min_score):
+                    j = part[r]
+                    rows.append((base + int(w_doc[j]), int(items.ids[it]), float(share[r]), int(seeds[j]), int(w_lo[j] + end[r] - first[w_doc[j]])))
+    return rows
+
+
 def _align_map(items_b, seeds_b, min_score: float):
     def run(batches):
         items, seed = items_b.value, seeds_b.value
-        lo_of = np.searchsorted(items.g, items.keys)
-        hi_of = np.searchsorted(items.g, items.keys, "right")
+        lo_of, hi_of = np.searchsorted(items.g, items.keys), np.searchsorted(items.g, items.keys, "right")
         for batch in batches:
-            ids = batch.column(1)
-            rows: list[tuple] = []
-            for base, _, data, offs in C.utf8_blocks(batch.column(0)):
-                h, _, _, first = C.words(data, offs)
-                at, k, text = items.hits(h, first)
-                # every (item, place) that holds the gram, if it is a seed there
-                n = hi_of[k] - lo_of[k]
-                rep = np.repeat(np.arange(len(at)), n)
-                e = lo_of[k][rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-                ok = seed[e]
-                rep, e = rep[ok], e[ok]
-                if not len(e):
-                    continue
-                item, start, doc = items.item[e], at[rep] - items.place[e], text[rep]
-                o = np.lexsort((start, item, doc))
-                item, start, doc = item[o], start[o], doc[o]
-                size = np.array([len(w) for w in items.words])[item]
-                # hits whose diagonals lie within half an item belong to one window
-                new = np.ones(len(o), bool)
-                new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > size[1:] // 2)
-                cut = np.flatnonzero(new)
-                last = np.append(cut[1:], len(o)) - 1
-                w_item, w_doc, seeds = item[cut], doc[cut], last - cut + 1
-                half = size[cut] // 2 + 1
-                w_lo = np.maximum(start[cut] - half, first[w_doc])
-                w_hi = np.minimum(start[last] + size[cut] + half, first[w_doc + 1])
-                for it in np.unique(w_item):
-                    mine = np.flatnonzero(w_item == it)
-                    mine = mine[np.argsort(w_hi[mine] - w_lo[mine])]
-                    for part in np.array_split(mine, -(-len(mine) // 512)):
-                        width = int((w_hi[part] - w_lo[part]).max())
-                        wins = np.zeros((len(part), width), U64)
-                        for r, j in enumerate(part):
-                            wins[r, : w_hi[j] - w_lo[j]] = h[w_lo[j] : w_hi[j]]
-                        score, end = smith_waterman(items.words[it], wins)
-                        share = score / (2.0 * len(items.words[it]))
-                        for r in np.flatnonzero(share >= min_score):
-                            j = part[r]
-                            rows.append((base + int(w_doc[j]), int(items.ids[it]), float(share[r]), int(seeds[j]), int(w_lo[j] + end[r] - first[w_doc[j]])))
+            rows = _aligned(items, seed, lo_of, hi_of, batch.column(0), min_score)
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids.take(take), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64())))],
+                [batch.column(1).take(take), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64())))],
                 ["doc_id", "item_id", "score", "n_seeds", "end_word"],
             )
 
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", gram: int = GRAM, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
-    """(doc_id, item_id, score, n_seeds, end_word): each pair's best alignment that reaches min_score.
+def _keep_map(items_b, seeds_b, min_score: float, at: int):
+    """Whole rows that hold no item."""
 
-    score: best local score over twice the item's words; end_word: the word after the
-    alignment. Null or empty texts and items match nothing; items that repeat count each;
-    rows that repeat an id count as one document.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(docs[text].cast("string").alias("text"), docs[key].cast("long").alias("doc_id")).where("text is not null")
+    def run(batches):
+        items, seed = items_b.value, seeds_b.value
+        lo_of, hi_of = np.searchsorted(items.g, items.keys), np.searchsorted(items.g, items.keys, "right")
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            keep[[r[0] for r in _aligned(items, seed, lo_of, hi_of, batch.column(at), min_score)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def seeded_blocks(docs: DataFrame, benchmark: DataFrame, text: str, gram: int, rare_share: float):
+    """For each block of the benchmark: the items and which of their grams are seeds, sent to all tasks."""
+    sc = docs.sparkSession.sparkContext
+    texts = docs.select(docs[text].cast("string").alias("text")).where("text is not null")
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.size(F.split(F.col("text"), r"\s+")))).first()[0] or 0
     blocks = 1 + int(total // BLOCK_WORDS)
-    out = None
     for b in range(blocks):
         # at most about BLOCK_WORDS words come to the driver at a time
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         block = Items([r["item_id"] for r in part], [r["text"] for r in part], gram)
-        items_b = spark.sparkContext.broadcast(block)
-        counts = texts.select("text").mapInArrow(_df_map(items_b), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()
+        items_b = sc.broadcast(block)
+        counts = texts.mapInArrow(_df_map(items_b), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()
         df, n_docs = np.zeros(len(block.keys)), 0
         for r in counts:
             if r["k"] < 0:
@@ -206,17 +218,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
         for i in range(len(block.ids)):
             mine = entry[block.item == i]
             limit[i] = 4 * np.quantile(mine, 0.25) + rare_share * n_docs + 2 if len(mine) else 0
-        seeds_b = spark.sparkContext.broadcast(entry <= limit[block.item] if len(entry) else np.zeros(0, bool))
+        yield items_b, sc.broadcast(entry <= limit[block.item] if len(entry) else np.zeros(0, bool))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", gram: int = GRAM, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
+    """(doc_id, item_id, score, n_seeds, end_word): each pair's best alignment that reaches min_score.
+
+    score: best local score over twice the item's words; end_word: the word after the
+    alignment. Null or empty texts and items match nothing; items that repeat count each;
+    rows that repeat an id count as one document.
+    """
+    texts = docs.select(docs[text].cast("string").alias("text"), docs[key].cast("long").alias("doc_id")).where("text is not null")
+    out = None
+    for items_b, seeds_b in seeded_blocks(docs, benchmark, text, gram, rare_share):
         got = texts.mapInArrow(_align_map(items_b, seeds_b, min_score), "doc_id long, item_id long, score double, n_seeds long, end_word long")
         out = got if out is None else out.unionByName(got)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "n_seeds", "end_word")).alias("x"))
     return best.select("doc_id", "item_id", "x.score", "x.n_seeds", "x.end_word")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a benchmark item."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_mr_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_mr_id"), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
+    """docs without rows that hold a benchmark item; all columns pass through, only gram counts are shuffled."""
+    at = [c.lower() for c in docs.columns].index("text")
+    out = docs
+    for items_b, seeds_b in seeded_blocks(docs, benchmark, "text", gram, rare_share):
+        out = out.mapInArrow(_keep_map(items_b, seeds_b, min_score, at), docs.schema)
+    return out
 
 
 def op4_benchmark_decontamination(spark, sf_dir):

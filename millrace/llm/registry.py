@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("ngram_join", "suffix_dedup", "line_dedup", "decontaminate", "packing", "token_shards", "langid", "toxicity", "ann_dedup")
+_MODULES = ("ngram_join", "suffix_dedup", "line_dedup", "decontaminate", "packing", "token_shards", "langid", "toxicity", "ann_dedup", "pii")
 
 QUERIES: dict = {}
 SQL: dict = {}

@@ -256,19 +256,33 @@ def _unit_map(batches):
             yield pa.RecordBatch.from_arrays([label.slice(lo, hi - lo), pa.array([sorted(x) for x in out], pa.list_(pa.binary()))], ["toxic", "units"])
 
 
+def _scores(model: Model, column: pa.Array) -> np.ndarray:
+    out = []
+    for lo, hi, data, offs in C.utf8_blocks(column, 4 * C.BLOCK_BYTES):
+        text, s, e, h = units(data, offs)
+        inv, f = np.zeros(0, np.int64), np.zeros(0)
+        if len(s):
+            tag = np.where(h == 0, np.arange(1, len(h) + 1, dtype=np.uint64), h | U64(1 << 63))
+            _, one, inv = np.unique(tag, return_index=True, return_inverse=True)
+            f = np.concatenate([model.margins(codes(data, s[k], e[k])) for k in np.array_split(one, 1 + len(one) // 20000)])
+        out.append(model.scores(evidence(hi - lo, text, inv, f)))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
 def _score_map(model_b):
     def run(batches):
-        model: Model = model_b.value
         for batch in batches:
-            for lo, hi, data, offs in C.utf8_blocks(batch.column(0), 4 * C.BLOCK_BYTES):
-                text, s, e, h = units(data, offs)
-                inv, f = np.zeros(0, np.int64), np.zeros(0)
-                if len(s):
-                    tag = np.where(h == 0, np.arange(1, len(h) + 1, dtype=np.uint64), h | U64(1 << 63))
-                    _, one, inv = np.unique(tag, return_index=True, return_inverse=True)
-                    f = np.concatenate([model.margins(codes(data, s[k], e[k])) for k in np.array_split(one, 1 + len(one) // 20000)])
-                seen = evidence(hi - lo, text, inv, f)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(model.scores(seen))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(_scores(model_b.value, batch.column(0)))], ["doc_id", "score"])
+
+    return run
+
+
+def _keep_map(model_b, at: int, limit: float):
+    """Whole rows whose text scores below the limit."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model_b.value, batch.column(at)) < limit))
 
     return run
 
@@ -303,9 +317,12 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7) -> DataFrame:
-    """docs without those that score `limit` or more. A null id is judged by no score of its own and stays."""
-    bad = score(docs, train(docs, labels)).where(F.col("score") >= limit).select(F.col("doc_id").alias("_mr_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_mr_id"), "left_anti")
+    """docs without rows that score `limit` or more; all columns pass through, nothing is shuffled."""
+    model = train(docs, labels)
+    if model is None:
+        return docs
+    at = [c.lower() for c in docs.columns].index("text")
+    return docs.mapInArrow(_keep_map(docs.sparkSession.sparkContext.broadcast(model), at, limit), docs.schema)
 
 
 def op8_toxicity(spark, sf_dir):
