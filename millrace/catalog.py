@@ -1,4 +1,6 @@
 """All queries of the library and, where SQL can say the same, the SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from millrace.plans import source_queries
+
+QUERIES: dict = {**source_queries.QUERIES}
+SQL: dict = {**source_queries.SQL}
