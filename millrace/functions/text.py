@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Fixed values.
 STOPWORDS = tuple(
@@ -182,13 +183,13 @@ def _jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def lcs_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 less the longest common subsequence over the longer length."""
     return pd.Series([None if x is None or y is None else 0.0 if x == y else 1 - _lcs(x, y) / max(len(x), len(y)) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
 

@@ -91,13 +91,12 @@ def sided(df: DataFrame, side: str) -> DataFrame:
 def subblocks(names: DataFrame, maximum: int, start: int = 2) -> DataFrame:
     """(id, name, subblock): each id under the shortest prefix, from `start` letters on, that at most
     `maximum` ids share; ids whose whole name is shared by more are dealt by hash into numbered parts."""
-    longest = names.agg(F.max(F.length("name"))).first()[0] or start
-    out = names.withColumn("subblock", F.lit(None).cast("string"))
-    for k in range(start, longest + 1):  # bounded by the length of a name
-        # only ids that are still open are counted, per prefix
-        out = out.withColumn("p", F.when(F.col("subblock").isNull(), F.left("name", F.lit(k))))
-        small = out.where("p is not null").groupBy("p").agg(F.count("*").alias("c")).where(F.col("c") <= maximum).select(F.col("p").alias("q"))
-        out = out.join(small, F.col("p") == F.col("q"), "left").withColumn("subblock", F.coalesce("subblock", "q")).drop("p", "q")
+    # all ids under a prefix share its shorter ones, so counts of all prefixes, taken at once, tell the shortest small one
+    each = names.groupBy("name").agg(F.count("*").alias("c")).select("name", "c", F.explode(F.sequence(F.lit(start), F.greatest(F.lit(start), F.length("name") + 1))).alias("k"))
+    each = each.withColumn("p", F.left("name", F.col("k")))
+    small = each.groupBy("k", "p").agg(F.sum("c").alias("t")).where(F.col("t") <= maximum)
+    best = each.join(small, ["k", "p"]).groupBy("name").agg(F.min(F.struct("k", "p")).alias("x")).select(F.col("name").alias("nm"), F.col("x.p").alias("subblock"))
+    out = names.select("id", "name").join(best, F.col("name") == F.col("nm"), "left").drop("nm")
     rest = out.where("subblock is null").groupBy("name").agg(F.ceil(F.count("*") / maximum).alias("parts")).select(F.col("name").alias("m"), "parts")
     part = F.concat(F.col("name"), F.lit("#"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("string"))
     return out.join(rest, F.col("name") == F.col("m"), "left").select("id", "name", F.coalesce("subblock", part).alias("subblock"))
