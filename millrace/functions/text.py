@@ -42,6 +42,11 @@ def normalize_text(text: Column, join_apostrophes: bool = False) -> Column:
     return F.trim(F.regexp_replace(t, "[^a-z]+", " "))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once: a lambda that holds an expression would compute it for each element."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), 0)
+
+
 def words(text: Column) -> Column:
     """Words between spaces, without empty ones."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), " "), lambda w: w != "")
@@ -64,11 +69,8 @@ def char_ngrams(text: Column, unigrams: bool = False, bigrams: bool = True, stop
     if stopwords is not None:
         keep = F.filter(F.split(t, " "), lambda w: ~w.isin(*stopwords) & (F.length(w) > 2))
         t = F.array_join(keep, " ")
-    n = F.length(t)
-    parts = []
-    for size in [1] * unigrams + [2] * bigrams + [3, 4]:
-        parts.append(_grams(t, n, size))
-    return F.concat(*parts)
+    sizes = [1] * unigrams + [2] * bigrams + [3, 4]
+    return let(t, lambda x: F.concat(*(_grams(x, F.length(x), size) for size in sizes)))
 
 
 def _grams(t: Column, n: Column, size: int) -> Column:
@@ -79,7 +81,7 @@ def _grams(t: Column, n: Column, size: int) -> Column:
 def word_ngrams(text: Column, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """Array (a multiset) of one to three words in a row, after stopwords and single letters are dropped."""
     w = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: ~x.isin(*stopwords) & (F.length(x) > 1))
-    return F.concat(w, *(_word_runs(w, k) for k in (2, 3)))
+    return let(w, lambda x: F.concat(x, *(_word_runs(x, k) for k in (2, 3))))
 
 
 def _word_runs(w: Column, k: int) -> Column:
@@ -89,10 +91,24 @@ def _word_runs(w: Column, k: int) -> Column:
 
 def counts(grams: Column) -> Column:
     """Map from gram to count."""
-    return F.map_from_entries(F.transform(F.array_distinct(grams), lambda g: F.struct(g, F.size(F.filter(grams, lambda x: x == g)))))
+    return let(grams, lambda all_: F.map_from_entries(F.transform(F.array_distinct(all_), lambda g: F.struct(g, F.size(all_) - F.size(F.array_remove(all_, g))))))
+
+
+def occurrences(grams: Column) -> Column:
+    """A multiset as distinct strings, gram and number of the occurrence: set functions then count as multisets do."""
+    number = lambda o: F.transform(o, lambda g, i: F.concat(g, F.lit("\t"), (i + 2 - F.array_position(o, g)).cast("string")))
+    return let(F.array_sort(grams), number)
 
 
 # ---------------------------------------------------------------- pair functions
+def multiset_jaccard(a: Column, b: Column, most: float | None = None) -> Column:
+    """counter_jaccard of two multisets given as occurrences."""
+    shared = F.size(F.array_intersect(a, b))
+    union = (F.size(a) + F.size(b) - shared).cast("double")
+    bottom = F.least(union, F.lit(float(most))) if most else union
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.least(shared / bottom, F.lit(1.0)))
+
+
 def counter_jaccard(a: Column, b: Column, most: float | None = None) -> Column:
     """Multiset Jaccard of two count maps: shared over united, at most 1, the denominator at most `most`; NULL if either is empty."""
     shared = F.aggregate(F.map_entries(a), F.lit(0), lambda acc, e: acc + F.least(e["value"], F.coalesce(F.element_at(b, e["key"]), F.lit(0))))

@@ -39,25 +39,25 @@ def columns_of(groups: list[str]) -> list[str]:
 
 # ---------------------------------------------------------------- preparation
 def prepare_papers(papers: DataFrame) -> DataFrame:
-    """papers (paper_id, title, abstract, journal_name, venue, year, authors, references) plus normalised text and count maps."""
+    """papers (paper_id, title, abstract, journal_name, venue, year, authors, references) plus normalised text and gram multisets."""
     has = lambda c: F.coalesce(F.length(F.trim(F.col(c))) > 0, F.lit(False))
     title, venue, journal = (T.normalize_text(F.col(c)) for c in ("title", "venue", "journal_name"))
     return papers.select(
         "*", title.alias("title_n"), has("abstract").alias("has_abstract"),
-        T.counts(T.word_ngrams(title)).alias("title_words"), T.counts(T.char_ngrams(title)).alias("title_chars"),
-        T.counts(T.char_ngrams(venue, stopwords=T.VENUE_STOPWORDS)).alias("venue_grams"), T.counts(T.char_ngrams(journal, stopwords=T.VENUE_STOPWORDS)).alias("journal_grams"),
+        T.occurrences(T.word_ngrams(title)).alias("title_words"), T.occurrences(T.char_ngrams(title)).alias("title_chars"),
+        T.occurrences(T.char_ngrams(venue, stopwords=T.VENUE_STOPWORDS)).alias("venue_grams"), T.occurrences(T.char_ngrams(journal, stopwords=T.VENUE_STOPWORDS)).alias("journal_grams"),
     )
 
 
 def reference_details(papers: DataFrame) -> DataFrame:
-    """(paper_id, ref_authors, ref_titles, ref_venues, ref_blocks): count maps over the resolved references; misses drop out."""
+    """(paper_id, ref_authors, ref_titles, ref_venues, ref_blocks): gram multisets over the resolved references; misses drop out."""
     refs = papers.select("paper_id", F.explode("references").alias("ref"))
     cited = papers.select(F.col("paper_id").alias("ref"), T.normalize_text(F.col("title")).alias("title"), T.normalize_text(F.concat_ws(" ", "venue", "journal_name")).alias("venue"), F.transform("authors", lambda a: T.normalize_text(a["author_name"])).alias("names"))
     both = refs.join(cited, "ref").groupBy("paper_id").agg(
         F.concat_ws(" ", F.array_sort(F.collect_list(F.array_join("names", " ")))).alias("names"), F.concat_ws(" ", F.array_sort(F.collect_list("title"))).alias("titles"),
         F.concat_ws(" ", F.array_sort(F.collect_list("venue"))).alias("venues"), F.flatten(F.collect_list(F.transform("names", T.compute_block))).alias("blocks"),
     )
-    return both.select("paper_id", T.counts(T.char_ngrams(F.col("names"), stopwords=None)).alias("ref_authors"), T.counts(T.word_ngrams(F.col("titles"))).alias("ref_titles"), T.counts(T.char_ngrams(F.col("venues"), stopwords=T.VENUE_STOPWORDS)).alias("ref_venues"), T.counts(F.col("blocks")).alias("ref_blocks"))
+    return both.select("paper_id", T.occurrences(T.char_ngrams(F.col("names"), stopwords=None)).alias("ref_authors"), T.occurrences(T.word_ngrams(F.col("titles"))).alias("ref_titles"), T.occurrences(T.char_ngrams(F.col("venues"), stopwords=T.VENUE_STOPWORDS)).alias("ref_venues"), T.occurrences(F.col("blocks")).alias("ref_blocks"))
 
 
 def prepare_signatures(signatures: DataFrame, papers: DataFrame, name_counts: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -66,11 +66,11 @@ def prepare_signatures(signatures: DataFrame, papers: DataFrame, name_counts: di
     name = T.split_first_middle(F.col("first"), F.col("middle"))
     s = signatures.withColumn("name", name).withColumn("first_n", F.col("name.first")).withColumn("middle_n", F.col("name.middle")).drop("name").withColumn("last_n", T.normalize_text(F.col("last")))
     s = s.withColumn("block", T.compute_block(F.trim(F.concat_ws(" ", "first_n", "last_n")))).withColumn("orcid", T.orcid(F.col("source_ids")))
-    s = s.withColumn("affiliation_grams", T.counts(T.word_ngrams(T.normalize_text(F.array_join("affiliations", " ")), AFFILIATION_STOPWORDS)))
+    s = s.withColumn("affiliation_grams", T.occurrences(T.word_ngrams(T.normalize_text(F.array_join("affiliations", " ")), AFFILIATION_STOPWORDS)))
     s = s.join(papers.select("paper_id", "authors"), "paper_id")
     others = F.transform(F.filter("authors", lambda a: a["position"] != F.col("position")), lambda a: T.normalize_text(a["author_name"]))
     s = s.withColumn("coauthors", F.array_sort(F.array_distinct(others))).withColumn("coauthor_blocks", F.array_sort(F.array_distinct(F.transform("coauthors", T.compute_block))))
-    s = s.withColumn("coauthor_grams", T.counts(T.char_ngrams(F.array_join("coauthors", " "), unigrams=False, stopwords=None))).drop("authors")
+    s = s.withColumn("coauthor_grams", T.occurrences(T.char_ngrams(F.array_join("coauthors", " "), unigrams=False, stopwords=None))).drop("authors")
     canonical = F.when(F.contains(F.coalesce("last", F.lit("")), F.lit("-")) | F.contains(F.col("last_n"), F.lit(" ")), F.replace("last_n", F.lit(" "), F.lit(""))).otherwise(F.col("last_n"))
     head = F.split("first_n", " ")[0]
     keys = {"first": head, "last": canonical, "first_last": F.concat_ws(" ", head, canonical), "last_first_initial": F.concat_ws(" ", canonical, head)}
@@ -226,7 +226,7 @@ def pair_features(references: bool = False) -> list[Column]:
     """The 39 feature columns over pairs of prepared signatures with their papers' columns, each side with _a and _b."""
     a, b = (lambda n: F.col(f"{n}_a")), (lambda n: F.col(f"{n}_b"))
     both = lambda f, n, *x: f(a(n), b(n), *x)
-    initials = lambda m: T.counts(F.transform(T.words(m), lambda w: F.left(w, F.lit(1))))
+    initials = lambda m: T.occurrences(F.transform(T.words(m), lambda w: F.left(w, F.lit(1))))
     single = lambda m: F.exists(F.split(m, " "), lambda w: F.length(w) == 1)
     empty = lambda m: F.length(m) == 0
     year = lambda c: F.when(c > 0, c)
@@ -237,26 +237,26 @@ def pair_features(references: bool = False) -> list[Column]:
     most = lambda n: F.when(a(n).isNotNull() & b(n).isNotNull(), F.greatest(a(n), b(n)))
     if references:
         cites = F.array_contains(a("references"), b("paper_id")) | F.array_contains(b("references"), a("paper_id"))
-        refs = [both(T.counter_jaccard, "ref_authors", 5000), both(T.counter_jaccard, "ref_titles"), both(T.counter_jaccard, "ref_venues"), both(T.counter_jaccard, "ref_blocks"), F.coalesce(cites, F.lit(False)).cast("int"), both(T.jaccard, "references")]
+        refs = [both(T.multiset_jaccard, "ref_authors", 5000), both(T.multiset_jaccard, "ref_titles"), both(T.multiset_jaccard, "ref_venues"), both(T.multiset_jaccard, "ref_blocks"), F.coalesce(cites, F.lit(False)).cast("int"), both(T.jaccard, "references")]
     else:
         refs = [F.lit(None).cast("double")] * 6
     values = [
-        both(T.equal, "first_n"), T.counter_jaccard(initials(a("middle_n")), initials(b("middle_n"))), both(T.equal_middle, "middle_n"), (empty(a("middle_n")) != empty(b("middle_n"))).cast("int"),
-        ((F.length(a("first_n")) == 1) | (F.length(b("first_n")) == 1)).cast("int"), (single(a("middle_n")) | single(b("middle_n"))).cast("int"), both(T.counter_jaccard, "affiliation_grams"),
+        both(T.equal, "first_n"), T.multiset_jaccard(initials(a("middle_n")), initials(b("middle_n"))), both(T.equal_middle, "middle_n"), (empty(a("middle_n")) != empty(b("middle_n"))).cast("int"),
+        ((F.length(a("first_n")) == 1) | (F.length(b("first_n")) == 1)).cast("int"), (single(a("middle_n")) | single(b("middle_n"))).cast("int"), both(T.multiset_jaccard, "affiliation_grams"),
         (ea["prefix"] == eb["prefix"]).cast("int"), (ea["suffix"] == eb["suffix"]).cast("int"),
-        both(T.jaccard, "coauthor_blocks"), both(T.counter_jaccard, "coauthor_grams", 5000), both(T.jaccard, "coauthors"),
-        both(T.counter_jaccard, "venue_grams"), T.difference(year(a("year")), year(b("year")), 50), both(T.counter_jaccard, "title_words"), both(T.counter_jaccard, "title_chars"), *refs,
+        both(T.jaccard, "coauthor_blocks"), both(T.multiset_jaccard, "coauthor_grams", 5000), both(T.jaccard, "coauthors"),
+        both(T.multiset_jaccard, "venue_grams"), T.difference(year(a("year")), year(b("year")), 50), both(T.multiset_jaccard, "title_words"), both(T.multiset_jaccard, "title_chars"), *refs,
         both(T.difference, "position", 50), a("has_abstract").cast("int") + b("has_abstract").cast("int"), english, (a("language") == b("language")).cast("int"), a("reliable").cast("int") + b("reliable").cast("int"),
         least("count_first"), least("count_first_last"), least("count_last"), least("count_last_first_initial"), most("count_first"), most("count_first_last"),
-        F.when((english == 2) & nonzero(a("vector")) & nonzero(b("vector")), both(T.cosine, "vector") + 1), both(T.counter_jaccard, "journal_grams"), *T.name_text_features(a("first_n"), b("first_n")),
+        F.when((english == 2) & nonzero(a("vector")) & nonzero(b("vector")), both(T.cosine, "vector") + 1), both(T.multiset_jaccard, "journal_grams"), *T.name_text_features(a("first_n"), b("first_n")),
     ]
     return [v.cast("double").alias(n) for v, n in zip(values, FEATURES)]
 
 
-def featurize(signatures: DataFrame, papers: DataFrame, key: str = "signature_id", references: bool = False, groups: list[str] | None = None) -> DataFrame:
-    """(a, b, features...) for all pairs in a block of prepared signatures."""
+def featurize(signatures: DataFrame, papers: DataFrame, key: str = "signature_id", references: bool = False, groups: list[str] | None = None, block: str = "block") -> DataFrame:
+    """(a, b, features...) for all pairs in a block (or sub-block) of prepared signatures."""
     rows = signatures.join(papers.drop("authors"), "paper_id")
-    pairs = pairs_in_block(rows, "block", key)
+    pairs = pairs_in_block(rows, block, key)
     out = pairs.select(F.col(f"{key}_a").alias("a"), F.col(f"{key}_b").alias("b"), *pair_features(references))
     return out if groups is None else out.select("a", "b", *columns_of(groups))
 

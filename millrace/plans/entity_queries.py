@@ -35,10 +35,9 @@ _CATEGORY = "CASE WHEN name_a = name_b THEN 'same' ELSE 'different' END || '_nam
 
 
 # ---------------------------------------------------------------- text and names
-@query("normalize_text", "SELECT doc_id, trim(regexp_replace(lower(replace(substr(text, 1, 200), '''', '')), '[^a-z]+', ' ', 'g')) AS norm FROM documents WHERE lang = 'en' AND length(text) = strlen(text)")
+@query("normalize_text", "SELECT doc_id, trim(regexp_replace(lower(replace(replace(strip_accents(text), 'ß', 'ss'), '''', '')), '[^a-z]+', ' ', 'g')) AS norm FROM documents")
 def normalize_text(spark, d):
-    docs = table(spark, d, "documents").where((F.col("lang") == "en") & (F.length("text") == F.octet_length("text")))
-    return docs.select("doc_id", T.normalize_text(F.substring("text", 1, 200), True).alias("norm"))
+    return table(spark, d, "documents").select("doc_id", T.normalize_text(F.col("text"), True).alias("norm"))
 
 
 @query("name_blocks", f"WITH {BIB_SQL} SELECT block, count(*) AS n FROM bib GROUP BY block")
@@ -72,13 +71,13 @@ def word_ngrams(spark, d):
     return table(spark, d, "benchmark").select("item_id", F.explode(T.word_ngrams(text, stop)).alias("g")).groupBy("item_id", "g").agg(F.count("*").alias("n"))
 
 
-@query("ngram_multiset_jaccard", f"""WITH g AS (SELECT p_partkey AS k, g, count(*) AS n FROM (SELECT p_partkey, unnest({_GRAMS}) AS g FROM (SELECT p_partkey, lower(p_type) AS p_type FROM part WHERE p_partkey <= 120)) WHERE NOT contains(g, ' ') GROUP BY 1, 2),
- t AS (SELECT k, sum(n) AS t FROM g GROUP BY k), p AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE b.p_partkey <= 120),
+@query("ngram_multiset_jaccard", f"""WITH g AS (SELECT p_partkey AS k, g, count(*) AS n FROM (SELECT p_partkey, unnest({_GRAMS}) AS g FROM (SELECT p_partkey, lower(p_type) AS p_type FROM part)) WHERE NOT contains(g, ' ') GROUP BY 1, 2),
+ t AS (SELECT k, sum(n) AS t FROM g GROUP BY k), p AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey),
  s AS (SELECT p.a, p.b, sum(least(x.n, y.n)) AS s FROM p JOIN g x ON x.k = p.a JOIN g y ON y.k = p.b AND y.g = x.g GROUP BY 1, 2)
  SELECT p.a, p.b, round(coalesce(s.s, 0) / CAST(ta.t + tb.t - coalesce(s.s, 0) AS DOUBLE), 9) AS score FROM p JOIN t ta ON ta.k = p.a JOIN t tb ON tb.k = p.b LEFT JOIN s ON s.a = p.a AND s.b = p.b""")
 def ngram_multiset_jaccard(spark, d):
-    p = table(spark, d, "part").where("p_partkey <= 120").select("p_partkey", "p_brand", T.counts(T.char_ngrams(F.lower("p_type"), stopwords=None)).alias("g"))
-    pairs = N.pairs_in_block(p, "p_brand", "p_partkey")
+    p = table(spark, d, "part").select("p_partkey", F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("key"), T.counts(T.char_ngrams(F.lower("p_type"), stopwords=None)).alias("g"))
+    pairs = N.pairs_in_block(p, "key", "p_partkey")
     return pairs.select(F.col("p_partkey_a").alias("a"), F.col("p_partkey_b").alias("b"), F.round(T.counter_jaccard(F.col("g_a"), F.col("g_b")), 9).alias("score"))
 
 
@@ -213,12 +212,12 @@ def flip_gate(spark, d):
 _SIDE = "lower(split_part(name, ' ', 1)) AS first_n, CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n, lower(split_part(name, ' ', -1)) AS last_n, CASE WHEN person % 7 = 0 THEN CAST(person AS VARCHAR) END AS orcid, CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed, year % 2 = 0 AS reliable, CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language"
 
 
-@query("constraint_case", f"""WITH {BIB_SQL}, s AS (SELECT sig, bucket, block, {_SIDE} FROM bib), p AS (SELECT a.sig AS sa, b.sig AS sb, a.first_n AS fa, b.first_n AS fb, string_split(a.middle_n, ' ') AS ma0, string_split(b.middle_n, ' ') AS mb0, a.last_n AS la, b.last_n AS lb, a.orcid AS oa, b.orcid AS ob, a.seed AS da, b.seed AS db, a.reliable AND b.reliable AND a.language <> b.language AS lang, (a.sig + b.sig) % 97 = 0 AS dis FROM s a JOIN s b ON a.bucket = b.bucket AND a.last_n[1] = b.last_n[1] AND a.sig < b.sig),
+@query("constraint_case", f"""WITH {BIB_SQL}, s AS (SELECT sig, paper // 40 AS bucket, block, {_SIDE} FROM bib), p AS (SELECT a.sig AS sa, b.sig AS sb, a.first_n AS fa, b.first_n AS fb, string_split(a.middle_n, ' ') AS ma0, string_split(b.middle_n, ' ') AS mb0, a.last_n AS la, b.last_n AS lb, a.orcid AS oa, b.orcid AS ob, a.seed AS da, b.seed AS db, a.reliable AND b.reliable AND a.language <> b.language AS lang, (a.sig + b.sig) % 97 = 0 AS dis FROM s a JOIN s b ON a.bucket = b.bucket AND a.last_n[1] = b.last_n[1] AND a.sig < b.sig),
  q AS (SELECT *, list_filter(ma0, lambda x: x <> '' AND NOT (x = 'de' AND list_contains(mb0, 'de'))) AS ma, list_filter(mb0, lambda x: x <> '' AND NOT (x = 'de' AND list_contains(ma0, 'de'))) AS mb FROM p)
  SELECT sa AS a, sb AS b, CASE WHEN dis THEN 10000.0 WHEN da = db THEN 0.0 WHEN da <> db THEN 10000.0 WHEN oa = ob THEN 0.0 WHEN la <> lb THEN 10000.0 WHEN fa <> '' AND fb <> '' AND fa[1] <> fb[1] THEN 10000.0 WHEN lang THEN 10000.0 WHEN NOT (starts_with(fa, fb) OR starts_with(fb, fa)) THEN 10000.0
   WHEN len(ma) > 0 AND len(mb) > 0 AND (NOT list_has_any(list_transform(ma, lambda x: x[1]), list_transform(mb, lambda x: x[1])) OR (len(list_filter(ma, lambda x: length(x) > 1)) > 0 AND len(list_filter(mb, lambda x: length(x) > 1)) > 0 AND NOT list_has_any(list_filter(ma, lambda x: length(x) > 1), list_filter(mb, lambda x: length(x) > 1)))) THEN 10000.0 END AS value FROM q""")
 def constraint_case(spark, d):
-    s = bibliography(spark, d).select("sig", "bucket", *(F.expr(x) for x in ("lower(split_part(name, ' ', 1)) AS first_n", "CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n", "lower(split_part(name, ' ', -1)) AS last_n", "CASE WHEN person % 7 = 0 THEN CAST(person AS STRING) END AS orcid", "CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed", "year % 2 = 0 AS reliable", "CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language")))
+    s = bibliography(spark, d).select("sig", F.expr("paper div 40").alias("bucket"), *(F.expr(x) for x in ("lower(split_part(name, ' ', 1)) AS first_n", "CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n", "lower(split_part(name, ' ', -1)) AS last_n", "CASE WHEN person % 7 = 0 THEN CAST(person AS STRING) END AS orcid", "CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed", "year % 2 = 0 AS reliable", "CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language")))
     s = s.withColumn("key", F.concat_ws("/", F.col("bucket").cast("string"), F.left("last_n", F.lit(1))))
     pairs = N.pairs_in_block(s, "key", "sig").withColumn("disallowed", (F.col("sig_a") + F.col("sig_b")) % 97 == 0)
     return pairs.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), N.constraint(F.lit(False)).alias("value"))
@@ -356,10 +355,11 @@ def logistic_distance(spark, d):
 
 @query("pair_features_39")
 def pair_features_39(spark, d):
-    """All 39 features over a small bibliography: no SQL; tests check them one by one."""
-    bib = bibliography(spark, d).where("bucket = 1")
+    """All 39 features within blocks of neighbouring papers: no SQL; tests check them one by one."""
+    bib = bibliography(spark, d)
     authors = bib.groupBy(F.col("paper").alias("paper_id")).agg(F.array_sort(F.collect_list(F.struct("position", F.col("name").alias("author_name")))).alias("authors"), F.first("year").alias("year"))
     papers = N.prepare_papers(authors.select("paper_id", F.concat(F.lit("Study of "), (F.col("paper_id") % 17).cast("string"), F.lit(" and other things")).alias("title"), F.lit(None).cast("string").alias("abstract"), F.lit("Journal of Parts").alias("journal_name"), F.lit("Parts Conf").alias("venue"), "year", "authors", F.array().cast("array<long>").alias("references")))
     papers = papers.select("*", F.lit("en").alias("language"), F.lit(True).alias("reliable"), F.array(F.lit(1.0), (F.col("paper_id") % 5).cast("double")).alias("vector"))
     sigs = bib.select(F.col("sig").alias("signature_id"), F.col("paper").alias("paper_id"), F.split("name", " ")[0].alias("first"), F.lit("").alias("middle"), F.element_at(F.split("name", " "), -1).alias("last"), F.lit(None).cast("string").alias("suffix"), F.col("position").cast("int").alias("position"), F.lit(None).cast("string").alias("email"), F.array(F.lit("University of Parts")).alias("affiliations"), F.array(F.lit("0000-0001-2345-678X")).alias("source_ids"))
-    return N.featurize(N.prepare_signatures(sigs, papers), papers.drop("paper_n"))
+    rows = N.prepare_signatures(sigs, papers).withColumn("key", F.concat_ws("/", "block", F.expr("cast(paper_id div 40 as string)")))
+    return N.featurize(rows, papers, block="key")

@@ -222,7 +222,7 @@ def import_hubs(spark, d):
 @query("parsed_symbols")
 def parsed_symbols(spark, d):
     """By the parser: no SQL; tests compare it with ast."""
-    return I.parse_files(code_files(spark, d).where("path like 'pkg/%'")).groupBy("path", "kind").agg(F.count("*").alias("n"))
+    return I.parse_files(code_files(spark, d)).groupBy("path", "kind").agg(F.count("*").alias("n"))
 
 
 # ---------------------------------------------------------------- enrichment and chat rows
@@ -252,13 +252,12 @@ def trace_pad_cap(spark, d):
 
 
 def _doc_evidence():
-    lines = L.split_lines(F.col("text"))
-    return F.transform(F.slice(lines, 1, 6), lambda x, i: R.evidence(F.lit("f"), i + 1, i + 1, x))
+    return F.transform(L.split_lines(F.col("text")), lambda x, i: R.evidence(F.lit("f"), i + 1, i + 1, x))
 
 
 @query(
     "evidence_budget",
-    """WITH b AS (SELECT doc_id, unnest(range(0, len(ls[1:6]))) AS i, unnest(ls[1:6]) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+    """WITH b AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
  t AS (SELECT doc_id, i, '[evidence ' || i || '] file=f lines=' || (i + 1) || '-' || (i + 1) || chr(10) || x AS blk FROM b), s AS (SELECT *, sum(length(blk)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM t),
  f AS (SELECT doc_id, min(i) AS over_ FROM s WHERE run > 600 GROUP BY doc_id)
  SELECT s.doc_id, string_agg(CASE WHEN i = over_ THEN '[evidence ' || i || '] <omitted: evidence budget exceeded; add narrower spans if needed>' ELSE blk END, chr(10) || chr(10) ORDER BY i) AS block FROM s LEFT JOIN f ON f.doc_id = s.doc_id WHERE over_ IS NULL OR i <= over_ GROUP BY s.doc_id""",
@@ -292,6 +291,7 @@ def sft(spark, d):
     return sft_rows(items).select("id", "user", "target")
 
 
-@query("evidence_text_cut", "SELECT doc_id, CASE WHEN length(b) > 300 THEN substr(b, 1, 300) || chr(10) || chr(10) || '...<truncated>...' ELSE b END AS block FROM (SELECT doc_id, '[evidence 0] file=f lines=1-1' || chr(10) || string_split(text, chr(10))[1] AS b FROM documents)")
+@query("evidence_text_cut", """WITH l AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)), b AS (SELECT doc_id, string_agg('[evidence ' || i || '] file=f lines=' || (i + 1) || '-' || (i + 1) || chr(10) || x, chr(10) || chr(10) ORDER BY i) AS b FROM l GROUP BY doc_id)
+ SELECT doc_id, CASE WHEN length(b) > 300 THEN substr(b, 1, 300) || chr(10) || chr(10) || '...<truncated>...' ELSE b END AS block FROM b""")
 def evidence_text_cut(spark, d):
-    return table(spark, d, "documents").select("doc_id", evidence_text(F.slice(_doc_evidence(), 1, 1), 300).alias("block"))
+    return table(spark, d, "documents").select("doc_id", evidence_text(_doc_evidence(), 300).alias("block"))
