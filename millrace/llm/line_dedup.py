@@ -16,7 +16,7 @@ map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import common as C
@@ -72,14 +72,23 @@ def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     gone = repeated_lines(docs, text, key, k, w)
     both = docs.withColumn("_mr_fp", F.xxhash64(docs[text].cast("string"))).join(gone, docs[key].cast("long").eqNullSafe(F.col("_mr_d")) & (F.col("_mr_fp") == F.col("_mr_f")), "left")
     lines = F.split(docs[text].cast("string"), "\n", -1)
-    full = F.filter(F.sequence(F.lit(0), F.size("_mr_ls") - 1), lambda i: F.length(F.trim(F.element_at("_mr_ls", (i + 1).cast("int")))) > 0)
-    both = both.withColumn("_mr_ls", F.when(F.col("_mr_cut").isNotNull(), lines))
-    cut = F.transform("_mr_cut", lambda i: F.element_at("_mr_full", (i + 1).cast("int")))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("_mr_ls") - 1), cut)
-    kept = F.array_join(F.transform(keep, lambda i: F.element_at("_mr_ls", (i + 1).cast("int"))), "\n")
-    both = both.withColumn("_mr_full", F.when(F.col("_mr_cut").isNotNull(), full))
-    out = [F.when(F.col("_mr_cut").isNull(), docs[text]).otherwise(kept).alias(c) if c.lower() == text.lower() else docs[c] for c in docs.columns]
-    return both.select(*out, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_mr_lines"), F.coalesce(F.size("_mr_cut"), F.lit(0)).cast("long").alias("_mr_gone"))
+
+    def kept(ls):
+        """The lines that stay. Cuts count non-blank lines only; each value is bound once, as lambdas would compute it per element."""
+        numbers = F.sequence(F.lit(0), F.size(ls) - 1)
+        full = F.filter(numbers, lambda i: F.length(F.trim(F.get(ls, i))) > 0)
+        cut = _let(full, lambda f: F.transform("_mr_cut", lambda i: F.get(f, i.cast("int"))))
+        return _let(F.array_except(numbers, cut), lambda keep: F.array_join(F.transform(keep, lambda i: F.get(ls, i)), "\n"))
+
+    new = F.when(F.col("_mr_cut").isNull(), docs[text].cast("string")).otherwise(_let(lines, kept))
+    found = F.struct(new.alias("_mr_text"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_mr_lines"), F.coalesce(F.size("_mr_cut"), F.lit(0)).cast("long").alias("_mr_gone"))
+    # a generator of one row: what reads the new text reads its value and not its expression
+    both = both.select(*(docs[c] for c in docs.columns), F.inline(F.array(found)))
+    return both.select(*(F.col("_mr_text").alias(c) if c.lower() == text.lower() else docs[c] for c in docs.columns), "_mr_lines", "_mr_gone")
+
+
+def _let(value: Column, use) -> Column:
+    return F.get(F.transform(F.array(value), lambda x: use(x)), 0)
 
 
 def op1_line_dedup(spark, sf_dir):
