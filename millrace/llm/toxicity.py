@@ -24,6 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,14 +114,14 @@ def numbering(c: np.ndarray) -> np.ndarray:
 
 def features(c: np.ndarray, number: np.ndarray) -> np.ndarray:
     """Dense kernel features of a few units, scaled."""
-    out = np.zeros((len(c), number.max() + 1))
+    out = np.zeros((len(c), number.max() + 1), np.float32)
     norm = np.zeros(len(c))
     rows = np.arange(len(c))[:, None]
     for idx, w, ok in _subsequences(c):
-        np.add.at(out, (np.broadcast_to(rows, idx.shape), number[idx]), w * ok)
+        np.add.at(out, (np.broadcast_to(rows, idx.shape), number[idx]), np.float32(w) * ok)
         norm += w * w * ok.sum(1)
     out[:, 0] = 0
-    return out / np.sqrt(np.maximum(norm, 1e-12))[:, None]
+    return out / np.sqrt(np.maximum(norm, 1e-12))[:, None].astype(np.float32)
 
 
 def project(c: np.ndarray, number: np.ndarray, tables: np.ndarray) -> np.ndarray:
@@ -185,19 +186,30 @@ class Model:
 
 def fit(docs: list[tuple[int, list[bytes]]], rates: dict[int, float]) -> Model | None:
     """A model from (label, distinct units) of texts; rates: the share of each label's texts that was taken."""
-    label = np.array([y for y, _ in docs], int)
+    units_ = pa.array([u for _, u in docs], pa.list_(pa.binary()))
+    return fit_arrays(np.array([y for y, _ in docs], int), units_, rates)
+
+
+def fit_arrays(label: np.ndarray, units_: pa.ListArray, rates: dict[int, float]) -> Model | None:
+    """As fit, from arrays: no Python object for each unit of each text."""
     if not (label == 1).any() or not (label == 0).any():
         return None
-    names, flat = np.unique(np.concatenate([np.array(u, object) for _, u in docs if u]).astype(bytes), return_inverse=True)
-    owner = np.repeat(np.arange(len(docs)), [len(u) for _, u in docs])
+    coded = units_.flatten().dictionary_encode()
+    names = coded.dictionary.cast(pa.large_binary())
+    by_name = pc.sort_indices(names)
+    names = names.take(by_name)
+    place = np.empty(len(names), np.int64)
+    place[by_name.to_numpy()] = np.arange(len(names))
+    flat = place[coded.indices.to_numpy(zero_copy_only=False)]
+    owner = np.repeat(np.arange(len(label)), np.diff(units_.offsets.to_numpy()))
     df = np.stack([np.bincount(flat[label[owner] == y], minlength=len(names)) for y in (0, 1)])
     rate = df / np.array([[(label == 0).sum()], [(label == 1).sum()]])
     lift = np.log((rate[1] + 1e-3) / (rate[0] + 1e-3))
-    raw = b"".join(names.tolist())
-    size = np.array([len(x) for x in names.tolist()])
-    start = np.cumsum(size) - size
-    c = codes(np.frombuffer(raw, np.uint8), start, start + size)
-    usable = sum(ok.any(1) for _, _, ok in _subsequences(c)).astype(bool)
+    start = np.frombuffer(names.buffers()[1], np.int64, len(names) + 1)
+    raw = np.frombuffer(names.buffers()[2], np.uint8)
+    parts = [slice(i, i + 20000) for i in range(0, len(names), 20000)]
+    c = np.concatenate([codes(raw, start[:-1][k], start[1:][k]) for k in parts])
+    usable = np.concatenate([sum(ok.any(1) for _, _, ok in _subsequences(c[k])).astype(bool) for k in parts])
     telling = np.flatnonzero(usable & (df[1] >= 2) & (lift > 0))
     telling = telling[np.argsort(-(lift * np.sqrt(df[1]))[telling], kind="stable")][: 5 * LANDMARKS // 8]
     common = np.flatnonzero(usable & (df[0] >= df[1]))
@@ -216,13 +228,13 @@ def fit(docs: list[tuple[int, list[bytes]]], rates: dict[int, float]) -> Model |
             marks = np.unique(np.concatenate([marks, worst[hard[worst] > 0]]))
             number = numbering(c[marks])
             phi = features(c[marks], number)
-            val, vec = np.linalg.eigh(phi @ phi.T)
+            val, vec = np.linalg.eigh((phi @ phi.T).astype(float))
             white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
         # witnesses: the units of a toxic text that score at least half of its highest
-        top = np.full(len(docs), -np.inf)
+        top = np.full(len(label), -np.inf)
         np.maximum.at(top, owner, score[flat])
         near = tox & (score[flat] >= np.where(top > 0, 0.5 * top, top)[owner]) & np.isfinite(score[flat])
-        per_text = np.bincount(owner[near], minlength=len(docs))
+        per_text = np.bincount(owner[near], minlength=len(label))
         witness = np.bincount(flat[near], 1 / per_text[owner[near]], minlength=len(names))
         # other texts' worst units so far, and their most frequent ones
         if model is not None:
@@ -230,15 +242,15 @@ def fit(docs: list[tuple[int, list[bytes]]], rates: dict[int, float]) -> Model |
             hard += np.bincount(flat[worst], minlength=len(names))
         pos, neg = np.flatnonzero(witness), np.unique(np.concatenate([common[:4000], np.flatnonzero(hard)]))
         rows = np.concatenate([pos, neg])
-        x = np.concatenate([project(part, number, phi.T) for part in np.array_split(c[rows], 1 + len(rows) // 4000)]) @ white
+        x = np.concatenate([project(part, number, phi.T) for part in np.array_split(c[rows], 1 + len(rows) // 400)]) @ white
         weight = np.concatenate([witness[pos] / witness[pos].sum(), 0.5 * np.log1p(df[0][neg]) / max(np.log1p(df[0][neg]).sum(), 1e-9) + 0.5 * hard[neg] / max(hard.sum(), 1e-9)])
         w = squared_hinge(x, np.concatenate([np.ones(len(pos)), -np.ones(len(neg))]), weight)
         table = (phi.T @ (white @ w[:-1]))[:, None]
-        model = Model(number, table, float(w[-1]), [bytes(names[i]) for i in marks])
+        model = Model(number, table, float(w[-1]), [names[int(i)].as_py() for i in marks])
         f = np.concatenate([model.margins(part) for part in np.array_split(c, 1 + len(c) // 8000)])
         score = np.where(usable, f, -np.inf)
     weight = np.array([1 / max(rates.get(int(v), 1.0), 1e-9) for v in label])
-    model.scale = logistic(evidence(len(docs), owner, flat, f), label.astype(float), weight / weight.mean())
+    model.scale = logistic(evidence(len(label), owner, flat, f), label.astype(float), weight / weight.mean())
     model.scale[:2] = np.maximum(model.scale[:2], 0.01)
     return model
 
@@ -304,8 +316,10 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     sample = known.where(pick).select(F.col("doc_id").alias("_mr_id"), "toxic")  # about train_docs rows of a label: small enough to send
     texts = docs.select(docs["text"].cast("string").alias("text"), docs["doc_id"].cast("long").alias("doc_id"))
     rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_mr_id")).select("text", "toxic").mapInArrow(_unit_map, "toxic int, units array<binary>").toArrow()
-    toxic = rows["toxic"].to_pylist()
-    return fit(sorted((y, [bytes(u) for u in us]) for y, us in zip(toxic, rows["units"].to_pylist())), rates)
+    if not len(rows):
+        return None
+    rows = rows.combine_chunks()
+    return fit_arrays(rows["toxic"].to_numpy().astype(int), rows["units"].chunk(0), rates)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
