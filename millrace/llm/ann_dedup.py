@@ -3,17 +3,19 @@
 1. Equal vectors are merged by their bytes; the rest works on distinct unit vectors.
 2. k-means on a bounded, documented sample (``SAMPLE`` vectors by hash) gives centroids, so
    many that a shard holds about ``SHARD`` vectors. A vector's home is its nearest
-   centroid c; it also goes to every shard d with x.c - x.d <= chord * |c - d|, where
-   chord is the distance of unit vectors at the threshold. Any vector within the threshold
-   then has its home among these shards: shards overlap as far as links can reach. A shard
+   centroid c; it also goes to every shard d with x.c - x.d <= s * chord * |c - d|, where
+   chord is the distance of unit vectors at the threshold. With s = 1 every vector within
+   the threshold has its home among these shards. As a deviation in n dimensions points
+   along one line by 1 / sqrt(n) of its length, s = SIGMAS / sqrt(n) (1 at most) is taken:
+   shards overlap as far as links reach, but for one in thousands. A shard
    with more than ``SPLIT`` vectors is dealt into blocks by hash, each with a graph of its
    own, and the shard's queries run against every block, a slice of them at a time.
-3. In a shard or block, the nearest and some far candidates of each vector are
+3. Each vector takes part in the graphs of its two nearest shards. There, the nearest and some far candidates of each vector are
    robust-pruned (an edge is left out if a kept neighbour is ALPHA times closer to its
-   end), and reverse edges are added. A vector's lists from all shards that hold it are
+   end), and reverse edges are added. A vector's lists are
    united into one flat graph.
-4. Each vector is a query in the shards that it was dealt to, against the vectors at home
-   there: greedy search from the medoid with a beam, and every vector within the range is
+4. Each vector is a query in the shards that it was dealt to; links with the vectors at home
+   there count, the others there only lead on: greedy search from the medoid and its own list with a beam, and every vector within the range is
    expanded too, so that dense groups are walked whole.
 5. Found pairs are verified by exact cosines in double precision. As each vector is at home
    once, counts of links add up over shards; a task returns a count and a local
@@ -32,8 +34,10 @@ from millrace.llm import common as C
 
 THRESHOLD = 0.95
 SAMPLE = 20_000
-SHARD = 1500
-SPLIT = 6000
+SHARD = 8000
+SPLIT = 12_000
+SIGMAS = 3.5
+BUILD_SHARDS = 2
 DEGREE = 24
 CANDIDATES = 64
 ALPHA = 1.2
@@ -64,13 +68,16 @@ def robust_prune(sims: np.ndarray, x: np.ndarray, cand: np.ndarray, degree: int,
     return keep
 
 
-def build(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alpha: float = ALPHA) -> np.ndarray:
-    """Adjacency (n x 2*degree, -1 pads) of the vectors of one shard, with reverse edges and a path through all."""
+def build(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (from, to) of the vectors of one shard, with reverse edges and a path through all.
+
+    A vector takes up to degree - 1 reverse edges, the closest first, but always that of a vector to
+    which it is the nearest: so each vector can be reached from its nearest neighbour."""
     n = len(x)
     k = min(candidates, n - 1)
-    out = np.full((n, 2 * degree), -1, np.int64)
     if n < 2:
-        return out
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    out = np.full((n, degree), -1, np.int64)
     rng = np.random.Generator(np.random.PCG64(n))
     for a in range(0, n, 1024):
         sims = x[a : a + 1024] @ x.T
@@ -82,22 +89,34 @@ def build(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alp
         cand = np.concatenate([near, far], 1)
         s = np.where(cand >= 0, np.take_along_axis(sims, np.maximum(cand, 0), 1), -2)
         o = np.argsort(-s, axis=1, kind="stable")
-        out[a : a + 1024, :degree] = robust_prune(np.take_along_axis(s, o, 1), x, np.take_along_axis(cand, o, 1), degree, alpha)
-    src = np.repeat(np.arange(n), degree)
-    dst = out[:, :degree].reshape(-1)
-    src, dst = src[dst >= 0], dst[dst >= 0]
+        out[a : a + 1024] = robust_prune(np.take_along_axis(s, o, 1), x, np.take_along_axis(cand, o, 1), degree, alpha)
+    src, dst = np.repeat(np.arange(n), degree), out.reshape(-1)
+    nearest = np.tile(np.arange(degree) == 0, n)
+    src, dst, nearest = src[dst >= 0], dst[dst >= 0], nearest[dst >= 0]
     sim = np.einsum("nd,nd->n", x[src], x[dst])
-    o = np.lexsort((-sim, dst))  # reverse edges, the closest first
-    src, dst = src[o], dst[o]
-    head = np.concatenate([[True], dst[1:] != dst[:-1]]) if len(dst) else np.zeros(0, bool)
-    place = np.arange(len(dst)) - np.maximum.accumulate(np.where(head, np.arange(len(dst)), 0))
-    ok = place < degree - 1
-    out[dst[ok], degree + place[ok]] = src[ok]
-    out[:, -1] = (np.arange(n) + 1) % n  # reachable from anywhere, whatever was pruned
-    return out
+    o = np.lexsort((-sim, dst))
+    head = np.concatenate([[True], dst[o][1:] != dst[o][:-1]])
+    place = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
+    back = o[(place < degree - 1) | nearest[o]]
+    ring = np.arange(n)
+    return np.concatenate([src, dst[back], ring]), np.concatenate([dst, src[back], (ring + 1) % n])
+
+
+def lists_of(src: np.ndarray, dst: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges as rows: (first edge of each vector and the total, ends)."""
+    code = np.unique(src * n + dst) if n else np.zeros(0, np.int64)
+    return np.searchsorted(code, np.arange(n + 1) * n), code % max(1, n)
 
 
-def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.ndarray, threshold: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+def neighbours(graph: tuple[np.ndarray, np.ndarray], rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, neighbour) for each neighbour of each node."""
+    first, ends = graph
+    n = first[nodes + 1] - first[nodes]
+    at = np.repeat(first[nodes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return np.repeat(rows, n), ends[at]
+
+
+def search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: np.ndarray, start_q: np.ndarray, start_v: np.ndarray, threshold: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """(query, vector) pairs with similarity >= threshold that a range-expanding greedy search finds; all queries at once."""
     n = len(x)
     q = len(queries)
@@ -144,12 +163,12 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.nda
         open_[u] = np.take_along_axis(np.concatenate([open_[u], more_n >= 0], 1), o, 1)
         sim[u] = np.take_along_axis(all_s, o, 1)
 
-    look(np.repeat(np.arange(q), len(starts)), np.tile(starts, q))
+    look(start_q, start_v)
     while True:
         if len(wide_q):  # range expansion first: every vector within the range is expanded
-            rows, nodes = wide_q[:200_000], wide_v[:200_000]
-            wide_q, wide_v = wide_q[200_000:], wide_v[200_000:]
-            look(np.repeat(rows, graph.shape[1]), graph[nodes].reshape(-1))
+            rows, nodes = wide_q[:50_000], wide_v[:50_000]
+            wide_q, wide_v = wide_q[50_000:], wide_v[50_000:]
+            look(*neighbours(graph, rows, nodes))
             continue
         some = open_.any(1)
         if not some.any():
@@ -158,7 +177,7 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.nda
         j = open_[rows].argmax(1)  # beams are sorted: the first open one is the closest
         nodes = best[rows, j]
         open_[rows, j] = False
-        look(np.repeat(rows, graph.shape[1]), graph[nodes].reshape(-1))
+        look(*neighbours(graph, rows, nodes))
     if not got_q:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(got_q), np.concatenate(got_v)
@@ -189,20 +208,19 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def _deal_map(centroids_b, threshold: float):
-    chord = np.sqrt(2 - 2 * threshold) + 1e-9
-
     def run(batches):
         c = centroids_b.value
+        chord = (np.sqrt(2 - 2 * threshold) + 1e-9) * min(1.0, SIGMAS / np.sqrt(c.shape[1]))
         apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
         for batch in batches:
             for part in (batch.slice(i, 2048) for i in range(0, len(batch), 2048)):
                 dot = unit(part.column(1).to_pylist()) @ c.T
                 home = dot.argmax(1)
                 take = dot.max(1, keepdims=True) - dot <= chord * apart[home]
-                take[np.arange(len(home)), home] = True
-                row, col = np.nonzero(take)
+                rank = np.argsort(np.argsort(-dot, axis=1, kind="stable"), axis=1, kind="stable")
+                row, col = np.nonzero(take | (rank < BUILD_SHARDS))
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(col.astype(np.int32)), part.column(0).take(at), part.column(1).take(at), part.column(2).take(at), pa.array(home[row] == col)], ["shard", "id", "v", "c", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(col.astype(np.int32)), part.column(0).take(at), part.column(1).take(at), part.column(2).take(at), pa.array(home[row] == col), pa.array(rank[row, col] < BUILD_SHARDS)], ["shard", "id", "v", "c", "home", "near"])
 
     return run
 
@@ -213,8 +231,8 @@ def _build_group(key, table):
     o = np.argsort(ids, kind="stable")
     ids = ids[o]
     x = unit(table["v"].to_pylist())[o]
-    g = build(x)
-    return pa.table({"id": ids, "out": pa.array([ids[r[r >= 0]] for r in g], pa.list_(pa.int64()))})
+    first, ends = lists_of(*build(x), len(ids))
+    return pa.table({"id": ids, "out": pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids[ends]))})
 
 
 def _search_group(threshold: float):
@@ -224,30 +242,34 @@ def _search_group(threshold: float):
         ids = ids[o]
         x = unit(table["v"].to_pylist())[o]
         lists = table["out"].to_pylist()
-        asks, held, weight = (table[n].to_numpy(zero_copy_only=False)[o] for n in ("asks", "data", "c"))
+        asks, held, home, weight = (table[n].to_numpy(zero_copy_only=False)[o] for n in ("asks", "data", "home", "c"))
+        weight = np.where(home, weight, 0)  # vectors at home elsewhere are walked over here and counted there
         data, ask = np.flatnonzero(held), np.flatnonzero(asks)
         total, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         if not len(data) or not len(ask):
             return pa.table({"id": ids[ask], "n": total[ask], "root": ids[ask]})
-        adj = [np.array(lists[o[i]] or [], np.int64) for i in data]
         known = ids[data]
-        flat = np.concatenate(adj) if adj else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(data)), [len(a) for a in adj])
+        flat = np.concatenate([np.array(lists[i] or [], np.int64) for i in o])
+        owner = np.repeat(np.arange(len(ids)), [len(lists[i] or []) for i in o])
         at = np.searchsorted(known, flat)
         at[at == len(known)] = 0
-        here = known[at] == flat if len(flat) else np.zeros(0, bool)
-        owner, at = owner[here], at[here]  # neighbours in other shards are reached there
-        deg = np.bincount(owner, minlength=len(data))
-        graph = np.full((len(data), max(1, deg.max()) + 1), -1, np.int64)
-        graph[owner, np.arange(len(owner)) - np.repeat(np.cumsum(deg) - deg, deg)] = at
-        graph[:, -1] = (np.arange(len(data)) + 1) % len(data)
+        here = known[at] == flat  # neighbours in other shards are reached there
+        owner, at = owner[here], at[here]
+        own = (np.searchsorted(owner, np.arange(len(ids) + 1)), at)  # entry points of each query
+        spot = np.full(len(ids), -1, np.int64)
+        spot[data] = np.arange(len(data))
+        inner = spot[owner] >= 0
+        ring = np.arange(len(data))
+        graph = lists_of(np.concatenate([spot[owner[inner]], ring]), np.concatenate([at[inner], (ring + 1) % len(data)]), len(data))
         y = x[data]
         mean = y.mean(0)
-        medoid = np.array([int((y @ mean).argmax())])
+        medoid = int((y @ mean).argmax())
         for part in np.array_split(ask, 1 + len(ask) // 1000):
             if not len(part):
                 continue
-            q, v = search(y, graph, x[part], medoid, threshold - 1e-9)
+            rows, entry = neighbours(own, np.arange(len(part)), part)
+            start_q, start_v = np.concatenate([np.arange(len(part)), rows]), np.concatenate([np.full(len(part), medoid), entry])
+            q, v = search(y, graph, x[part], start_q, start_v, threshold - 1e-9)
             a, b = part[q], data[v]
             ok = (np.einsum("nd,nd->n", x[a], x[b]) >= threshold) & (ids[a] != ids[b])
             a, b = a[ok], b[ok]
@@ -275,17 +297,18 @@ def search_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sample = unit([r["v"] for r in part]) if part else np.zeros((0, 1))
     k = max(1, min(len(sample), -(-n // SHARD)))
     centroids = spark.sparkContext.broadcast(kmeans(sample, k) if len(sample) else np.zeros((1, 1)))
-    dealt = C.materialize(vectors.select("id", "v", "c").mapInArrow(_deal_map(centroids, threshold), "shard int, id long, v array<double>, c long, home boolean"), "shards")
+    dealt = C.materialize(vectors.select("id", "v", "c").mapInArrow(_deal_map(centroids, threshold), "shard int, id long, v array<double>, c long, home boolean, near boolean"), "shards")
     sizes = dealt.groupBy("shard").agg(F.count("*").alias("size")).select(F.col("shard").alias("s"), F.ceil(F.col("size") / SPLIT).cast("int").alias("blocks"))
-    dealt = dealt.join(sizes, F.col("shard") == F.col("s")).select("shard", "id", "v", "c", "home", "blocks", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks").cast("long")).cast("int").alias("block"))
+    dealt = dealt.join(sizes, F.col("shard") == F.col("s")).select("shard", "id", "v", "c", "home", "near", "blocks", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks").cast("long")).cast("int").alias("block"))
     dealt = C.materialize(dealt, "blocks")
-    built = dealt.groupBy("shard", "block").applyInArrow(_build_group, "id long, out array<long>")
+    built = dealt.where("near").groupBy("shard", "block").applyInArrow(_build_group, "id long, out array<long>")
     flat = C.materialize(built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "graph")
-    # a task: the vectors at home in one block, and one slice of the shard's queries
+    # a task: the vectors of one block, and one slice of the shard's queries
     each = F.sequence(F.lit(0), F.col("blocks") - 1)
-    data = dealt.where("home").join(flat, "id").select("shard", "block", F.explode(each).alias("slice"), "id", "v", "c", "out", F.lit(True).alias("data"), (F.col("slice") == F.col("block")).alias("asks"))
-    asks = dealt.select("shard", F.explode(each).alias("b"), F.col("block").alias("slice"), "block", "id", "v", "c", "home").where("b <> block or not home")
-    asks = asks.select("shard", F.col("b").alias("block"), "slice", "id", "v", "c", F.lit(None).cast("array<long>").alias("out"), F.lit(False).alias("data"), F.lit(True).alias("asks"))
+    dealt = dealt.join(flat, "id")
+    data = dealt.select("shard", "block", F.explode(each).alias("slice"), "id", "v", "c", "out", F.lit(True).alias("data"), "home", (F.col("slice") == F.col("block")).alias("asks"))
+    asks = dealt.select("shard", F.explode(each).alias("b"), F.col("block").alias("slice"), "block", "id", "v", "c", "out").where("b <> block")
+    asks = asks.select("shard", F.col("b").alias("block"), "slice", "id", "v", "c", "out", F.lit(False).alias("data"), F.lit(False).alias("home"), F.lit(True).alias("asks"))
     return data.unionByName(asks).groupBy("shard", "block", "slice").applyInArrow(_search_group(threshold), "id long, n long, root long")
 
 
