@@ -149,8 +149,10 @@ def assign_incremental(distances: DataFrame, groups: DataFrame, eps: float = 0.5
 
     distances: (id, cluster, d) of new ids to members of old clusters; groups: (id, grp), the new ids' own clusters. Means per id and
     cluster, then the mean of these over each group; the nearest cluster strictly within eps, ties to the smallest."""
-    per_id = distances.groupBy("id", "cluster").agg(F.avg("d").alias("d"))
-    per_group = groups.join(per_id, "id").groupBy("grp", "cluster").agg(F.avg("d").alias("d")).where(F.col("d") < eps)
+    # rounded, so that the order in which doubles are summed decides no tie
+    mean = F.round(F.avg("d"), 9).alias("d")
+    per_id = distances.groupBy("id", "cluster").agg(mean)
+    per_group = groups.join(per_id, "id").groupBy("grp", "cluster").agg(mean).where(F.col("d") < eps)
     best = per_group.groupBy("grp").agg(F.min(F.struct("d", "cluster")).alias("best")).select("grp", F.col("best.cluster").alias("cluster"))
     return groups.join(best, "grp", "left").select("id", "cluster")
 
