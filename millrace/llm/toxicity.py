@@ -198,10 +198,10 @@ def fit_arrays(label: np.ndarray, units_: pa.ListArray, rates: dict[int, float])
     names = coded.dictionary.cast(pa.large_binary())
     by_name = pc.sort_indices(names)
     names = names.take(by_name)
-    place = np.empty(len(names), np.int64)
-    place[by_name.to_numpy()] = np.arange(len(names))
+    place = np.empty(len(names), np.int32)
+    place[by_name.to_numpy()] = np.arange(len(names), dtype=np.int32)
     flat = place[coded.indices.to_numpy(zero_copy_only=False)]
-    owner = np.repeat(np.arange(len(label)), np.diff(units_.offsets.to_numpy()))
+    owner = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(units_.offsets.to_numpy()))
     df = np.stack([np.bincount(flat[label[owner] == y], minlength=len(names)) for y in (0, 1)])
     rate = df / np.array([[(label == 0).sum()], [(label == 1).sum()]])
     lift = np.log((rate[1] + 1e-3) / (rate[0] + 1e-3))
@@ -218,7 +218,7 @@ def fit_arrays(label: np.ndarray, units_: pa.ListArray, rates: dict[int, float])
     if not len(marks):
         return None
     clean, tox = label[owner] == 0, label[owner] == 1
-    score = np.where(df[1] >= 2, lift * np.sqrt(df[1]), lift - 10)
+    score = np.where(df[1] >= 2, lift * np.sqrt(df[1]), lift - 10).astype(np.float32)
     score[~usable] = -np.inf
     hard = np.zeros(len(names))
     model = None
@@ -232,13 +232,14 @@ def fit_arrays(label: np.ndarray, units_: pa.ListArray, rates: dict[int, float])
             white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
         # witnesses: the units of a toxic text that score at least half of its highest
         top = np.full(len(label), -np.inf)
-        np.maximum.at(top, owner, score[flat])
-        near = tox & (score[flat] >= np.where(top > 0, 0.5 * top, top)[owner]) & np.isfinite(score[flat])
+        mine = score[flat]
+        np.maximum.at(top, owner, mine)
+        near = tox & (mine >= np.where(top > 0, 0.5 * top, top)[owner]) & np.isfinite(mine)
         per_text = np.bincount(owner[near], minlength=len(label))
         witness = np.bincount(flat[near], 1 / per_text[owner[near]], minlength=len(names))
         # other texts' worst units so far, and their most frequent ones
         if model is not None:
-            worst = clean & (score[flat] >= np.maximum(top, -0.5)[owner])
+            worst = clean & (mine >= np.maximum(top, -0.5)[owner])
             hard += np.bincount(flat[worst], minlength=len(names))
         pos, neg = np.flatnonzero(witness), np.unique(np.concatenate([common[:4000], np.flatnonzero(hard)]))
         rows = np.concatenate([pos, neg])
@@ -248,7 +249,7 @@ def fit_arrays(label: np.ndarray, units_: pa.ListArray, rates: dict[int, float])
         table = (phi.T @ (white @ w[:-1]))[:, None]
         model = Model(number, table, float(w[-1]), [names[int(i)].as_py() for i in marks])
         f = np.concatenate([model.margins(part) for part in np.array_split(c, 1 + len(c) // 8000)])
-        score = np.where(usable, f, -np.inf)
+        score = np.where(usable, f, -np.inf).astype(np.float32)
     weight = np.array([1 / max(rates.get(int(v), 1.0), 1e-9) for v in label])
     model.scale = logistic(evidence(len(label), owner, flat, f), label.astype(float), weight / weight.mean())
     model.scale[:2] = np.maximum(model.scale[:2], 0.01)
