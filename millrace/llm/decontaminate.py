@@ -1,17 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman on words.
-
-Words are lower-cased and parted at white space, as 64-bit hashes. One pass counts the
-documents that hold each n-gram of the benchmark. A gram is a seed if it is rare, seen
-against its own item: in at most 4 times as many documents as the item's lower quartile
-(a leaked item raises all its grams alike) plus a share ``RARE_SHARE`` of all documents.
-A second pass aligns, around each cluster of seed hits of an item, the item with the
-document's words (match +2, mismatch -1, gap -1, affine-free Smith-Waterman, many windows
-at once) and keeps pairs whose best local score reaches ``MIN_SCORE`` of the item's own.
-Windows take half an item's length on both sides, so that edits and insertions fit.
-
-Nothing but the counts is shuffled. The benchmark is the side that is sent to all tasks;
-it is taken in blocks of at most ``BLOCK_WORDS`` words, each with its own two passes, so
-that what is sent has a fixed bound however long the benchmark is.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman on words.
+
+Words are lower-cased and parted at white space, as 64-bit hashes. Every n-gram that a
+document shares with an item is a seed, however many documents hold it: a count cannot
+tell a common phrase from a leak with many copies. Around each cluster of seeds of an item
+the item is aligned with the document's words (match +2, mismatch -1, gap -1, affine-free
+Smith-Waterman, many windows at once); pairs whose best local score reaches ``MIN_SCORE``
+of the item's own are kept. Windows take half an item's length on both sides, so that edits
+and insertions fit. A window is aligned only if twice the words it has in common with the
+item, which no alignment exceeds, reach that score; chance hits of common phrases end there.
+
+Nothing is shuffled but results, and the documents are read once for each block. The
+benchmark is the side that is sent to all tasks; it is taken in blocks of at most
+``BLOCK_WORDS`` words, so that what is sent has a fixed bound however long the benchmark is.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from millrace.llm import common as C
 
 U64 = C.U64
 GRAM = 3
-RARE_SHARE = 1e-4
 MIN_SCORE = 0.5
 BLOCK_WORDS = 2_000_000
+CELLS = 1 << 22  # of windows that are aligned at once
 _COEF = np.random.Generator(np.random.PCG64(9)).integers(1, 2**63, 8, dtype=np.uint64) | U64(1)
 
 
@@ -62,9 +62,31 @@ class Items:
         self.g, self.item, self.place = g[o], item[o], place[o]
         self.sizes = sorted({min(gram, len(w)) for w in self.words} - {0})
         self.keys = np.unique(self.g)
+        # each item's different words and how often it has them, as sorted keys of both
+        self.own, self.times = np.unique(self.word_keys(np.concatenate([*self.words, self.g[:0]]), np.repeat(np.arange(len(self.words)), [len(w) for w in self.words])), return_counts=True)
         self.mask = np.zeros(1 << 20, bool)
         self.mask[(self.keys >> U64(44)).astype(np.int64)] = True
 
+    @staticmethod
+    def word_keys(h: np.ndarray, item: np.ndarray) -> np.ndarray:
+        return C.mix(h ^ C.mix(item.astype(U64) + U64(1)))
+
+    def common(self, h: np.ndarray, lo: np.ndarray, hi: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """For each window of h, the number of words it has in common with its item, repeats counted as often as both have them."""
+        out = np.zeros(len(lo), np.int64)
+        step = np.cumsum(hi - lo) // CELLS
+        for part in np.split(np.arange(len(lo)), np.flatnonzero(np.diff(step)) + 1):
+            n = hi[part] - lo[part]
+            win = np.repeat(np.arange(len(part)), n)
+            at = np.arange(len(win)) - np.repeat(np.cumsum(n) - n, n) + lo[part][win]
+            v = self.word_keys(h[at], item[part][win])
+            k = np.searchsorted(self.own, v)
+            k[k == len(self.own)] = 0
+            same = self.own[k] == v
+            pair, c = np.unique(win[same] * len(self.own) + k[same], return_counts=True)
+            out[part] = np.bincount(pair // len(self.own), np.minimum(c, self.times[pair % len(self.own)]), len(part))
+        return out
+
     def hits(self, h: np.ndarray, first: np.ndarray):
         """(place in h, number of the key) of the grams of a block's texts that the items hold."""
         found = []
@@ -81,24 +103,6 @@ class Items:
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def _df_map(items_b):
-    def run(batches):
-        items = items_b.value
-        df = np.zeros(len(items.keys), np.int64)
-        docs = 0
-        for batch in batches:
-            docs += len(batch)
-            for _, _, data, offs in C.utf8_blocks(batch.column(0)):
-                h, _, _, first = C.words(data, offs)
-                _, k, text = items.hits(h, first)
-                pair = np.unique(text * len(items.keys) + k)
-                np.add.at(df, pair % max(1, len(items.keys)), 1)
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], docs))], ["k", "c"])
-
-    return run
-
-
 def smith_waterman(a: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best local score of words a against each row of wins (0 pads), and the column where it ends."""
     m = len(wins)
@@ -122,18 +126,16 @@ def smith_waterman(a: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndar
     return best, end
 
 
-def _aligned(items: Items, seed: np.ndarray, lo_of: np.ndarray, hi_of: np.ndarray, column: pa.Array, min_score: float) -> list[tuple[int, int, float, int, int]]:
+def _aligned(items: Items, lo_of: np.ndarray, hi_of: np.ndarray, column: pa.Array, min_score: float) -> list[tuple[int, int, float, int, int]]:
     """(row, item, score, seeds, end word) of the windows that reach min_score."""
     rows: list[tuple] = []
     for base, _, data, offs in C.utf8_blocks(column):
         h, _, _, first = C.words(data, offs)
         at, k, text = items.hits(h, first)
-        # every (item, place) that holds the gram, if it is a seed there
+        # every (item, place) that holds the gram
         n = hi_of[k] - lo_of[k]
         rep = np.repeat(np.arange(len(at)), n)
         e = lo_of[k][rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-        ok = seed[e]
-        rep, e = rep[ok], e[ok]
         if not len(e):
             continue
         item, start, doc = items.item[e], at[rep] - items.place[e], text[rep]
@@ -149,10 +151,15 @@ def _aligned(items: Items, seed: np.ndarray, lo_of: np.ndarray, hi_of: np.ndarra
         half = size[cut] // 2 + 1
         w_lo = np.maximum(start[cut] - half, first[w_doc])
         w_hi = np.minimum(start[last] + size[cut] + half, first[w_doc + 1])
-        for it in np.unique(w_item):
-            mine = np.flatnonzero(w_item == it)
+        # an alignment scores at most 2 for each word in common
+        able = items.common(h, w_lo, w_hi, w_item) >= min_score * size[cut]
+        for it in np.unique(w_item[able]):
+            mine = np.flatnonzero(able & (w_item == it))
             mine = mine[np.argsort(w_hi[mine] - w_lo[mine])]
-            for part in np.array_split(mine, -(-len(mine) // 512)):
+            # of widths within a power of two, so that padding at most doubles a part
+            wide = w_hi[mine] - w_lo[mine]
+            step = np.cumsum(wide) // CELLS + (np.frexp(wide)[1].astype(np.int64) << 40)
+            for part in np.split(mine, np.flatnonzero(np.diff(step)) + 1):
                 width = int((w_hi[part] - w_lo[part]).max())
                 wins = np.zeros((len(part), width), U64)
                 for r, j in enumerate(part):
@@ -165,12 +172,12 @@ def _aligned(items: Items, seed: np.ndarray, lo_of: np.ndarray, hi_of: np.ndarra
     return rows
 
 
-def _align_map(items_b, seeds_b, min_score: float):
+def _align_map(items_b, min_score: float):
     def run(batches):
-        items, seed = items_b.value, seeds_b.value
+        items = items_b.value
         lo_of, hi_of = np.searchsorted(items.g, items.keys), np.searchsorted(items.g, items.keys, "right")
         for batch in batches:
-            rows = _aligned(items, seed, lo_of, hi_of, batch.column(0), min_score)
+            rows = _aligned(items, lo_of, hi_of, batch.column(0), min_score)
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).take(take), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64())))],
@@ -180,48 +187,33 @@ def _align_map(items_b, seeds_b, min_score: float):
     return run
 
 
-def _keep_map(items_b, seeds_b, min_score: float, at: int):
+def _keep_map(items_b, min_score: float, at: int):
     """Whole rows that hold no item."""
 
     def run(batches):
-        items, seed = items_b.value, seeds_b.value
+        items = items_b.value
         lo_of, hi_of = np.searchsorted(items.g, items.keys), np.searchsorted(items.g, items.keys, "right")
         for batch in batches:
             keep = np.ones(len(batch), bool)
-            keep[[r[0] for r in _aligned(items, seed, lo_of, hi_of, batch.column(at), min_score)]] = False
+            keep[[r[0] for r in _aligned(items, lo_of, hi_of, batch.column(at), min_score)]] = False
             yield batch.filter(pa.array(keep))
 
     return run
 
 
-def seeded_blocks(docs: DataFrame, benchmark: DataFrame, text: str, gram: int, rare_share: float):
-    """For each block of the benchmark: the items and which of their grams are seeds, sent to all tasks."""
+def item_blocks(docs: DataFrame, benchmark: DataFrame, gram: int):
+    """The items of each block of the benchmark, sent to all tasks."""
     sc = docs.sparkSession.sparkContext
-    texts = docs.select(docs[text].cast("string").alias("text")).where("text is not null")
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.size(F.split(F.col("text"), r"\s+")))).first()[0] or 0
     blocks = 1 + int(total // BLOCK_WORDS)
     for b in range(blocks):
         # at most about BLOCK_WORDS words come to the driver at a time
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        block = Items([r["item_id"] for r in part], [r["text"] for r in part], gram)
-        items_b = sc.broadcast(block)
-        counts = texts.mapInArrow(_df_map(items_b), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()
-        df, n_docs = np.zeros(len(block.keys)), 0
-        for r in counts:
-            if r["k"] < 0:
-                n_docs = r["c"]
-            else:
-                df[r["k"]] = r["c"]
-        entry = df[np.searchsorted(block.keys, block.g)] if len(block.g) else np.zeros(0)
-        limit = np.zeros(len(block.ids))
-        for i in range(len(block.ids)):
-            mine = entry[block.item == i]
-            limit[i] = 4 * np.quantile(mine, 0.25) + rare_share * n_docs + 2 if len(mine) else 0
-        yield items_b, sc.broadcast(entry <= limit[block.item] if len(entry) else np.zeros(0, bool))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", gram: int = GRAM, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
+        yield sc.broadcast(Items([r["item_id"] for r in part], [r["text"] for r in part], gram))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", gram: int = GRAM, min_score: float = MIN_SCORE) -> DataFrame:
     """(doc_id, item_id, score, n_seeds, end_word): each pair's best alignment that reaches min_score.
 
     score: best local score over twice the item's words; end_word: the word after the
@@ -230,19 +222,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     """
     texts = docs.select(docs[text].cast("string").alias("text"), docs[key].cast("long").alias("doc_id")).where("text is not null")
     out = None
-    for items_b, seeds_b in seeded_blocks(docs, benchmark, text, gram, rare_share):
-        got = texts.mapInArrow(_align_map(items_b, seeds_b, min_score), "doc_id long, item_id long, score double, n_seeds long, end_word long")
+    for items_b in item_blocks(docs, benchmark, gram):
+        got = texts.mapInArrow(_align_map(items_b, min_score), "doc_id long, item_id long, score double, n_seeds long, end_word long")
         out = got if out is None else out.unionByName(got)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "n_seeds", "end_word")).alias("x"))
     return best.select("doc_id", "item_id", "x.score", "x.n_seeds", "x.end_word")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
-    """docs without rows that hold a benchmark item; all columns pass through, only gram counts are shuffled."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, min_score: float = MIN_SCORE) -> DataFrame:
+    """docs without rows that hold a benchmark item; all columns pass through, nothing is shuffled."""
     at = [c.lower() for c in docs.columns].index("text")
     out = docs
-    for items_b, seeds_b in seeded_blocks(docs, benchmark, "text", gram, rare_share):
-        out = out.mapInArrow(_keep_map(items_b, seeds_b, min_score, at), docs.schema)
+    for items_b in item_blocks(docs, benchmark, gram):
+        out = out.mapInArrow(_keep_map(items_b, min_score, at), docs.schema)
     return out
 
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -254,6 +255,35 @@ def test_edited_copies_are_found(spark):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0 and decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 300])
+def test_one_edited_copy_in_many_documents(spark, copies):
+    """The edit breaks a quarter of the item's grams and more; the others are as frequent as the copy."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8)))
+    item = [word() for _ in range(40)]
+    edited = [word() + "x" if i in (5, 14, 23, 32) else w for i, w in enumerate(item)]
+    texts = [" ".join([word() for _ in range(20)] + edited + [word() for _ in range(20)]) for _ in range(copies)] + [" ".join(word() for _ in range(80)) for _ in range(100)] + [" ".join(item)]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    assert set(got) == {*range(copies), len(texts) - 1}
+    assert {round(v, 6) for i, v in got.items() if i < copies} == {round(_align(item, edited) / 80, 6)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=3, max_size=8), st.lists(st.sampled_from("abcde"), min_size=1, max_size=20))
+def test_shared_grams_are_aligned(item, text):
+    items = decontaminate.Items([5], [" ".join(item)], 3)
+    lo, hi = np.searchsorted(items.g, items.keys), np.searchsorted(items.g, items.keys, "right")
+    rows = decontaminate._aligned(items, lo, hi, pa.array([" ".join(text)]), 0.5)
+    for r in rows:
+        assert r[2] <= _align(item, text) / (2 * len(item))
+    half = len(item) // 2 + 1
+    # windows of the item's first gram, whatever else the text holds
+    heads = [i for i in range(len(text) - 2) if text[i : i + 3] == item[:3]]
+    if any(_align(item, text[max(0, i - half) : i + len(item) + half]) >= len(item) for i in heads):
+        assert rows
+
+
 # ---------------------------------------------------------------- embeddings
 def test_embedding_links(spark):
     rng = np.random.default_rng(2)
