@@ -1,8 +1,8 @@
 """Author records: preparation, blocks, pairs, constraints and the 39 pair features, as DataFrames.
 
 A block is a column. Pairs are a self equi-join on it with an order on ids as residual;
-features and constraints are projections over joined pairs. Large blocks are first cut by
-`subblocks`, so that no key carries more rows than a bound.
+features and constraints are projections over joined pairs. Hot blocks are paired whole, in
+parts of bounded size; `subblocks` is for plans that want smaller blocks.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ AFFIXES = (
 ).split()
 HIGH, LOW = 10000.0, 0.0
 DISALLOW, REQUIRE = 10000.0, 0.0
+TILE = 2000  # rows of a block that meet under one join key
 AFFILIATION_STOPWORDS = (*T.STOPWORDS, *"university college lab organization department research institute school academy national laboratory".split())
 FEATURES = (
     "first_names_equal middle_initials_overlap middle_names_equal middle_one_missing single_char_first single_char_middle affiliation_overlap "
@@ -102,10 +103,18 @@ def subblocks(names: DataFrame, maximum: int, start: int = 2) -> DataFrame:
     return out.join(rest, F.col("name") == F.col("m"), "left").select("id", "name", F.coalesce("subblock", part).alias("subblock"))
 
 
-def pairs_in_block(rows: DataFrame, block: str, key: str) -> DataFrame:
-    """All unordered pairs (a < b) of the rows of a block, with both sides' columns."""
-    a, b = sided(rows, "a"), sided(rows, "b")
-    return a.join(b, (F.col(f"{block}_a") == F.col(f"{block}_b")) & (F.col(f"{key}_a") < F.col(f"{key}_b")))
+def pairs_in_block(rows: DataFrame, block: str, key: str, tile: int = TILE) -> DataFrame:
+    """All unordered pairs (a < b) of the rows of a block, with both sides' columns.
+
+    Blocks of more than `tile` rows are dealt by hash into parts of about that size; each part meets each
+    part under a join key of its own, so that no task has a whole hot block's pairs."""
+    # one row for each hot block, at most one for each `tile` rows
+    hot = rows.groupBy(F.col(block).alias("_hot")).agg(F.count("*").alias("_n")).where(F.col("_n") > tile).select("_hot", F.ceil(F.col("_n") / tile).cast("int").alias("_parts"))
+    dealt = rows.join(F.broadcast(hot), F.col(block) == F.col("_hot"), "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    a, b = (sided(dealt.select(*rows.columns, "_part", "_other"), side) for side in "ab")
+    same = (F.col(f"{block}_a") == F.col(f"{block}_b")) & (F.col("_part_a") == F.col("_other_b")) & (F.col("_other_a") == F.col("_part_b"))
+    return a.join(b, same & (F.col(f"{key}_a") < F.col(f"{key}_b"))).drop("_part_a", "_other_a", "_part_b", "_other_b")
 
 
 def drop_singletons(rows: DataFrame, block: str, first: int | None = None) -> DataFrame:

@@ -355,11 +355,10 @@ def logistic_distance(spark, d):
 
 @query("pair_features_39")
 def pair_features_39(spark, d):
-    """All 39 features within blocks of neighbouring papers: no SQL; tests check them one by one."""
+    """All 39 features of all pairs of a block: no SQL; tests check them one by one."""
     bib = bibliography(spark, d)
     authors = bib.groupBy(F.col("paper").alias("paper_id")).agg(F.array_sort(F.collect_list(F.struct("position", F.col("name").alias("author_name")))).alias("authors"), F.first("year").alias("year"))
     papers = N.prepare_papers(authors.select("paper_id", F.concat(F.lit("Study of "), (F.col("paper_id") % 17).cast("string"), F.lit(" and other things")).alias("title"), F.lit(None).cast("string").alias("abstract"), F.lit("Journal of Parts").alias("journal_name"), F.lit("Parts Conf").alias("venue"), "year", "authors", F.array().cast("array<long>").alias("references")))
     papers = papers.select("*", F.lit("en").alias("language"), F.lit(True).alias("reliable"), F.array(F.lit(1.0), (F.col("paper_id") % 5).cast("double")).alias("vector"))
     sigs = bib.select(F.col("sig").alias("signature_id"), F.col("paper").alias("paper_id"), F.split("name", " ")[0].alias("first"), F.lit("").alias("middle"), F.element_at(F.split("name", " "), -1).alias("last"), F.lit(None).cast("string").alias("suffix"), F.col("position").cast("int").alias("position"), F.lit(None).cast("string").alias("email"), F.array(F.lit("University of Parts")).alias("affiliations"), F.array(F.lit("0000-0001-2345-678X")).alias("source_ids"))
-    rows = N.prepare_signatures(sigs, papers).withColumn("key", F.concat_ws("/", "block", F.expr("cast(paper_id div 40 as string)")))
-    return N.featurize(rows, papers, block="key")
+    return N.featurize(N.prepare_signatures(sigs, papers), papers)

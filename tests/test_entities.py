@@ -148,3 +148,20 @@ def test_constraints(spark):
     schema = ", ".join(f"{c}_{s} {kinds.get(c, 'string')}" for s in "ab" for c in cols) + ", disallowed boolean, i int"
     got = {r["i"]: r["v"] for r in spark.createDataFrame(rows, schema).select("i", N.constraint(F.lit(False)).alias("v")).collect()}
     assert got == {i: c[2] for i, c in enumerate(cases)}
+
+
+@pytest.mark.parametrize("tile", [1, 7, 2000])
+def test_hot_block_is_paired_whole(spark, tile):
+    ids = {"hot": range(40), "two": (50, 60), "one": (70,), None: (80, 81)}
+    rows = spark.createDataFrame([(i, k, f"c{i}") for k, v in ids.items() for i in v], "id long, k string, c string")
+    got = sorted((r["id_a"], r["id_b"], r["c_a"], r["c_b"], r["k_a"]) for r in N.pairs_in_block(rows, "k", "id", tile).collect())
+    assert got == sorted((a, b, f"c{a}", f"c{b}", k) for k, v in ids.items() if k for a, b in itertools.combinations(v, 2))
+
+
+def test_features_cover_whole_blocks(spark):
+    from millrace.plans import entity_queries as Q
+    from millrace.plans.fixtures import bibliography
+
+    sf = "/root/testdata/sf0.001"
+    sizes = bibliography(spark, sf).groupBy("block").count().collect()
+    assert Q.pair_features_39(spark, sf).select("a", "b").distinct().count() == sum(r["count"] * (r["count"] - 1) // 2 for r in sizes) == 364482
