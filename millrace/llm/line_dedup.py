@@ -7,7 +7,9 @@ same place. Fingerprints that occur once in the corpus drop out first; only the
 of the others go on. Their positions are joined, and a shared fingerprint is extended
 both ways over every window it stands for: a window that also starts earlier (by doc_id,
 then line) is a match, and adjacent matches make up one maximal run. Later runs are
-deleted; the first occurrence stays whole.
+deleted; the first occurrence stays whole. Content counts beside lines: a single line of
+``ALONE`` bytes or more is a run too, its own window and fingerprint, also where it is all
+a document has.
 
 All groupings are minima, counts or sets of places within one document and combine
 before the shuffle, so that a line shared by a third of all documents costs one row per
@@ -22,54 +24,59 @@ from pyspark.sql import functions as F
 from millrace.llm import common as C
 
 K, W = 1, 2
+ALONE = 100
 
 
 def _sequences(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(doc_id, fp, ln, h): numbers and hashes of the non-blank lines."""
+    """(doc_id, fp, ln, h, size): numbers, hashes and bytes of the non-blank lines."""
     base = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).where("text is not null")
     lines = base.select("doc_id", F.xxhash64("text").alias("fp"), F.split("text", "\n", -1).alias("lines"))
-    numbered = lines.select("doc_id", "fp", F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), (F.length(F.trim(x)) > 0).alias("full"))), lambda s: s["full"]).alias("seq"))
-    return numbered.select("doc_id", "fp", F.col("seq.i").alias("ln"), F.col("seq.h").alias("h"))
+    numbered = lines.select("doc_id", "fp", F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.octet_length(F.trim(x)).alias("size"), (F.length(F.trim(x)) > 0).alias("full"))), lambda s: s["full"]).alias("seq"))
+    return numbered.select("doc_id", "fp", F.col("seq.i").alias("ln"), F.col("seq.h").alias("h"), F.col("seq.size").alias("size"))
 
 
-def windows(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W) -> DataFrame:
-    """(doc_id, fp, i, j, print, win): each window of w grams, with the place and hash of its fingerprint and the hash of its lines."""
+def windows(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W, alone: int | None = ALONE) -> DataFrame:
+    """(doc_id, fp, i, t, j, print, win): each window of w grams and each line of `alone` bytes, with its number of lines, the place and hash of its fingerprint and the hash of its lines."""
     t = w + k - 1
-    seq = _sequences(docs, text, key).where(F.size("h") >= t)
-    grams = F.col("h") if k == 1 else F.transform(F.sequence(F.lit(1), F.size("h") - (k - 1)), lambda i: F.xxhash64(F.slice("h", i, k)))
+    seq = _sequences(docs, text, key)
+    seq = seq.where(F.size("h") >= t) if alone is None else seq.where((F.size("h") >= t) | F.exists("size", lambda n: n >= alone))
+    grams = F.col("h") if k == 1 else F.when(F.size("h") >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.size("h") - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("h", i, k))))
     seq = seq.withColumn("g", grams)
     each = F.transform(
-        F.sequence(F.lit(1), F.size("g") - (w - 1)),
-        lambda i: F.struct((i - 1).alias("i"), F.slice("g", i, w).alias("g"), F.xxhash64(F.slice("h", i, t)).alias("win")),
+        F.sequence(F.lit(1), F.greatest(F.size("h") - (t - 1), F.lit(1))),
+        lambda i: F.struct((i - 1).alias("i"), F.lit(t).alias("t"), F.slice("g", i, w).alias("g"), F.xxhash64(F.slice("h", i, t)).alias("win")),
     )
-    low = seq.select("doc_id", "fp", F.explode(each).alias("x")).select("doc_id", "fp", "x.i", "x.win", F.array_min("x.g").alias("print"), "x.g")
-    return low.select("doc_id", "fp", "i", (F.col("i") + F.array_position("g", F.col("print")).cast("int") - 1).alias("j"), "print", "win")
+    if alone is not None:
+        single = F.transform("h", lambda h, i: F.struct(i.alias("i"), F.lit(1).alias("t"), F.array(F.xxhash64(h, F.lit("alone"))).alias("g"), h.alias("win")))
+        single = F.filter(single, lambda x: F.get("size", x["i"]) >= alone)
+        each = F.when(F.size("h") >= t, F.concat(each, single)).otherwise(single)
+    low = seq.select("doc_id", "fp", F.explode(each).alias("x")).select("doc_id", "fp", "x.i", "x.t", "x.win", F.array_min("x.g").alias("print"), "x.g")
+    return low.select("doc_id", "fp", "i", "t", (F.col("i") + F.array_position("g", F.col("print")).cast("int") - 1).alias("j"), "print", "win")
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W) -> DataFrame:
+def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W, alone: int | None = ALONE) -> DataFrame:
     """(_mr_d, _mr_f, _mr_cut): of each document that loses some, the numbers of its lines in later repeats."""
-    t = w + k - 1
-    win = C.materialize(windows(docs, text, key, k, w), "windows")
+    win = C.materialize(windows(docs, text, key, k, w, alone), "windows")
     prints = win.groupBy("print").agg(F.min(F.struct("doc_id", "fp", "j")).alias("lo"), F.max(F.struct("doc_id", "fp", "j")).alias("hi"))
     shared = prints.where("lo <> hi").select(F.col("print").alias("p"))
     seeds = win.join(shared, F.col("print") == F.col("p"), "left_semi")
     first = seeds.groupBy("print", "win").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "fp", "i")).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.col("print").alias("p"), F.col("win").alias("q"), "first", "c")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("fp"), F.col("i"))
     later = seeds.join(first, (F.col("print") == F.col("p")) & (F.col("win") == F.col("q"))).where(place > F.col("first"))
-    starts = later.groupBy(F.col("doc_id").alias("_mr_d"), F.col("fp").alias("_mr_f")).agg(F.collect_set("i").alias("starts"))
-    gone = F.array_distinct(F.flatten(F.transform("starts", lambda i: F.sequence(i, i + (t - 1)))))
+    starts = later.groupBy(F.col("doc_id").alias("_mr_d"), F.col("fp").alias("_mr_f")).agg(F.collect_set(F.struct("i", "t")).alias("starts"))
+    gone = F.array_distinct(F.flatten(F.transform("starts", lambda x: F.sequence(x["i"], x["i"] + x["t"] - 1))))
     return starts.select("_mr_d", "_mr_f", gone.alias("_mr_cut"))
 
 
-def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W) -> DataFrame:
-    """docs with later repeated runs of `w + k - 1` or more non-blank lines cut from `text`,
-    and _mr_lines, _mr_gone (lines before, lines deleted).
+def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W, alone: int | None = ALONE) -> DataFrame:
+    """docs with later repeated runs of `w + k - 1` or more non-blank lines, or of one line of
+    `alone` bytes or more (none if it is None), cut from `text`, and _mr_lines, _mr_gone (lines before, lines deleted).
 
     Blank lines stay and do not break runs. Null texts stay null. Rows that repeat an id
     and a text have one place between them, so they all stay and lose what an earlier
     document holds. A null id sorts last. All other columns pass through.
     """
-    gone = repeated_lines(docs, text, key, k, w)
+    gone = repeated_lines(docs, text, key, k, w, alone)
     both = docs.withColumn("_mr_fp", F.xxhash64(docs[text].cast("string"))).join(gone, docs[key].cast("long").eqNullSafe(F.col("_mr_d")) & (F.col("_mr_fp") == F.col("_mr_f")), "left")
     lines = F.split(docs[text].cast("string"), "\n", -1)
 
@@ -93,7 +100,7 @@ def _let(value: Column, use) -> Column:
 
 def op1_line_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = line_dedup(docs)
+    out = line_dedup(docs, alone=None)  # as its SQL, which knows runs of two lines only
     return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("_mr_lines")).alias("n_lines"), F.col("_mr_gone").alias("n_removed"), F.md5("text").alias("kept_md5"))
 
 

@@ -183,6 +183,16 @@ def test_line_dedup_is_exact(spark, k, w):
     assert out.columns[:4] == df.columns
 
 
+def test_long_single_lines_are_runs(spark):
+    long, other, edge = "passage " * 15, "another passage " * 8, "x" * 99
+    texts = [f"a\n{long}\nb", f"c\n{long}\nd", long, f"{other}\nshort\n\n{other}", other, f"{edge}\np", f"{edge}\nq", f"{edge}é", f"{edge}é", "short", "short", ""]
+    want = [texts[0], "c\nd", "", f"{other}\nshort\n", "", *texts[5:8], "", "short", "short", ""]
+    rows = {r["doc_id"]: r for r in line_dedup.line_dedup(docs(spark, texts)).collect()}
+    assert [rows[i]["text"] for i in range(len(texts))] == want
+    assert [rows[i]["_mr_gone"] for i in range(len(texts))] == [0, 1, 1, 1, 1, 0, 0, 0, 1, 0, 0, 0]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs(spark, texts), alone=None).collect()} == _lines(texts, 2)
+
+
 # ---------------------------------------------------------------- packing
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=50), st.sampled_from([(32,), (8, 32), (4, 8, 16, 32)]))
