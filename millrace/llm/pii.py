@@ -3,10 +3,10 @@
 Base spans are e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone numbers.
 Their values are the protected entities. A term (a word of four letters or more) near an
 entity discloses it as far as knowing the term tells that the entity is there: with
-document counts over the whole corpus, pointwise mutual information over the entity's
+document counts over the whole corpus (of rows, copies included, for all four), pointwise mutual information over the entity's
 information content, log2(n(t,e) * N / (n(t) * n(e))) / log2(N / n(e)), which is 1 for a
 term that occurs nowhere without the entity. Terms that reach ``GENERALISE`` in at least
-``SUPPORT`` different texts are generalised, from ``REMOVE`` on removed, wherever they
+``SUPPORT`` documents are generalised, from ``REMOVE`` on removed, wherever they
 stand in a text that holds the entity. Near means among the ``NEAR`` words on either side.
 
 All steps are DataFrame functions. Term counts are partial aggregates of each text's
@@ -102,16 +102,16 @@ def _near_words(piece: Column, cut: Column, before: bool) -> Column:
 
 def disclosing_terms(held: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, fp, term, disclosure) for terms that give away an entity of a text."""
-    ents = held.select("doc_id", "fp", "text", F.explode("base").alias("b"))
+    ents = held.select("doc_id", "fp", F.monotonically_increasing_id().alias("row"), "text", F.explode("base").alias("b"))
     s, e = F.col("b.start"), F.col("b.end")
     left = F.substring(F.col("text"), F.greatest(s - NEAR_CHARS, F.lit(0)) + 1, F.least(s, F.lit(NEAR_CHARS)))
     right = F.substring(F.col("text"), e + 1, F.lit(NEAR_CHARS))
     value = F.when(F.col("b.ord") == 0, F.lower("b.value")).when(F.col("b.ord") == 1, F.col("b.value")).otherwise(F.regexp_replace("b.value", "[^0-9]", ""))
     terms = F.concat(_near_words(left, s > NEAR_CHARS, True), _near_words(right, F.length("text") > e + NEAR_CHARS, False))
-    near = ents.select("doc_id", "fp", F.concat_ws(":", F.col("b.ord").cast("string"), value).alias("entity"), F.transform(terms, F.lower).alias("terms"))
+    near = ents.select("doc_id", "fp", "row", F.concat_ws(":", F.col("b.ord").cast("string"), value).alias("entity"), F.transform(terms, F.lower).alias("terms"))
     near = C.materialize(near, "near")
-    n_e = near.groupBy("entity", "fp").agg(F.lit(1).alias("x")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.select("entity", "fp", F.explode("terms").alias("term")).groupBy("entity", "term", "fp").agg(F.lit(1).alias("x")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    n_e = near.groupBy("entity", "row").agg(F.lit(1).alias("x")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    pairs = near.select("entity", "row", F.explode("terms").alias("term")).groupBy("entity", "term", "row").agg(F.lit(1).alias("x")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs[text].cast("string")), F.lit(WORD), F.lit(0)))).alias("term"))
     n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.agg(F.count("*").alias("total"))
@@ -136,7 +136,7 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     some = F.size("base") > 0
     table = C.materialize(base.select("doc_id", "fp", *(f"n_{k}" for k in KINDS), "base", F.when(some, F.col("text")).alias("text")), "pii")
     held = table.where(some)
-    terms = disclosing_terms(held.dropDuplicates(["doc_id", "fp"]), docs, text)
+    terms = disclosing_terms(held, docs, text)
     hit = terms.join(held.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "text").dropDuplicates(["d", "f"]), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})"), F.col("term"), F.lit(r"(?!\p{L})"))
     hit = hit.select("doc_id", "fp", "term", "disclosure", "text", F.regexp_extract_all("text", pattern, F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("g"))

@@ -368,6 +368,17 @@ def test_terms_that_disclose(spark):
     assert "w@mail.com" not in rows[0]["sanitised"] and "[EMAIL]" in rows[0]["sanitised"] and "wilhelminas" in rows[0]["sanitised"]
 
 
+def test_copies_count_in_all_disclosure_counts(spark):
+    """An entity and a term of two texts, one with many copies, and of one text with many copies."""
+    texts = ["Wilhelmina w@mail.com"] * 40 + ["Wilhelmina again w@mail.com"] + ["Ottokar o@mail.com"] * 30 + [f"note {i} about many things" for i in range(900)]
+    rows = {r["doc_id"]: r for r in pii.sanitise(docs(spark, texts)).collect()}
+    for i in (0, 39, 40):
+        assert "remove:0:10" in rows[i]["spans"]
+    for i in (41, 70):
+        assert rows[i]["spans"].startswith("remove:0:7,")
+    assert all(rows[i]["n_terms"] == 0 for i in (71, 900))
+
+
 # ---------------------------------------------------------------- token shards
 def test_feistel_is_a_permutation():
     for size in (1, 2, 3, 10, 257, 5000):
