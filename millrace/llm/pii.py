@@ -1,17 +1,20 @@
 """Personal data: identifiers by pattern, and terms that give them away by corpus statistics.
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone numbers.
-Their values are the protected entities. A term (a word of four letters or more) near an
-entity discloses it as far as knowing the term tells that the entity is there: with
-document counts over the whole corpus (of rows, copies included, for all four), pointwise mutual information over the entity's
-information content, log2(n(t,e) * N / (n(t) * n(e))) / log2(N / n(e)), which is 1 for a
-term that occurs nowhere without the entity. Terms that reach ``GENERALISE`` in at least
-``SUPPORT`` documents are generalised, from ``REMOVE`` on removed, wherever they
-stand in a text that holds the entity. Near means among the ``NEAR`` words on either side.
-
-All steps are DataFrame functions. Term counts are partial aggregates of each text's
-distinct words; entities and the texts that hold some are kept in a written table, so the
-corpus is read twice and its text never shuffled.
+Their values are the protected entities. A term discloses an entity as far as knowing the
+term tells that the entity is there: with document counts over the whole corpus (of rows,
+copies included, for all four), pointwise mutual information over the entity's information
+content, log2(n(t,e) * N / (n(t) * n(e))) / log2(N / n(e)), which is 1 for a term that
+occurs nowhere without the entity. Terms are the words outside identifiers of four letters
+or more, and shorter ones (two letters at least) that begin with a capital or belong to a
+script without case. n(t,e) counts the documents that hold both, wherever they stand. Terms that reach
+``GENERALISE`` in at least ``SUPPORT`` documents are generalised, from ``REMOVE`` on
+removed, in every document that holds them, with the identifier or without.
+
+All steps are DataFrame functions. Counts are partial aggregates of each document's
+distinct words, and of its entities with its words; entities below the support are left
+out before, as no term of theirs can reach it. No key is an entity alone where words are
+counted, so a hot entity has its counts dealt over its terms.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from millrace.llm import common as C
 
 GENERALISE, REMOVE = 0.8, 0.95
 SUPPORT = 2
-NEAR, NEAR_CHARS = 4, 80
+SALTS = 16
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns. Repeated groups are possessive (nothing follows them, so the
 # matches are the same): they run in a loop and not on the stack. An address's local part
@@ -34,7 +37,9 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-WORD = r"\p{L}{4,}"
+WORD = r"\p{L}+"
+#: Words that can be terms, as they stand in a text.
+TERM = r"^(?:\p{L}{4,}|[\p{Lu}\p{Lt}\p{Lo}]\p{L}+)$"
 
 
 def places(text: Column, matches: Column, gaps: Column) -> Column:
@@ -88,40 +93,43 @@ def base_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     return rows.select("doc_id", F.xxhash64("text").alias("fp"), "text", *(F.size(f"s_{k}").cast("long").alias(f"n_{k}") for k in KINDS), F.array_sort(F.concat(*tagged)).alias("base"))
 
 
-def _near_words(piece: Column, cut: Column, before: bool) -> Column:
-    """The nearest words of a piece of text; `cut` tells that its far end may cut a word."""
-    w = F.regexp_extract_all(piece, F.lit(WORD), F.lit(0))
-    n = F.size(w)
-    if before:
-        w = F.when(cut & (n > 0), F.slice(w, 2, F.greatest(n - 1, F.lit(0)))).otherwise(w)
-        n = F.size(w)
-        return F.slice(w, F.greatest(n - NEAR, F.lit(0)) + 1, F.lit(NEAR))
-    w = F.when(cut & (n > 0), F.slice(w, 1, F.greatest(n - 1, F.lit(0)))).otherwise(w)
-    return F.slice(w, 1, NEAR)
-
-
-def disclosing_terms(held: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, fp, term, disclosure) for terms that give away an entity of a text."""
-    ents = held.select("doc_id", "fp", F.monotonically_increasing_id().alias("row"), "text", F.explode("base").alias("b"))
-    s, e = F.col("b.start"), F.col("b.end")
-    left = F.substring(F.col("text"), F.greatest(s - NEAR_CHARS, F.lit(0)) + 1, F.least(s, F.lit(NEAR_CHARS)))
-    right = F.substring(F.col("text"), e + 1, F.lit(NEAR_CHARS))
-    value = F.when(F.col("b.ord") == 0, F.lower("b.value")).when(F.col("b.ord") == 1, F.col("b.value")).otherwise(F.regexp_replace("b.value", "[^0-9]", ""))
-    terms = F.concat(_near_words(left, s > NEAR_CHARS, True), _near_words(right, F.length("text") > e + NEAR_CHARS, False))
-    near = ents.select("doc_id", "fp", "row", F.concat_ws(":", F.col("b.ord").cast("string"), value).alias("entity"), F.transform(terms, F.lower).alias("terms"))
-    near = C.materialize(near, "near")
-    n_e = near.groupBy("entity", "row").agg(F.lit(1).alias("x")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.select("entity", "row", F.explode("terms").alias("term")).groupBy("entity", "term", "row").agg(F.lit(1).alias("x")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs[text].cast("string")), F.lit(WORD), F.lit(0)))).alias("term"))
-    n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").alias("total"))
-    both = pairs.join(n_e, "entity").join(n_t, "term").join(F.broadcast(total))  # one row
+def _outside(text: Column, base: Column) -> Column:
+    """A text with a blank for each identifier."""
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+
+    def step(acc, b):
+        piece = F.substring(text, acc["pos"] + 1, F.greatest(b["start"] - acc["pos"], F.lit(0)))
+        return F.struct(F.greatest(b["end"], acc["pos"]).alias("pos"), F.concat(acc["out"], piece, F.lit(" ")).alias("out"))
+
+    rest = F.aggregate(base, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, rest).otherwise(text)
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def disclosing_terms(table: DataFrame, texts: DataFrame) -> DataFrame:
+    """(term, disclosure) for terms that give away some entity: table (base, text where there is some), texts (text) of all rows without identifiers."""
+    value = lambda b: F.when(b["ord"] == 0, F.lower(b["value"])).when(b["ord"] == 1, b["value"]).otherwise(F.regexp_replace(b["value"], "[^0-9]", ""))
+    entities = F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", b["ord"].cast("string"), value(b))))
+    terms = F.array_distinct(F.transform(F.filter(_words(_outside(F.col("text"), F.col("base"))), lambda w: F.rlike(w, F.lit(TERM))), F.lower))
+    held = C.materialize(table.where(F.size("base") > 0).select(entities.alias("entities"), terms.alias("terms")), "held")
+    n_e = held.select(F.explode("entities").alias("en")).groupBy("en").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
+    n_e = C.materialize(n_e, "entities")
+    seen = held.select(F.explode("entities").alias("entity"), "terms").join(n_e.select("en"), F.col("entity") == F.col("en"), "left_semi")
+    pairs = seen.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    # an entity's count meets its terms in parts, as a hot one has the whole vocabulary
+    salted = n_e.select("en", "n_e", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    pairs = pairs.join(salted, (F.col("entity") == F.col("en")) & (F.pmod(F.xxhash64("term"), F.lit(SALTS)) == F.col("salt"))).select("entity", "term", "n_te", "n_e")
+    n_t = texts.select(F.explode(F.array_distinct(_words(F.lower("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    total = texts.agg(F.count("*").alias("total"))
+    # at most one pair (n_e, n_te) of counts in a task for each term before it meets the term's own
+    both = pairs.groupBy("term", "n_e", "n_te").agg(F.lit(1).alias("x")).join(n_t, "term").join(F.broadcast(total))  # one row
     info = F.log2(F.col("total") / F.col("n_e"))
     disclosure = F.log2(F.col("n_te") * F.col("total") / (F.greatest("n_t", "n_te") * F.col("n_e"))) / info
-    told = both.where(info > 0).withColumn("disclosure", disclosure).where(F.col("disclosure") >= GENERALISE).select(F.col("entity").alias("en"), "term", "disclosure")
-    told = C.materialize(told, "told")
-    mine = near.select("doc_id", "fp", "entity").distinct().join(told, F.col("entity") == F.col("en"))
-    return mine.groupBy("doc_id", "fp", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = both.where(info > 0).withColumn("disclosure", disclosure).where(F.col("disclosure") >= GENERALISE)
+    return C.materialize(told.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "told")
 
 
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -129,21 +137,29 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     spans: kind:start:end of base spans and of terms (kind `generalise` or `remove`), by
     start, then kind; sanitised: the text with base spans as [EMAIL] and so on, terms as
-    [TERM] or left out, for texts that hold a base span, else null. Null texts count as empty.
+    [TERM] or left out, for texts that hold a base span or a term, else null. Null texts count as empty.
     Rows that repeat an id and text have the same result.
     """
     base = base_spans(docs, text, key)
     some = F.size("base") > 0
     table = C.materialize(base.select("doc_id", "fp", *(f"n_{k}" for k in KINDS), "base", F.when(some, F.col("text")).alias("text")), "pii")
-    held = table.where(some)
-    terms = disclosing_terms(held, docs, text)
-    hit = terms.join(held.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "text").dropDuplicates(["d", "f"]), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")))
+    # words outside identifiers, of all rows
+    masked = base.select("doc_id", "fp", _outside(F.col("text"), F.col("base")).alias("text"))
+    told = disclosing_terms(table, masked.select("text"))
+    words = masked.select("doc_id", "fp", F.explode(F.array_distinct(_words(F.lower("text")))).alias("word"))
+    found = words.join(told, F.col("word") == F.col("term")).groupBy("doc_id", "fp").agg(F.collect_set(F.struct("term", "disclosure")).alias("told"))
+    found = C.materialize(found, "found").select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "told")
+    # the texts of documents that hold a term, once each
+    texts = docs.select(docs[key].cast("long").alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text")).withColumn("fp", F.xxhash64("text"))
+    texts = C.materialize(texts.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))).select("doc_id", "fp", "text", "told").dropDuplicates(["doc_id", "fp"]), "hits")
+    hit = texts.select("doc_id", "fp", "text", F.explode("told").alias("x")).select("doc_id", "fp", "text", "x.*")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})"), F.col("term"), F.lit(r"(?!\p{L})"))
     hit = hit.select("doc_id", "fp", "term", "disclosure", "text", F.regexp_extract_all("text", pattern, F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("g"))
     spot = hit.select("doc_id", "fp", "disclosure", F.explode(places(F.col("text"), F.col("m"), F.col("g"))).alias("x"))
     kind = F.when(F.col("disclosure") >= REMOVE, 5).otherwise(4)
     spot = spot.groupBy(F.col("doc_id").alias("d"), F.col("fp").alias("f")).agg(F.collect_set(F.struct(F.col("x.start").alias("start"), kind.alias("ord"), F.col("x.end").alias("end"), F.col("x.value").alias("value"))).alias("terms"))
-    out = table.join(spot, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")), "left")
+    spot = spot.join(texts.select(F.col("doc_id").alias("d2"), F.col("fp").alias("f2"), F.col("text").alias("whole")), F.col("d").eqNullSafe(F.col("d2")) & (F.col("f") == F.col("f2"))).select("d", "f", "terms", "whole")
+    out = table.join(spot, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")), "left").withColumn("text", F.coalesce("text", "whole"))
     empty = F.array().cast("array<struct<start:int,ord:int,end:int,value:string>>")
     free = F.filter(F.coalesce("terms", empty), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     out = out.withColumn("terms", F.array_sort(free))

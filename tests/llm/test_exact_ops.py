@@ -379,6 +379,17 @@ def test_copies_count_in_all_disclosure_counts(spark):
     assert all(rows[i]["n_terms"] == 0 for i in (71, 900))
 
 
+def test_terms_of_whole_documents(spark):
+    """A name a sentence away, a short name, and documents that hold the name but not the identifier."""
+    far = " and so on and so forth, as everybody here has known for many a year;" * 3
+    texts = [f"Wilhelmina Li lives here.{far} Reach her at w@mail.com"] * 20 + ["A letter from Wilhelmina arrived", "LI was there", "light and mail"] + [f"note {i}:{far} mail" for i in range(900)]
+    rows = {r["doc_id"]: r for r in pii.sanitise(docs(spark, texts)).collect()}
+    assert "remove:0:10" in rows[0]["spans"] and "remove:11:13" in rows[0]["spans"]
+    assert rows[20]["spans"] == "remove:14:24" and "Wilhelmina" not in rows[20]["sanitised"]
+    assert rows[21]["n_terms"] == 1 and rows[21]["sanitised"] == " was there"
+    assert all(rows[i]["n_terms"] == 0 and rows[i]["sanitised"] is None for i in (22, 23, 922))
+
+
 # ---------------------------------------------------------------- token shards
 def test_feistel_is_a_permutation():
     for size in (1, 2, 3, 10, 257, 5000):
