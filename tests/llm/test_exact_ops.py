@@ -117,6 +117,14 @@ def test_extra_columns_and_repeats(spark):
     assert ngram_join.jaccard_components(df.limit(0)).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    df = spark.createDataFrame([(1, one, "x"), (1, two, "x"), (1, two, "x"), (2, two + " c", "y"), (3, one, "z"), (4, "", "z"), (4, None, "z"), (5, one + " d", "z"), (None, one, "n")], "doc_id long, text string, node string")
+    out = ngram_join.drop_near_copies(df)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == [(0, one), (1, one), (1, two), (4, ""), (4, "")]
+    assert out.columns == df.columns
+
+
 # ---------------------------------------------------------------- suffixes
 def _cut(texts, length):
     raws = [(t or "").encode() for t in texts]
