@@ -1,26 +1,28 @@
 """Embedding near-dedup on a robust-pruned flat graph.
 
-1. Equal vectors are merged by their bytes; the rest works on distinct unit vectors.
-2. k-means on a bounded, documented sample (``SAMPLE`` vectors by hash) gives centroids, so
-   many that a shard holds about ``SHARD`` vectors. A vector's home is its nearest
-   centroid c; it also goes to every shard d with x.c - x.d <= s * chord * |c - d|, where
-   chord is the distance of unit vectors at the threshold. With s = 1 every vector within
-   the threshold has its home among these shards. As a deviation in n dimensions points
-   along one line by 1 / sqrt(n) of its length, s = SIGMAS / sqrt(n) (1 at most) is taken:
-   shards overlap as far as links reach, but for one in thousands. A shard
-   with more than ``SPLIT`` vectors is dealt into blocks by hash, each with a graph of its
-   own, and the shard's queries run against every block, a slice of them at a time.
-3. Each vector takes part in the graphs of its two nearest shards. There, the nearest and some far candidates of each vector are
-   robust-pruned (an edge is left out if a kept neighbour is ALPHA times closer to its
-   end), and reverse edges are added. A vector's lists are
-   united into one flat graph.
-4. Each vector is a query in the shards that it was dealt to; links with the vectors at home
-   there count, the others there only lead on: greedy search from the medoid and its own list with a beam, and every vector within the range is
-   expanded too, so that dense groups are walked whole.
-5. Found pairs are verified by exact cosines in double precision. As each vector is at home
-   once, counts of links add up over shards; a task returns a count and a local
-   representative for each query, not its pairs. `audit` compares a sample of queries with
-   brute force to report recall.
+1. Equal vectors are merged into classes, named by a hash of their components; the rest works
+   on distinct unit vectors.
+2. k-means on a bounded sample (``SAMPLE`` vectors by hash, ``SHARDS`` centroids at most) gives
+   one centroid for each ``SHARD`` vectors. A vector x is dealt to its nearest centroid h and to
+   every shard d with x.h - x.d <= s / 2 * chord * |h - d|, where chord is the distance of unit
+   vectors at the threshold. Two linked vectors x and y with homes h and d have
+   (x.h - x.d) + (y.d - y.h) = (x - y).(h - d) <= chord * |h - d|, so with s = 1 one of them
+   is in the other's home. As a deviation in n dimensions points along one line by 1 / sqrt(n) of
+   its length, s = SIGMAS / sqrt(n) (1 at most) is taken. The number of shards of a vector
+   follows from the threshold and not from the number of vectors.
+3. Each shard is a task that builds a graph by insertion: each batch of vectors searches the graph
+   so far from the medoid, what it visits is robust-pruned (an edge is left out if a kept neighbour
+   is ALPHA times closer to its end), and reverse edges are added, pruned too where a list is full. A
+   vector's lists of all its shards are united into one flat graph.
+4. Each vector is a query in each of its shards: greedy search with a beam from the medoid and its
+   own list, where every vector within the range is expanded too, so that dense groups are walked whole.
+5. Found pairs are verified by exact cosines in double precision, and counted in the first
+   shard that holds both. A task returns a count and a local representative for each query, not its pairs.
+6. `audit` measures the recall of the result against all vectors by brute force for
+   ``AUDIT`` queries; below ``RECALL`` the search is done again with twice the overlap.
+
+A shard of more than ``SPLIT`` vectors (a dense group that centroids cannot part) is dealt into
+blocks by hash, each with a graph of its own, and the shard's queries run against every block.
 """
 
 from __future__ import annotations
@@ -34,72 +36,168 @@ from millrace.llm import common as C
 
 THRESHOLD = 0.95
 SAMPLE = 20_000
-SHARD = 8000
-SPLIT = 12_000
-SIGMAS = 3.5
-BUILD_SHARDS = 2
+SHARDS = 16_384
+SHARD = 2000
+SPLIT = 16_000
+SIGMAS = 3.0
 DEGREE = 24
-CANDIDATES = 64
 ALPHA = 1.2
-BEAM = 32
+BUILD_BEAM, BEAM = 32, 16
+BATCH = 512
+AUDIT = 512
+RECALL = 0.9
 
 
 # ---------------------------------------------------------------- graph
-def robust_prune(sims: np.ndarray, x: np.ndarray, cand: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+def robust_prune(x: np.ndarray, sims: np.ndarray, cand: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
     """For each row, up to `degree` of its candidates (by falling similarity, -1 pads), none of
     which is alpha times closer to an earlier kept one than to the row's vector."""
     n, k = cand.shape
     dist = np.where(cand >= 0, np.maximum(2 - 2 * sims, 0), np.inf)
+    vec = x[np.maximum(cand, 0)]
+    between = np.maximum(2 - 2 * np.matmul(vec, vec.transpose(0, 2, 1)), 0)
     keep = np.full((n, degree), -1, np.int64)
     count = np.zeros(n, np.int64)
     alive = cand >= 0
-    rows = np.arange(n)
-    vec = x[np.maximum(cand, 0)]
     for j in range(k):
-        on = alive[:, j] & (count < degree)
-        if not on.any():
+        r = np.flatnonzero(alive[:, j] & (count < degree))
+        if not len(r):
             continue
-        r = rows[on]
         keep[r, count[r]] = cand[r, j]
         count[r] += 1
-        if j + 1 < k:
-            d = np.maximum(2 - 2 * np.einsum("nkd,nd->nk", vec[r, j + 1 :], vec[r, j]), 0)
-            alive[r, j + 1 :] &= ~(alpha * alpha * d <= dist[r, j + 1 :]) | (dist[r, j + 1 :] <= 1e-9)
+        alive[r] &= alpha * alpha * between[r, j] > dist[r]
     return keep
 
 
-def build(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (from, to) of the vectors of one shard, with reverse edges and a path through all.
+def _fresh(nodes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Rows of nodes (-1 pads) without repeats in a row and without those seen, which all are from now on."""
+    nodes = np.sort(nodes, axis=1)
+    rows = np.arange(len(nodes))[:, None]
+    old = seen[rows, np.maximum(nodes, 0)] | (nodes < 0)
+    old[:, 1:] |= nodes[:, 1:] == nodes[:, :-1]
+    nodes = np.where(old, -1, nodes)
+    r, c = np.nonzero(nodes >= 0)
+    seen[r, nodes[r, c]] = True
+    return nodes
+
+
+def _scored(x: np.ndarray, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    s = np.matmul(x[np.maximum(nodes, 0)], queries[:, :, None])[:, :, 0]
+    s[nodes < 0] = -3
+    return s
 
-    A vector takes up to degree - 1 reverse edges, the closest first, but always that of a vector to
-    which it is the nearest: so each vector can be reached from its nearest neighbour."""
+
+def beam_search(x: np.ndarray, adj: np.ndarray, queries: np.ndarray, start: np.ndarray, seen: np.ndarray, beam: int, hit: float = 3.0, width: int = 4):
+    """Greedy search of all queries at once over lists adj (-1 pads). (beam's vectors, their
+    similarities, queries and vectors of all that was seen with a similarity >= hit)."""
+    got_q, got_v = [], []
+
+    def look(nodes):
+        nodes = _fresh(nodes, seen)
+        s = _scored(x, queries[rows], nodes) if len(rows) < len(queries) else _scored(x, queries, nodes)
+        if hit <= 1:
+            r, c = np.nonzero(s >= hit)
+            got_q.append(rows[r])
+            got_v.append(nodes[r, c])
+        return nodes, s
+
+    rows = np.arange(len(queries))
+    best = np.full((len(queries), beam), -1, np.int64)
+    sim = np.full((len(queries), beam), -3.0, np.float32)
+    open_ = np.zeros((len(queries), beam), bool)
+    all_seen = seen
+    nodes, s = look(start)
+    while True:
+        both_s = np.concatenate([sim[rows], s], 1)
+        o = np.argpartition(-both_s, beam - 1, axis=1)[:, :beam]
+        both_s = np.take_along_axis(both_s, o, 1)
+        o2 = np.argsort(-both_s, axis=1, kind="stable")
+        o = np.take_along_axis(o, o2, 1)
+        sim[rows] = np.take_along_axis(both_s, o2, 1)
+        best[rows] = np.take_along_axis(np.concatenate([best[rows], nodes], 1), o, 1)
+        open_[rows] = np.take_along_axis(np.concatenate([open_[rows], nodes >= 0], 1), o, 1)
+        rows = np.flatnonzero(open_.any(1))
+        if not len(rows):
+            break
+        # the closest open ones of each beam
+        rank = np.cumsum(open_[rows], axis=1)
+        take = open_[rows] & (rank <= width)
+        chosen = np.full((len(rows), width), -1, np.int64)
+        r, c = np.nonzero(take)
+        chosen[r, rank[r, c] - 1] = best[rows[r], c]
+        open_[rows] &= ~take
+        ends = np.where(chosen[:, :, None] >= 0, adj[np.maximum(chosen, 0)], -1).reshape(len(rows), -1)
+        seen = all_seen[rows]
+        nodes, s = look(ends)
+        all_seen[rows] = seen
+    join = lambda a: np.concatenate(a) if a else np.zeros(0, np.int64)
+    return best, sim, join(got_q), join(got_v)
+
+
+def _add_reverse(x: np.ndarray, adj: np.ndarray, src: np.ndarray, dst: np.ndarray) -> None:
+    """Edges dst -> src into the lists of dst; where they do not fit, the list is pruned anew."""
+    o = np.lexsort((src, dst))
+    src, dst = src[o], dst[o]
+    head = np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]]))
+    place = np.arange(len(dst)) - np.repeat(head, np.diff(np.append(head, len(dst))))
+    nodes = dst[head]
+    have = (adj[nodes] >= 0).sum(1)
+    spot = place + np.repeat(have, np.diff(np.append(head, len(dst))))
+    fits = spot < adj.shape[1]
+    adj[dst[fits], spot[fits]] = src[fits]
+    full = np.flatnonzero(np.bincount(np.searchsorted(nodes, dst[~fits]), minlength=len(nodes)))
+    for part in np.array_split(full, 1 + len(full) // 256):
+        if not len(part):
+            continue
+        mine = np.isin(dst, nodes[part]) & ~fits
+        row, col = np.searchsorted(nodes[part], dst[mine]), place[mine]
+        extra = np.full((len(part), int(col.max()) + 1), -1, np.int64)
+        extra[row, col] = src[mine]
+        # at most twice the degree, the closest: a hub of a batch gets the others from their own lists
+        cand = np.concatenate([adj[nodes[part]], extra], 1)
+        s = _scored(x, x[nodes[part]], cand)
+        k = min(cand.shape[1], 2 * adj.shape[1])
+        order = np.argsort(-s, axis=1, kind="stable")[:, :k]
+        adj[nodes[part]] = robust_prune(x, np.take_along_axis(s, order, 1), np.take_along_axis(cand, order, 1), adj.shape[1])
+
+
+def build(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (from, to) of the vectors of one shard. Besides the pruned lists, each vector and the
+    nearest that it found are joined both ways, so that groups hold together."""
     n = len(x)
-    k = min(candidates, n - 1)
     if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    out = np.full((n, degree), -1, np.int64)
-    rng = np.random.Generator(np.random.PCG64(n))
-    for a in range(0, n, 1024):
-        sims = x[a : a + 1024] @ x.T
-        sims[np.arange(len(sims)), np.arange(a, a + len(sims))] = -2
-        near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        # far candidates keep the graph navigable
-        far = rng.integers(0, n, (len(sims), min(16, n)))
-        far = np.where(far == np.arange(a, a + len(sims))[:, None], -1, far)
-        cand = np.concatenate([near, far], 1)
-        s = np.where(cand >= 0, np.take_along_axis(sims, np.maximum(cand, 0), 1), -2)
+    x = x.astype(np.float32)
+    medoid = int((x @ x.mean(0)).argmax())
+    order = np.random.Generator(np.random.PCG64(n)).permutation(n)
+    order = np.concatenate([[medoid], order[order != medoid]])
+    adj = np.full((n, degree), -1, np.int64)
+    nearest = np.full(n, -1, np.int64)
+    done = 1
+    while done < n:
+        batch = order[done : done + min(BATCH, max(32, done))]
+        start = np.full((len(batch), 1), medoid)
+        best, sim, _, _ = beam_search(x, adj, x[batch], start, np.zeros((len(batch), n), bool), BUILD_BEAM)
+        # those that are inserted together do not see each other in the graph
+        mates = x[batch] @ x[batch].T
+        np.fill_diagonal(mates, -3)
+        k = min(8, len(batch))
+        near = np.argpartition(-mates, k - 1, axis=1)[:, :k]
+        near_s = np.take_along_axis(mates, near, 1)
+        cand, s = np.concatenate([best, np.where(near_s > -3, batch[near], -1)], 1), np.concatenate([sim, near_s], 1)
         o = np.argsort(-s, axis=1, kind="stable")
-        out[a : a + 1024] = robust_prune(np.take_along_axis(s, o, 1), x, np.take_along_axis(cand, o, 1), degree, alpha)
-    src, dst = np.repeat(np.arange(n), degree), out.reshape(-1)
-    nearest = np.tile(np.arange(degree) == 0, n)
-    src, dst, nearest = src[dst >= 0], dst[dst >= 0], nearest[dst >= 0]
-    sim = np.einsum("nd,nd->n", x[src], x[dst])
-    o = np.lexsort((-sim, dst))
-    head = np.concatenate([[True], dst[o][1:] != dst[o][:-1]])
-    place = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
-    back = o[(place < degree - 1) | nearest[o]]
-    ring = np.arange(n)
-    return np.concatenate([src, dst[back], ring]), np.concatenate([dst, src[back], (ring + 1) % n])
+        cand, s = np.take_along_axis(cand, o, 1), np.take_along_axis(s, o, 1)
+        lists = robust_prune(x, s, cand, degree)
+        adj[batch] = lists
+        nearest[batch] = lists[:, 0]
+        src = np.repeat(batch, degree)
+        dst = lists.reshape(-1)
+        _add_reverse(x, adj, src[dst >= 0], dst[dst >= 0])
+        done += len(batch)
+    src, dst = np.repeat(np.arange(n), degree), adj.reshape(-1)
+    src, dst = src[dst >= 0], dst[dst >= 0]
+    child = np.flatnonzero(nearest >= 0)
+    return np.concatenate([src, child, nearest[child]]), np.concatenate([dst, nearest[child], child])
 
 
 def lists_of(src: np.ndarray, dst: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,70 +214,37 @@ def neighbours(graph: tuple[np.ndarray, np.ndarray], rows: np.ndarray, nodes: np
     return np.repeat(rows, n), ends[at]
 
 
-def search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: np.ndarray, start_q: np.ndarray, start_v: np.ndarray, threshold: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+def padded(graph: tuple[np.ndarray, np.ndarray], rows: np.ndarray, width: int) -> np.ndarray:
+    """The first `width` neighbours of each row, -1 pads."""
+    first, ends = graph
+    at = first[rows][:, None] + np.arange(width)
+    inside = at < first[rows + 1][:, None]
+    return np.where(inside, ends[np.minimum(at, max(0, len(ends) - 1))] if len(ends) else -1, -1)
+
+
+def range_search(x: np.ndarray, graph, queries: np.ndarray, start: np.ndarray, threshold: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """(query, vector) pairs with similarity >= threshold that a range-expanding greedy search finds; all queries at once."""
     n = len(x)
-    q = len(queries)
-    got_q, got_v = [], []
-    seen = np.zeros((q, n), bool)
-    best = np.full((q, beam), -1, np.int64)
-    sim = np.full((q, beam), -3.0)
-    open_ = np.zeros((q, beam), bool)
-    wide_q, wide_v = np.zeros(0, np.int64), np.zeros(0, np.int64)  # within range, not expanded yet
-
-    def look(rows: np.ndarray, nodes: np.ndarray):
-        """Scores new nodes; those within range go to the expansion list, all compete for the beam."""
-        nonlocal wide_q, wide_v
-        ok = nodes >= 0
-        rows, nodes = rows[ok], nodes[ok]
-        code = np.unique(rows * n + nodes)
-        rows, nodes = code // n, code % n
-        new = ~seen[rows, nodes]
-        rows, nodes = rows[new], nodes[new]
-        seen[rows, nodes] = True
-        if not len(rows):
-            return
-        s = np.einsum("nd,nd->n", queries[rows], x[nodes])
-        hit = s >= threshold
-        got_q.append(rows[hit])
-        got_v.append(nodes[hit])
-        wide_q, wide_v = np.concatenate([wide_q, rows[hit]]), np.concatenate([wide_v, nodes[hit]])
-        # merge the others into the beams
-        rows, nodes, s = rows[~hit], nodes[~hit], s[~hit]
-        if not len(rows):
-            return
-        o = np.lexsort((-s, rows))
-        rows, nodes, s = rows[o], nodes[o], s[o]
-        head = np.concatenate([[True], rows[1:] != rows[:-1]])
-        place = np.arange(len(rows)) - np.maximum.accumulate(np.where(head, np.arange(len(rows)), 0))
-        ok = place < beam
-        rows, nodes, s, place = rows[ok], nodes[ok], s[ok], place[ok]
-        u, at = np.unique(rows, return_inverse=True)
-        more_n, more_s = np.full((len(u), beam), -1, np.int64), np.full((len(u), beam), -3.0)
-        more_n[at, place], more_s[at, place] = nodes, s
-        all_s = np.concatenate([sim[u], more_s], 1)
-        o = np.argsort(-all_s, axis=1, kind="stable")[:, :beam]
-        best[u] = np.take_along_axis(np.concatenate([best[u], more_n], 1), o, 1)
-        open_[u] = np.take_along_axis(np.concatenate([open_[u], more_n >= 0], 1), o, 1)
-        sim[u] = np.take_along_axis(all_s, o, 1)
-
-    look(start_q, start_v)
-    while True:
-        if len(wide_q):  # range expansion first: every vector within the range is expanded
-            rows, nodes = wide_q[:50_000], wide_v[:50_000]
-            wide_q, wide_v = wide_q[50_000:], wide_v[50_000:]
-            look(*neighbours(graph, rows, nodes))
-            continue
-        some = open_.any(1)
-        if not some.any():
-            break
-        rows = np.flatnonzero(some)
-        j = open_[rows].argmax(1)  # beams are sorted: the first open one is the closest
-        nodes = best[rows, j]
-        open_[rows, j] = False
-        look(*neighbours(graph, rows, nodes))
-    if not got_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    seen = np.zeros((len(queries), n), bool)
+    first, _ = graph
+    adj = padded(graph, np.arange(n), int(min(2 * DEGREE, max(1, np.diff(first).max()))))
+    _, _, q, v = beam_search(x, adj, queries, start, seen, beam, threshold)
+    got_q, got_v = [q], [v]
+    while len(q):  # every vector within the range is expanded once for each query
+        new_q, new_v = [], []
+        for k in range(0, len(q), 20_000):
+            rows, nodes = neighbours(graph, q[k : k + 20_000], v[k : k + 20_000])
+            fresh = ~seen[rows, nodes]
+            code = np.unique(rows[fresh] * n + nodes[fresh])
+            rows, nodes = code // n, code % n
+            seen[rows, nodes] = True
+            for part in np.array_split(np.arange(len(rows)), 1 + len(rows) // 100_000):
+                near = np.einsum("nd,nd->n", queries[rows[part]], x[nodes[part]]) >= threshold
+                new_q.append(rows[part][near])
+                new_v.append(nodes[part][near])
+        q, v = np.concatenate(new_q), np.concatenate(new_v)
+        got_q.append(q)
+        got_v.append(v)
     return np.concatenate(got_q), np.concatenate(got_v)
 
 
@@ -192,11 +257,11 @@ def unit(rows) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+def kmeans(x: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means; the first centroids lie evenly in a hash order of the sample."""
     c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
-    for _ in range(rounds):
-        near = np.concatenate([(part @ c.T).argmax(1) for part in np.array_split(x, 1 + len(x) // 4096)])
+    for _ in range(10 if k <= 512 else 2):
+        near = np.concatenate([(part @ c.T).argmax(1) for part in np.array_split(x, 1 + len(x) // 2048)])
         for j in range(x.shape[1]):
             c[:, j] = np.bincount(near, x[:, j], k)
         size = np.bincount(near, minlength=k)
@@ -207,108 +272,138 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def _deal_map(centroids_b, threshold: float):
+def _deal_map(centroids_b, threshold: float, sigmas: float):
+    """Unit vectors as bytes, one row for each shard of a vector; all: its shards in order."""
+
     def run(batches):
         c = centroids_b.value
-        chord = (np.sqrt(2 - 2 * threshold) + 1e-9) * min(1.0, SIGMAS / np.sqrt(c.shape[1]))
-        apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
+        reach = (np.sqrt(2 - 2 * threshold) + 1e-9) * min(1.0, sigmas / np.sqrt(c.shape[1])) / 2
         for batch in batches:
-            for part in (batch.slice(i, 2048) for i in range(0, len(batch), 2048)):
-                dot = unit(part.column(1).to_pylist()) @ c.T
+            for part in (batch.slice(i, 1024) for i in range(0, len(batch), 1024)):
+                flat = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                x = unit(flat.reshape(len(part), -1))
+                dot = x @ c.T
                 home = dot.argmax(1)
-                take = dot.max(1, keepdims=True) - dot <= chord * apart[home]
-                rank = np.argsort(np.argsort(-dot, axis=1, kind="stable"), axis=1, kind="stable")
-                row, col = np.nonzero(take | (rank < BUILD_SHARDS))
+                row, col = np.nonzero(dot.max(1, keepdims=True) - dot <= 2 * reach)
+                near = dot[row, home[row]] - dot[row, col] <= reach * np.linalg.norm(c[home[row]] - c[col], axis=1)
+                row, col = row[near], col[near].astype(np.int32)
+                raw = x.tobytes()
+                step = 8 * x.shape[1]
+                first = np.searchsorted(row, np.arange(len(part) + 1))
+                shards = [col[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(col.astype(np.int32)), part.column(0).take(at), part.column(1).take(at), part.column(2).take(at), pa.array(home[row] == col), pa.array(rank[row, col] < BUILD_SHARDS)], ["shard", "id", "v", "c", "home", "near"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(col), part.column(0).take(at), pa.array([raw[i * step : (i + 1) * step] for i in row.tolist()], pa.binary()), part.column(2).take(at), pa.array([shards[i] for i in row.tolist()], pa.binary())],
+                    ["shard", "id", "v", "c", "shards"],
+                )
 
     return run
 
 
+def _vectors(column, o: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(o), -1)[o]
+
+
 def _build_group(key, table):
     """Adjacency of a shard or block by ids: one row per vector."""
     ids = table["id"].to_numpy()
     o = np.argsort(ids, kind="stable")
     ids = ids[o]
-    x = unit(table["v"].to_pylist())[o]
-    first, ends = lists_of(*build(x), len(ids))
-    return pa.table({"id": ids, "out": pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids[ends]))})
+    first, ends = lists_of(*build(_vectors(table["v"], o)), len(ids))
+    return pa.table({"id": ids, "out": pa.array([ids[ends[a:b]].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())})
+
+
+def _first_common(shards: np.ndarray, a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
+    """Whether no shard before `here` holds both vectors; shards: each vector's shards, -1 pads."""
+    out = np.ones(len(a), bool)
+    for part in np.array_split(np.arange(len(a)), 1 + len(a) // 100_000):
+        x, y = shards[a[part]], shards[b[part]]
+        both = ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
+        out[part] = ~(both & (x < here)).any(1)
+    return out
 
 
 def _search_group(threshold: float):
     def run(key, table):
+        here = int(key[0].as_py())
         ids = table["id"].to_numpy()
         o = np.argsort(ids, kind="stable")
         ids = ids[o]
-        x = unit(table["v"].to_pylist())[o]
-        lists = table["out"].to_pylist()
-        asks, held, home, weight = (table[n].to_numpy(zero_copy_only=False)[o] for n in ("asks", "data", "home", "c"))
-        weight = np.where(home, weight, 0)  # vectors at home elsewhere are walked over here and counted there
+        x = _vectors(table["v"], o)
+        asks, held, weight = (table[n].to_numpy()[o] for n in ("asks", "data", "c"))
         data, ask = np.flatnonzero(held), np.flatnonzero(asks)
         total, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         if not len(data) or not len(ask):
             return pa.table({"id": ids[ask], "n": total[ask], "root": ids[ask]})
+        mine = [np.frombuffer(b, np.int32) for b in table["shards"].to_pylist()]
+        shards = np.full((len(ids), max(map(len, mine))), -1, np.int32)
+        for i, j in enumerate(o):
+            shards[i, : len(mine[j])] = mine[j]
+        lists = [np.frombuffer(b"".join(b), np.int64) for b in table["out"].to_pylist()]
+        flat = np.concatenate([lists[i] for i in o])
+        owner = np.repeat(np.arange(len(ids)), [len(lists[i]) for i in o])
         known = ids[data]
-        flat = np.concatenate([np.array(lists[i] or [], np.int64) for i in o])
-        owner = np.repeat(np.arange(len(ids)), [len(lists[i] or []) for i in o])
         at = np.searchsorted(known, flat)
         at[at == len(known)] = 0
-        here = known[at] == flat  # neighbours in other shards are reached there
-        owner, at = owner[here], at[here]
-        own = (np.searchsorted(owner, np.arange(len(ids) + 1)), at)  # entry points of each query
+        inside = known[at] == flat  # neighbours in other shards are reached there
+        owner, at = owner[inside], at[inside]
+        code = np.unique(owner * len(data) + at)
+        own = (np.searchsorted(code, np.arange(len(ids) + 1) * len(data)), code % len(data))  # entry points of each query
         spot = np.full(len(ids), -1, np.int64)
         spot[data] = np.arange(len(data))
         inner = spot[owner] >= 0
-        ring = np.arange(len(data))
-        graph = lists_of(np.concatenate([spot[owner[inner]], ring]), np.concatenate([at[inner], (ring + 1) % len(data)]), len(data))
-        y = x[data]
-        mean = y.mean(0)
-        medoid = int((y @ mean).argmax())
-        for part in np.array_split(ask, 1 + len(ask) // 1000):
-            if not len(part):
-                continue
-            rows, entry = neighbours(own, np.arange(len(part)), part)
-            start_q, start_v = np.concatenate([np.arange(len(part)), rows]), np.concatenate([np.full(len(part), medoid), entry])
-            q, v = search(y, graph, x[part], start_q, start_v, threshold - 1e-9)
+        graph = lists_of(spot[owner[inner]], at[inner], len(data))
+        y = x[data].astype(np.float32)
+        medoid = int((y @ y.mean(0)).argmax())
+        step = max(64, min(1024, (64 << 20) // len(data)))
+        for k in range(0, len(ask), step):
+            part = ask[k : k + step]
+            start = np.column_stack([np.full(len(part), medoid), padded(own, part, 2 * DEGREE)])
+            q, v = range_search(y, graph, x[part].astype(np.float32), start, threshold - 1e-5)
             a, b = part[q], data[v]
-            ok = (np.einsum("nd,nd->n", x[a], x[b]) >= threshold) & (ids[a] != ids[b])
+            ok = ids[a] != ids[b]
+            for i in range(0, len(a), 100_000):
+                s = slice(i, i + 100_000)
+                ok[s] &= np.einsum("nd,nd->n", x[a[s]], x[b[s]]) >= threshold
             a, b = a[ok], b[ok]
-            total += np.bincount(a, weight[b], len(ids)).astype(np.int64)
+            first = _first_common(shards, a, b, here)
+            total += np.bincount(a[first], weight[b[first]], len(ids)).astype(np.int64)
             while True:  # smallest places reachable by the links so far
                 low = root.copy()
                 np.minimum.at(low, a, root[b])
                 np.minimum.at(low, b, root[a])
+                np.minimum.at(low, root, low.copy())
                 low = low[low]
                 if (low == root).all():
                     break
-                np.minimum.at(root, root, low)
-                root = np.minimum(low, root)[np.minimum(low, root)]
+                root = low
         return pa.table({"id": ids[ask], "n": total[ask], "root": ids[root[ask]]})
 
     return run
 
 
-def search_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, n, root) of distinct vectors (id, v, c copies): for each query and task, the copies it links with and a vector it is linked to by some path."""
+def search_links(vectors: DataFrame, threshold: float = THRESHOLD, sigmas: float = SIGMAS) -> DataFrame:
+    """(id, n, root) of distinct vectors (id, v, c copies): for each query and shard, the copies it links with and a vector it is linked to by some path."""
     spark = vectors.sparkSession
     n = vectors.count()
     rate = min(1.0, SAMPLE / max(1, n))
     part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(rate * (1 << 30))).orderBy(F.xxhash64("id"), "id").select("v").collect()
     sample = unit([r["v"] for r in part]) if part else np.zeros((0, 1))
-    k = max(1, min(len(sample), -(-n // SHARD)))
+    k = max(1, min(len(sample), SHARDS, -(-n // SHARD)))
     centroids = spark.sparkContext.broadcast(kmeans(sample, k) if len(sample) else np.zeros((1, 1)))
-    dealt = C.materialize(vectors.select("id", "v", "c").mapInArrow(_deal_map(centroids, threshold), "shard int, id long, v array<double>, c long, home boolean, near boolean"), "shards")
-    sizes = dealt.groupBy("shard").agg(F.count("*").alias("size")).select(F.col("shard").alias("s"), F.ceil(F.col("size") / SPLIT).cast("int").alias("blocks"))
-    dealt = dealt.join(sizes, F.col("shard") == F.col("s")).select("shard", "id", "v", "c", "home", "near", "blocks", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks").cast("long")).cast("int").alias("block"))
-    dealt = C.materialize(dealt, "blocks")
-    built = dealt.where("near").groupBy("shard", "block").applyInArrow(_build_group, "id long, out array<long>")
-    flat = C.materialize(built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "graph")
+    dealt = C.materialize(vectors.select("id", "v", "c").mapInArrow(_deal_map(centroids, threshold, sigmas), "shard int, id long, v binary, c long, shards binary"), "shards")
+    sizes = dealt.groupBy("shard").agg(F.count("*").alias("size")).where(F.col("size") > SPLIT).select(F.col("shard").alias("s"), F.ceil(F.col("size") / SPLIT).cast("int").alias("b"))
+    dealt = dealt.join(sizes, F.col("shard") == F.col("s"), "left").withColumn("blocks", F.coalesce("b", F.lit(1)))
+    dealt = dealt.select("shard", "id", "v", "c", "shards", "blocks", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks").cast("long")).cast("int").alias("block"))
+    built = dealt.groupBy("shard", "block").applyInArrow(_build_group, "id long, out binary")
+    flat = C.materialize(built.groupBy("id").agg(F.collect_list("out").alias("out")), "graph").select(F.col("id").alias("i"), "out")
     # a task: the vectors of one block, and one slice of the shard's queries
     each = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = dealt.join(flat, "id")
-    data = dealt.select("shard", "block", F.explode(each).alias("slice"), "id", "v", "c", "out", F.lit(True).alias("data"), "home", (F.col("slice") == F.col("block")).alias("asks"))
-    asks = dealt.select("shard", F.explode(each).alias("b"), F.col("block").alias("slice"), "block", "id", "v", "c", "out").where("b <> block")
-    asks = asks.select("shard", F.col("b").alias("block"), "slice", "id", "v", "c", "out", F.lit(False).alias("data"), F.lit(False).alias("home"), F.lit(True).alias("asks"))
+    dealt = dealt.join(flat, F.col("id") == F.col("i"))
+    cols = ["id", "v", "c", "shards", "out"]
+    data = dealt.select("shard", "block", F.explode(each).alias("slice"), *cols, F.lit(True).alias("data"), (F.col("slice") == F.col("block")).alias("asks"))
+    asks = dealt.where("blocks > 1").select("shard", F.explode(each).alias("b"), F.col("block").alias("slice"), "block", *cols).where("b <> block")
+    asks = asks.select("shard", F.col("b").alias("block"), "slice", *cols, F.lit(False).alias("data"), F.lit(True).alias("asks"))
     return data.unionByName(asks).groupBy("shard", "block", "slice").applyInArrow(_search_group(threshold), "id long, n long, root long")
 
 
@@ -319,48 +414,60 @@ def valid(v: F.Column) -> F.Column:
 
 
 def near_dedup(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id, kept, one row per input row.
+    """vec_id, n_links, component_id, kept, recall (as audited), one row per input row.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with
-    nothing. Vectors of different lengths never link. Copies count as links of each other.
+    nothing. Vectors of different lengths never link. Copies count as links of each other, and
+    rows that repeat an id are vectors of their own. A null id never names a component and is
+    never kept; other columns of the input play no part.
     """
     rows = embeddings.select(embeddings[key].cast("long").alias("vec_id"), embeddings[vector].cast("array<double>").alias("v"))
-    good = rows.where(valid(F.col("v"))).withColumn("h", F.md5(F.concat_ws(",", F.col("v").cast("array<string>"))))
-    classes = C.materialize(good.groupBy("h").agg(F.min("vec_id").alias("id"), F.count("*").alias("c"), F.first("v").alias("v")), "vectors")
+    good = rows.where(valid(F.col("v"))).select("vec_id", "v", F.xxhash64("v").alias("id"))
+    classes = C.materialize(good.groupBy("id").agg(F.min("vec_id").alias("low"), F.count("*").alias("c"), F.first("v").alias("v")), "vectors")
     sizes = [r["n"] for r in classes.groupBy(F.size("v").alias("n")).agg(F.count("*")).collect()]
-    found = None
-    for n in sizes or [0]:
-        some = search_links(classes.where((F.size("v") == n) & F.col("id").isNotNull()).select("id", "v", "c"), threshold)
-        found = some if found is None else found.unionByName(some)
-    found = C.materialize(found, "found")
+    sigmas = SIGMAS
+    while True:
+        found = None
+        for n in sizes or [0]:
+            some = search_links(classes.where(F.size("v") == n).select("id", "v", "c"), threshold, sigmas)
+            found = some if found is None else found.unionByName(some)
+        found = C.materialize(found, "found")
+        degree = found.groupBy(F.col("id").alias("a")).agg(F.sum("n").alias("deg"))
+        recall = min([audit(classes.where(F.size("v") == n), degree, threshold) for n in sizes] or [1.0])
+        if recall >= RECALL or sigmas >= max(sizes) ** 0.5:  # from there on every link has a common shard
+            break
+        sigmas *= 2
     comps = C.materialize(C.connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "cc5"), "comps")
-    degree = found.groupBy(F.col("id").alias("a")).agg(F.sum("n").alias("deg"))
     named = classes.join(degree, F.col("id") == F.col("a"), "left").join(comps, F.col("id") == F.col("node"), "left")
-    named = named.select(F.col("h").alias("k"), (F.coalesce("deg", F.lit(0)) + F.col("c") - 1).alias("n_links"), F.coalesce("comp", "id").alias("comp"))
-    keyed = rows.withColumn("h", F.when(valid(F.col("v")), F.md5(F.concat_ws(",", F.col("v").cast("array<string>"))))).select("vec_id", "h")
-    out = keyed.join(named, F.col("h") == F.col("k"), "left")
-    component = F.coalesce("comp", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
-
-
-def audit(embeddings: DataFrame, result: DataFrame, threshold: float = THRESHOLD, queries: int = 200) -> float:
-    """Recall of n_links for a hash sample of queries, by brute force over all rows in blocks."""
-    spark = embeddings.sparkSession
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(valid(F.col("v")))
-    asked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(queries).collect()
+    named = C.materialize(named.select("id", "low", (F.coalesce("deg", F.lit(0)) + F.col("c") - 1).alias("n_links"), F.coalesce("comp", "id").alias("comp")), "named")
+    # components of several classes have a name to find; a class alone has its own
+    several = named.groupBy("comp").agg(F.min("low").alias("lowest"), F.count("*").alias("k")).where("k > 1").select(F.col("comp").alias("p"), "lowest", "k")
+    named = named.join(several, F.col("comp") == F.col("p"), "left").select(F.col("id").alias("k"), "n_links", F.when(F.col("p").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("component"))
+    keyed = rows.select("vec_id", F.when(valid(F.col("v")), F.xxhash64("v")).alias("id"))
+    out = keyed.join(named, F.col("id") == F.col("k"), "left")
+    component = F.when(F.col("k").isNull(), F.col("vec_id")).otherwise(F.col("component"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"), F.lit(float(recall)).alias("recall"))
+
+
+def audit(classes: DataFrame, degree: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT) -> float:
+    """Recall of links: degree (a, deg) against all vectors of one length (id, v, c) by brute force, for a hash sample of queries."""
+    spark = classes.sparkSession
+    asked = classes.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(queries).select("id", "v").collect()
     if not asked:
         return 1.0
-    ids, q = np.array([r["vec_id"] for r in asked]), unit([r["v"] for r in asked])
-    sent = spark.sparkContext.broadcast((ids, q))
+    sent = spark.sparkContext.broadcast((np.array([r["id"] for r in asked]), unit([r["v"] for r in asked])))
 
     def count(batches):
         ids, q = sent.value
         for batch in batches:
-            hit = (unit(batch.column(1).to_pylist()) @ q.T >= threshold) & (batch.column(0).to_numpy()[:, None] != ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit.sum(0))], ["vec_id", "n"])
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            if not len(batch):
+                continue
+            hit = (unit(flat.reshape(len(batch), -1)) @ q.T >= threshold) & (batch.column(0).to_numpy()[:, None] != ids)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((hit * batch.column(2).to_numpy()[:, None]).sum(0))], ["q", "n"])
 
-    true = rows.mapInArrow(count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
-    both = true.join(result.select("vec_id", "n_links"), "vec_id").agg(F.sum("n").alias("n"), F.sum(F.least("n", "n_links")).alias("found")).first()
+    true = classes.select("id", "v", "c").mapInArrow(count, "q long, n long").groupBy("q").agg(F.sum("n").alias("n")).where("n > 0")
+    both = true.join(degree, F.col("q") == F.col("a"), "left").agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("deg", F.lit(0)))).alias("found")).first()
     return 1.0 if not both["n"] else both["found"] / both["n"]
 
 
@@ -377,7 +484,7 @@ e AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.ve
 r AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
 c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
 d AS (SELECT x, count(*) AS n FROM e GROUP BY x)
-SELECT m.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, coalesce(c.component_id, m.vec_id) AS component_id, m.vec_id = coalesce(c.component_id, m.vec_id) AS kept
+SELECT m.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, coalesce(c.component_id, m.vec_id) AS component_id, m.vec_id = coalesce(c.component_id, m.vec_id) AS kept, CAST(1 AS DOUBLE) AS recall
 FROM embeddings m LEFT JOIN c ON c.x = m.vec_id LEFT JOIN d ON d.x = m.vec_id
 """
 }

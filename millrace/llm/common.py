@@ -47,6 +47,30 @@ def pow2_at_least(n: int) -> int:
     return 1 << max(0, int(n) - 1).bit_length()
 
 
+def free(columns: list[str], name: str) -> str:
+    """The name, with as many marks before it as no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+#: Bits of the map that tells which rows may be among some.
+AMONG_BITS = 1 << 23
+
+
+def among(rows: DataFrame, some: DataFrame, names: tuple[str, ...] = ("doc_id", "fp")) -> DataFrame:
+    """Rows with `maybe`: false only if the row's values of `names` are not among those of some. A bitmap of
+    fixed size is sent to all tasks, so that most rows that a join would drop need no shuffle."""
+    place = F.pmod(F.xxhash64(*names), F.lit(AMONG_BITS))
+    bits = some.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_mr_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_mr_bits"))
+    bits = materialize(bits, "bits")  # a row for each 2**15 bits
+    both = rows.withColumn("_mr_p", place).join(F.broadcast(bits), F.bitmap_bucket_number("_mr_p") == F.col("_mr_bucket"), "left")
+    at = F.bitmap_bit_position("_mr_p")
+    byte = F.conv(F.hex(F.substring("_mr_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return both.withColumn("maybe", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_mr_p", "_mr_bucket", "_mr_bits")
+
+
 def text_col(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
