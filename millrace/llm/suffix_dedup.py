@@ -10,13 +10,15 @@ only suffixes that start at anchors (about one in 85 bytes) need sorting.
    hash of the context, the run of bytes of all strings that the anchor stands for. Counts
    per (key, context) are combined before the shuffle; a context that occurs twice is a
    repeat as a whole, and a key with one context needs nothing else.
-2. Keys with several contexts: one representative of each context brings its bytes.
-   Sampled splitters deal these suffixes into ranges by their leading tokens (the first 8
-   bytes and the key), buckets sort them by multikey quicksort on 8-byte tokens, and runs
-   that share a key are compared: a string that starts d bytes before the anchor repeats if
-   another suffix of the run agrees with it there. A run never crosses a boundary, as the
-   whole key is part of what the splitters cut.
-3. Spans are merged per document and cut from its bytes.
+2. Keys with several contexts: one representative of each context brings its bytes as a suffix
+   (from the key on) and what precedes it, backwards. Sampled splitters deal the suffixes into ranges
+   by their leading tokens; each bucket is sorted by multikey quicksort on 8-byte tokens, suffixes
+   and what precedes them. Common prefixes of neighbours in both orders decide: a string that starts d
+   bytes before the key repeats if another one lies within the same run of neighbours that agree
+   in ``length`` - d bytes, and within the same run of d bytes backwards.
+3. Splitters may part a run, however many suffixes share it. The strings of the runs that touch an end
+   of a bucket are carried on by their hashes and compared with those of other buckets.
+4. Spans are merged per document and cut from its bytes.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from millrace.llm import common as C
 U64 = C.U64
 LENGTH = 200
 GRAM = 32
-#: Contexts of one key that one task compares; keys with more go by the hashes of all their strings.
-MAX_RUN = 20_000
+#: Suffixes of a bucket, on average.
+BUCKET = 20_000
 _BYTE = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -165,41 +167,21 @@ def _anchor_map(seen_b, length: int, gram: int):
 
 
 def _context_map(length: int, gram: int):
-    """The suffixes to compare: bytes of each wanted context, the place of its anchor and of its key, and the key's leading tokens."""
+    """The suffixes to sort: the bytes of each wanted context from its key on, and those before it, backwards."""
     mid = (length - gram) // 2
 
     def run(batches):
         for batch in batches:
             texts, wants = batch.column(0).cast(pa.large_binary()), batch.column(1)
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(4)]
             for t, want in zip(texts, wants):
                 raw = t.as_py()
                 for x in want.as_py():
-                    part = raw[x["lo"] : x["hi"] + length]
-                    pre = x["at"] - x["lo"]
-                    start = pre - mid - 1 if x["side"] else pre
-                    lead = int.from_bytes(part[start : start + 8].ljust(8, b"\0"), "big") - (1 << 63)
-                    for col, v in zip(cols, (x["key"], x["ctx"], x["side"], pre, part, lead)):
+                    start = x["at"] - mid - 1 if x["side"] else x["at"]
+                    for col, v in zip(cols, (x["key"], x["ctx"], raw[start : x["hi"] + length], raw[x["lo"] : start][::-1])):
                         col.append(v)
-            types = (pa.int64(), pa.int64(), pa.int8(), pa.int32(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["key", "ctx", "side", "pre", "blob", "lead"])
-
-    return run
-
-
-def _string_map(length: int):
-    """Every string of a context by its hash: for keys with more contexts than one task should hold."""
-
-    def run(batches):
-        for batch in batches:
-            key, ctx, blobs = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            for i, b in enumerate(blobs):
-                r = np.frombuffer(b, np.uint8)
-                p, q = C.powers(len(r) + 1)
-                c = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[r] * p[: len(r)])])
-                n = len(r) - length + 1
-                h = C.mix((c[length:] - c[:n]) * q[:n])
-                yield pa.RecordBatch.from_arrays([pa.array(C.as_long(h)), pa.array(np.arange(n, dtype=np.int32)), pa.repeat(key[i], n), pa.repeat(ctx[i], n)], ["h", "s", "key", "ctx"])
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["key", "ctx", "suffix", "before"])
 
     return run
 
@@ -227,32 +209,59 @@ def multikey_sort(tokens: np.ndarray) -> np.ndarray:
     return order
 
 
-def repeats(pre: np.ndarray, blobs: list[bytes], length: int, gram: int) -> list[np.ndarray]:
-    """For suffixes that share a gram: which of each one's strings (by start in its context) another holds too."""
-    n = len(blobs)
-    wide = length - gram
-    mat = np.zeros((n, wide + length), np.uint8)
-    have = np.zeros((n, wide + 1), bool)  # by d, the bytes before the anchor
-    for i, b in enumerate(blobs):
-        r = np.frombuffer(b, np.uint8)
-        mat[i, wide - pre[i] : wide - pre[i] + len(r)] = r
-        last = len(r) - length  # last start in the context
-        have[i, pre[i] - last : pre[i] + 1] = True
-    p, q = C.powers(wide + length + 1)
-    c = np.zeros((n, wide + length + 1), U64)
-    np.cumsum(_BYTE[mat] * p[: wide + length], axis=1, out=c[:, 1:])
-    twice = np.zeros_like(have)
-    for d in np.flatnonzero(have.sum(0) > 1):
-        rows = np.flatnonzero(have[:, d])
-        s = wide - d
-        h = C.mix((c[rows, s + length] - c[rows, s]) * q[s])
-        o = np.argsort(h)
-        same = h[o][1:] == h[o][:-1]
-        eq = np.zeros(len(o), bool)
-        eq[1:] |= same
-        eq[:-1] |= same
-        twice[rows[o[eq]], d] = True
-    return [np.flatnonzero(twice[i, pre[i] - (len(b) - length) : pre[i] + 1][::-1]) for i, b in enumerate(blobs)]
+def _matrix(blobs: list[bytes], width: int) -> np.ndarray:
+    """Rows of bytes, padded with zeros to a width of whole tokens."""
+    wide = -(-max(1, width) // 8) * 8
+    return np.frombuffer(b"".join(b.ljust(wide, b"\0") for b in blobs), np.uint8).reshape(len(blobs), wide)
+
+
+def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' order, and how many leading bytes each one there has in common with the one before (none: -1)."""
+    order = multikey_sort(rows.view(">u8").astype(np.uint64))
+    t = rows[order]
+    common = np.full(len(rows), -1, np.int64)
+    differ = t[1:] != t[:-1]
+    common[1:] = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    return order, common
+
+
+def bucket_repeats(suffixes: list[bytes], before: list[bytes], length: int):
+    """Of the suffixes of a bucket (and the bytes before each, backwards): (row, d) of the strings that start d bytes
+    before and that another row holds too, and (row, d, twice) of those of runs that touch an end of the bucket, one row of each string."""
+    n = len(suffixes)
+    size, pre = np.array([len(x) for x in suffixes]), np.array([len(x) for x in before])
+    order, common = _sorted_runs(_matrix(suffixes, length))
+    back_order, back_common = _sorted_runs(_matrix(before, int(pre.max())))
+    back_place = np.empty(n, np.int64)
+    back_place[back_order] = np.arange(n)
+    back_place = back_place[order]  # from here on, rows in the order of the suffixes
+    least, most = (length - size)[order], pre[order]  # a context's strings start at `least`..`most` bytes before
+    found, ends = [], []
+    for d in range(int(least.min()), int(most.max()) + 1):
+        new = common < length - d
+        new[0] = True
+        run = np.cumsum(new)
+        have = (least <= d) & (d <= most)
+        edge = (run == 1) | (run == run[-1])
+        many = ~new
+        many[:-1] |= ~new[1:]  # runs of two rows or more
+        rows = np.flatnonzero(have & (many | edge))
+        if not len(rows):
+            continue
+        back = np.cumsum(back_common < d)
+        code = run[rows] * (n + 1) + back[back_place[rows]]
+        o = np.argsort(code, kind="stable")
+        same = code[o][1:] == code[o][:-1]
+        twice = np.zeros(len(rows), bool)
+        twice[o[1:]] |= same
+        twice[o[:-1]] |= same
+        found.append((order[rows[twice]], np.full(int(twice.sum()), d)))
+        first = np.ones(len(rows), bool)
+        first[o[1:]] = ~same
+        out = np.flatnonzero(edge[rows] & first)
+        ends.append((order[rows[out]], np.full(len(out), d), twice[out]))
+    join = lambda parts, k: tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * k
+    return join(found, 2), join(ends, 3)
 
 
 def _spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -263,48 +272,46 @@ def _spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(x[0]), int(x[-1]) + length) for x in np.split(starts, cut)]
 
 
-def _compare(length: int, gram: int, block: int = 20000):
-    """Sorts a partition's suffixes and compares the runs that share a key."""
-    mid = (length - gram) // 2
-    wide = -(-max(length - mid, mid + 1 + gram) // 8) * 8
-
-    def solve(rows: list[tuple]):
-        def part(side, pre, blob):
-            return blob[pre - mid - 1 : pre + gram] if side else blob[pre : pre + length - mid]
-
-        tok = np.frombuffer(b"".join(part(*r[2:5]).ljust(wide, b"\0") for r in rows), ">u8").reshape(len(rows), -1).astype(np.uint64)
-        tok = np.column_stack([tok, np.array([r[2] for r in rows], np.uint64)])
-        order = multikey_sort(tok)
-        t = tok[order]
-        cut = np.flatnonzero((t[1:] != t[:-1]).any(1)) + 1
-        for run in np.split(order, cut):
-            if len(run) < 2:
-                continue
-            pre = np.array([rows[i][3] for i in run])
-            blobs = [rows[i][4] for i in run]
-            for i, starts in zip(run, repeats(pre, blobs, length, gram)):
-                if len(starts):
-                    yield rows[i][0], rows[i][1], [{"s": a, "e": z} for a, z in _spans(starts, length)]
+def _compare(length: int):
+    """Sorts a bucket. Rows with spans are repeats within it; rows with a hash are strings for the comparison across buckets."""
+    names = ["key", "ctx", "rel", "h", "s", "twice"]
+    span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
     def run(batches):
-        held: list = []
-        schema = pa.schema([("key", pa.int64()), ("ctx", pa.int64()), ("rel", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])
-
-        def out(rows):
-            got = list(solve(rows))
-            return pa.RecordBatch.from_arrays([pa.array([g[j] for g in got], schema.field(j).type) for j in range(3)], schema=schema)
-
-        for batch in batches:  # sorted by lead and key within the partition
-            held += zip(*(batch.column(j).to_pylist() for j in range(5)))
-            if len(held) > block:
-                k = len(held) - 1
-                while k and held[k][0] == held[-1][0]:
-                    k -= 1
-                if k:  # the last key may go on in the next batch
-                    yield out(held[: k + 1])
-                    held = held[k + 1 :]
-        if held:
-            yield out(held)
+        held: list[list] = [[], [], [], []]
+        for batch in batches:
+            for col, x in zip(held, batch.columns):
+                col += x.to_pylist()
+        key, ctx, suffixes, before = held
+        if not key:
+            return
+        (row, d), (e_row, e_d, twice) = bucket_repeats(suffixes, before, length)
+        pre = np.array([len(x) for x in before])
+        start = pre[row] - d
+        o = np.lexsort((start, row))
+        row, start = row[o], start[o]
+        cut = np.flatnonzero(np.diff(row, prepend=-1))
+        rel = [[{"s": a, "e": z} for a, z in _spans(part, length)] for part in np.split(start, cut[1:])] if len(row) else []
+        who = row[cut]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[i] for i in who], pa.int64()), pa.array([ctx[i] for i in who], pa.int64()), pa.array(rel, span), pa.nulls(len(who), pa.int64()), pa.nulls(len(who), pa.int32()), pa.nulls(len(who), pa.bool_())], names
+        )
+        o = np.argsort(e_row, kind="stable")
+        e_row, e_d, twice = e_row[o], e_d[o], twice[o]
+        for part in np.array_split(np.arange(len(e_row)), 1 + len(e_row) // 200_000):
+            h = np.zeros(len(part), U64)
+            edges = np.flatnonzero(np.diff(e_row[part], prepend=-1))
+            for at in np.split(np.arange(len(part)), edges[1:]) if len(part) else ():  # the strings of one row
+                i = e_row[part[at[0]]]
+                raw = np.frombuffer(before[i][::-1] + suffixes[i], np.uint8)
+                p, q = C.powers(len(raw) + 1)
+                c = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[raw] * p[: len(raw)])])
+                s = pre[i] - e_d[part[at]]
+                h[at] = C.mix((c[s + length] - c[s]) * q[s])
+            own = e_row[part]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key[i] for i in own], pa.int64()), pa.array([ctx[i] for i in own], pa.int64()), pa.nulls(len(own), span), pa.array(C.as_long(h)), pa.array((pre[own] - e_d[part]).astype(np.int32)), pa.array(twice[part].astype(bool))], names
+            )
 
     return run
 
@@ -342,12 +349,12 @@ def _cut(with_text: bool):
     return run
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, with_text: bool = False, max_run: int = MAX_RUN) -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, with_text: bool = False, bucket: int = BUCKET) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept bytes).
 
     A byte goes if a string of `length` bytes that covers it starts anywhere else too,
     the same text included. Null texts count as empty; rows that repeat an id and text are
-    repeats of each other. Texts shorter than `length` stay whole. An empty table gives no rows.
+    repeats of each other. Texts shorter than `length` stay whole. An empty table gives no rows; columns of other names play no part.
     """
     spark = docs.sparkSession
     gram = min(gram, length)
@@ -359,35 +366,37 @@ def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     found = long_enough.mapInArrow(_anchor_map(seen, length, gram), "key long, ctx long, side byte, doc_id long, fp long, at int, lo int, hi int")
     found = C.materialize(found, "anchors")
     per_ctx = found.groupBy("key", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "fp", "at", "lo", "hi", "side")).alias("one"))
-    per_key = found.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"), F.approx_count_distinct("ctx").alias("kinds")).where("n > 1")
-    shared = per_ctx.join(per_key, "key").selectExpr("key", "ctx", "c", "if(c0 = c1, 1, greatest(2, kinds)) AS kinds", "one")
+    per_key = found.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")).where("n > 1")
+    shared = per_ctx.join(per_key, "key").selectExpr("key", "ctx", "c", "c0 <> c1 AS mixed", "one")
     shared = C.materialize(shared, "shared")
     # one representative of each context of keys with several contexts
-    want = shared.where("kinds > 1").select("key", "ctx", "kinds", "one.*")
-    want = want.groupBy(F.col("doc_id").alias("d"), F.col("fp").alias("f")).agg(F.collect_list(F.struct("key", "ctx", "side", "at", "lo", "hi")).alias("wants"))
-    held = texts.join(want, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))).select("text", "wants")
-    suffixes = held.mapInArrow(_context_map(length, gram), "key long, ctx long, side byte, pre int, blob binary, lead long")
-    suffixes = C.materialize(suffixes, "suffixes")  # rows that repeat a text bring a context twice: harmless, it counts as whole
-    parts = C.shuffle_partitions(spark)
-    crowded = C.materialize(shared.where(F.col("kinds") > max_run).select("key").distinct(), "crowded")
-    rest = suffixes.join(crowded, "key", "left_anti")
-    ranged = rest.repartitionByRange(parts, "lead", "key").sortWithinPartitions("lead", "key").select("key", "ctx", "side", "pre", "blob")
-    some = ranged.mapInArrow(_compare(length, gram), "key long, ctx long, rel array<struct<s:int,e:int>>")
-    strings = suffixes.join(crowded, "key", "left_semi").select("key", "ctx", "blob").mapInArrow(_string_map(length), "h long, s int, key long, ctx long")
-    twice = strings.groupBy("key", "h").agg(F.min("ctx").alias("c0"), F.max("ctx").alias("c1")).where("c0 <> c1").select("key", "h")
-    many = strings.join(twice, ["key", "h"]).select("key", "ctx", F.array(F.struct(F.col("s"), (F.col("s") + length).alias("e"))).alias("rel"))
+    want = shared.where("mixed").select("key", "ctx", "one.*")
+    want = C.materialize(want.groupBy(F.col("doc_id").alias("d"), F.col("fp").alias("f")).agg(F.collect_list(F.struct("key", "ctx", "side", "at", "lo", "hi")).alias("wants")), "wants")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))
+    held = C.among(long_enough, want.select(F.col("d").alias("doc_id"), F.col("f").alias("fp"))).where("maybe").join(want, same).dropDuplicates(["doc_id", "fp"]).select("text", "wants")
+    suffixes = C.materialize(held.mapInArrow(_context_map(length, gram), "key long, ctx long, suffix binary, before binary"), "suffixes")
+    parts = max(C.shuffle_partitions(spark), -(-suffixes.count() // bucket))
+    ranged = suffixes.repartitionByRange(parts, "suffix", "before").select("key", "ctx", "suffix", "before")
+    some = C.materialize(ranged.mapInArrow(_compare(length), "key long, ctx long, rel array<struct<s:int,e:int>>, h long, s int, twice boolean"), "compared")
+    # strings of runs that reach over an end of a bucket: one row for each bucket and string
+    ends = some.where("rel is null")
+    again = ends.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("n")).where("n > 1").select("g")
+    over = ends.where("not twice").join(again, F.col("h") == F.col("g")).groupBy("key", "ctx").agg(F.collect_list(F.struct(F.col("s"), (F.col("s") + length).alias("e"))).alias("rel"))
     # contexts that occur twice repeat as a whole; of the others what a comparison found
     whole = shared.where("c > 1").select("key", "ctx", F.lit(None).cast("array<struct<s:int,e:int>>").alias("rel"))
-    some = some.unionByName(many).join(shared.where("c > 1").select("key", "ctx"), ["key", "ctx"], "left_anti").select("key", "ctx", "rel")
+    some = some.where("rel is not null").select("key", "ctx", "rel").unionByName(over).join(shared.where("c > 1").select("key", "ctx"), ["key", "ctx"], "left_anti")
     hits = C.materialize(whole.unionByName(some), "hits")
     rel = F.when(F.col("rel").isNull(), F.array(F.struct(F.col("lo").alias("s"), (F.col("hi") + length).alias("e")))).otherwise(
         F.transform("rel", lambda x: F.struct((x["s"] + F.col("lo")).alias("s"), (x["e"] + F.col("lo")).alias("e")))
     )
     spans = found.join(hits, ["key", "ctx"]).select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), rel.alias("x"))
-    spans = spans.groupBy("d", "f").agg(F.flatten(F.collect_list("x")).alias("spans"))
-    whole_texts = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")), "left").select("doc_id", "text", "spans")
+    spans = C.materialize(spans.groupBy("d", "f").agg(F.flatten(F.collect_list("x")).alias("spans")), "spans")
+    # only texts that lose something are shuffled
+    marked = C.among(texts, spans.select(F.col("d").alias("doc_id"), F.col("f").alias("fp")))
+    some_texts = marked.where("maybe").join(spans, same, "left").select("doc_id", "text", "spans")
+    others = marked.where("not maybe").select("doc_id", "text", F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
-    return whole_texts.mapInArrow(_cut(with_text), schema)
+    return others.unionByName(some_texts).mapInArrow(_cut(with_text), schema)
 
 
 def op10_suffix_array_dedup(spark, sf_dir):
