@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import common
 from millrace.llm.decontaminate import decontaminate
-from millrace.llm.line_dedup import line_dedup
+from millrace.llm.line_dedup import count_names, line_dedup
 from millrace.llm.ngram_join import drop_near_copies
 from millrace.llm.packing import best_fit_packing
 from millrace.llm.toxicity import drop_toxic
@@ -27,9 +27,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     n_chars follows the text that stays.
     """
-    out = line_dedup(docs)
-    left = (F.col("_mr_gone") == 0) | (F.length(F.trim("text")) > 0)
-    cols = [F.when(F.col("_mr_gone") > 0, F.length("text")).otherwise(out[c]).cast(t).alias(c) if c == "n_chars" else out[c] for c, t in docs.dtypes]
+    out, gone = line_dedup(docs), F.col(count_names(docs.columns)[1])
+    left = (gone == 0) | (F.length(F.trim("text")) > 0)
+    cols = [F.when(gone > 0, F.length("text")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]
     return out.where(left).select(*cols)
 
 
