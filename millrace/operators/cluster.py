@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.graph import connected_components
+
 LINKAGES = ("average", "single", "complete", "weighted", "centroid", "median", "ward")
 
 
@@ -129,18 +131,11 @@ def merge_seeded(clusters: DataFrame, require: DataFrame, disallow: DataFrame |
     if disallow is not None:
         bad = disallow.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         pull = pull.join(bad, "id", "left_anti")
-    # clusters and seeds are linked; a few rounds of minima settle, as a seed reaches all its clusters in one
     links = pull.join(clusters, "id").select("cluster", "seed").distinct()
-    label = links.select("cluster").distinct().withColumn("root", F.col("cluster"))
-    for _ in range(20):
-        low = links.join(label, "cluster").groupBy("seed").agg(F.min("root").alias("m"))
-        new = links.join(low, "seed").groupBy("cluster").agg(F.min("m").alias("root"))
-        if clusters.sparkSession.conf.get("spark.checkpoint.dir", None):
-            new = new.checkpoint()
-        changed = new.join(label.withColumnRenamed("root", "old"), "cluster").where("root <> old").limit(1).count()
-        label = new
-        if not changed:
-            break
+    # the clusters of a seed are joined to the smallest of them
+    first = links.groupBy("seed").agg(F.min("cluster").alias("b"))
+    edges = links.join(first, "seed").select(F.col("cluster").alias("a"), "b")
+    label = connected_components(edges, "seeds").select(F.col("node").alias("cluster"), F.col("comp").alias("root"))
     return clusters.join(label, "cluster", "left").select("id", F.coalesce("root", "cluster").alias("cluster"))
 
 

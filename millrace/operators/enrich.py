@@ -210,3 +210,58 @@ def enrich(items: DataFrame, model: Callable[[str, str], str], done: DataFrame |
     """Drafts to enriched items, those in `done` left out."""
     todo = remaining(items, done) if done is not None else items
     return apply_replies(todo, call_model(prompt(todo), model, pause=pause), scenario2)
+
+
+# The prompt of answers that are taken as they come, and the mark of those that failed.
+PLAIN_PROMPT = """You are given architecture/design evidence extracted from a local repository.
+
+Task:
+Answer the question STRICTLY using ONLY the evidence. If evidence is insufficient, say "Insufficient evidence" and list what is missing.
+
+Question:
+{question}
+
+Evidence:
+{evidence}
+"""
+FAILED_MARK = "\n\n[LLM_ENRICH_FAILED] "
+
+
+def enrich_inline(items: DataFrame, complete: Callable[[str], str] | None = None) -> DataFrame:
+    """items (id, question, answer, evidence, meta, ...) whose answer is the model's, and `llm_enriched` in meta.extra.
+
+    A failure keeps the draft and adds the mark and the error; without a model the drafts stay. Prompts go to the tasks in
+    Arrow batches; nothing else of an item leaves the plan."""
+    marked = lambda ok: F.map_zip_with(F.col("meta.extra"), F.create_map(F.lit("llm_enriched"), ok), lambda k, old, new: F.coalesce(new, old))
+    meta = lambda ok: F.struct(F.col("meta.kind").alias("kind"), marked(ok).alias("extra")).alias("meta")
+    if complete is None:
+        return items.select(*(meta(F.lit("false")) if c == "meta" else F.col(c) for c in items.columns))
+
+    @F.pandas_udf("answer string, error string")
+    def ask(prompts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for p in prompts:
+            try:
+                rows.append((complete(p), None))
+            except Exception as e:  # the draft stays
+                rows.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["answer", "error"])
+
+    before, rest = PLAIN_PROMPT.split("{question}")
+    between, after = rest.split("{evidence}")
+    snippets = F.array_join(F.transform("evidence", lambda e: e["snippet"]), "\n\n")
+    asked = items.withColumn("_r", ask(F.concat(F.lit(before), F.col("question"), F.lit(between), snippets, F.lit(after))))
+    answer = F.when(F.col("_r.error").isNull(), F.col("_r.answer")).otherwise(F.concat("answer", F.lit(FAILED_MARK), F.col("_r.error")))
+    ok = F.col("_r.error").isNull().cast("string")
+    return asked.select(*(meta(ok) if c == "meta" else answer.alias("answer") if c == "answer" else F.col(c) for c in items.columns))
+
+
+def error_rows(enriched: DataFrame) -> DataFrame:
+    """(value): a line for the error log of each item that failed, as JSON with its id, error and attempts."""
+    failed = enriched.where(~F.col("llm_enriched"))
+    return failed.select(F.to_json(F.struct("id", F.col("llm_error").alias("error"), F.col("llm_attempts").alias("attempts"))).alias("value"))
+
+
+def append_errors(enriched: DataFrame, path: str) -> None:
+    """Appends the error rows to the log, a folder of text files."""
+    error_rows(enriched).write.mode("append").text(path)

@@ -138,13 +138,12 @@ def hash_order(seed: int, *keys: str) -> Column:
 def balanced_sample(pairs: DataFrame, category: str, n: int, seed: int, *keys: str) -> DataFrame:
     """At most ceil(n / categories) pairs of each category (categories: 4 for names and clusters, 2 for labels), in hash order.
 
-    Each category is a top-n, which keeps n rows of a task at most before they meet."""
-    import functools
-
-    kinds = [r[0] for r in pairs.select(category).distinct().orderBy(category).collect()]  # a handful
-    of = 4 if len(kinds) > 2 else 2
-    parts = [pairs.where(F.col(category) == k).orderBy(hash_order(seed, *keys), *keys).limit(-(-n // of)) for k in kinds]
-    return functools.reduce(DataFrame.unionByName, parts) if parts else pairs.limit(0)
+    One pass: a task sends the first ceil(n / 2) of each category at most, and what is left of these tells how many there are."""
+    most = -(-n // 2)
+    ranked = pairs.withColumn("_r", F.row_number().over(Window.partitionBy(category).orderBy(hash_order(seed, *keys), *keys))).where(F.col("_r") <= most)
+    kinds = F.size(F.collect_set(category).over(Window.partitionBy(F.lit(1))))  # over a few times n rows
+    some = F.when(kinds > 2, -(-n // 4)).otherwise(most)
+    return ranked.withColumn("_n", some).where(F.col("_r") <= F.col("_n")).select(*pairs.columns)
 
 
 def random_sample(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Declarative rules over source files: drafts with evidence, in one pass over the files.
 
 Files carry their lines as an array, so a rule is a projection: a filter over the lines,
-a cap, and a slice as evidence. Nothing is shuffled but for caps over all files, which are
-top-n in (path, line) order.
+a cap, and a slice as evidence. Rules run together over a file's lines. Nothing is shuffled but for
+caps over all files, which are top-n in (path, line) order.
 """
 
 from __future__ import annotations
@@ -120,32 +120,63 @@ def evidence(path: Column, start: Column, end: Column, text: Column) -> Column:
     return F.struct(span.alias("span"), text.alias("snippet"))
 
 
+def _drafts(rule: LineRule) -> Column:
+    """A file's drafts of one rule, as an array of rows; only the evidence leaves the file's lines."""
+    path = F.col("path")
+
+    def draft(h):
+        name = h["name"]
+        if rule.rule_id == "S1_VALIDATION":
+            by_assert = h["kind"] == "validation_assert"
+            title = F.when(by_assert, F.lit("Validation via assert")).otherwise(F.lit("Validation via if/raise"))
+            question = F.when(by_assert, _fill(ASSERT_QUESTION, name)).otherwise(_fill(IF_QUESTION, name))
+        else:
+            title, question = _fill(rule.title, name), _fill(rule.question, name)
+        key = F.concat(F.lit("s1_"), L.stable_id(F.lit(rule.rule_id), title, path, h["line"].cast("string")))
+        return F.struct(
+            key.alias("id"), F.lit(rule.rule_id).alias("rule_id"), path.alias("path"), h["line"].alias("start_line"), h["end"].alias("end_line"), h["kind"].alias("kind"), name.alias("name"), title.alias("title"), question.alias("question"),
+            L.snippet(F.col("lines"), h["line"], h["end"]).alias("snippet"),
+        )
+
+    found = F.transform(_hits(rule), draft)
+    if rule.tests_only:
+        found = F.when(F.contains(F.lower("path"), F.lit("test")), found).otherwise(F.slice(found, 1, 0))
+    return found
+
+
+def _flat(files: DataFrame, rules: list[LineRule]) -> DataFrame:
+    """All drafts of some rules: each file is read and split once, and its drafts are one array."""
+    return files.select(F.explode(F.concat(*(_drafts(r) for r in rules))).alias("d")).select("d.*")
+
+
 def line_rule(files: DataFrame, rule: LineRule) -> DataFrame:
     """Flat drafts of one rule over files (path, lines, n_lines)."""
-    if rule.tests_only:
-        files = files.where(F.contains(F.lower("path"), F.lit("test")))
-    rows = files.select("path", "lines", F.explode(_hits(rule)).alias("h"))
-    name = F.col("h.name")
-    if rule.rule_id == "S1_VALIDATION":
-        is_assert = F.col("h.kind") == "validation_assert"
-        title = F.when(is_assert, F.lit("Validation via assert")).otherwise(F.lit("Validation via if/raise"))
-        question = F.when(is_assert, _fill(ASSERT_QUESTION, name)).otherwise(_fill(IF_QUESTION, name))
-    else:
-        title, question = _fill(rule.title, name), _fill(rule.question, name)
-    rows = rows.select("path", F.col("h.line").alias("start_line"), F.col("h.end").alias("end_line"), F.col("h.kind").alias("kind"), name.alias("name"), title.alias("title"), question.alias("question"), L.snippet(F.col("lines"), F.col("h.line"), F.col("h.end")).alias("snippet"))
-    rows = rows.select(F.concat(F.lit("s1_"), L.stable_id(F.lit(rule.rule_id), F.col("title"), F.col("path"), F.col("start_line").cast("string"))).alias("id"), F.lit(rule.rule_id).alias("rule_id"), "*")
+    rows = _flat(files, [rule])
     return rows.orderBy("path", "start_line").limit(rule.total) if rule.total else rows
 
 
 def run_line_rules(files: DataFrame, rules: tuple[LineRule, ...] = RULES) -> DataFrame:
-    """Flat drafts of all rules; files as (path, text). A rule whose plan cannot be made gives one error row."""
+    """Flat drafts of all rules; files as (path, text). A rule whose plan cannot be made gives one error row.
+
+    One scan for the rules without a cap over all files, which shuffles nothing, and one for the others, where
+    a task sends at most the cap's number of rows of each rule."""
+    from pyspark.sql import Window
+
     files = L.with_lines(files)
-    parts = []
+    able, parts = [], []
     for rule in rules:
         try:
-            parts.append(line_rule(files, rule))
+            files.select(_drafts(rule)).schema  # made, but not run
+            able.append(rule)
         except Exception as e:  # the other rules still run
             parts.append(error_row(files, rule, str(e)))
+    free, capped = [r for r in able if not r.total], [r for r in able if r.total]
+    if free:
+        parts.append(_flat(files, free))
+    if capped:
+        caps = F.element_at(F.create_map(*(F.lit(x) for r in capped for x in (r.rule_id, r.total))), F.col("rule_id"))
+        rows = _flat(files, capped).withColumn("_r", F.row_number().over(Window.partitionBy("rule_id").orderBy("path", "start_line")))
+        parts.append(rows.where(F.col("_r") <= max(r.total for r in capped)).where(F.col("_r") <= caps).drop("_r"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -167,10 +198,16 @@ def as_items(flat: DataFrame, scenario: str = "scenario1") -> DataFrame:
 # ---------------------------------------------------------------- anchors and windows
 @dataclass(frozen=True)
 class AnchorRule:
+    """tasks, never: the question's tasks and what an answer must not invent; steps: the draft's trace."""
+
     rule_id: str
     kind: str
     title: str
     focus: str
+    tasks: tuple[str, str, str]
+    never: str
+    steps: tuple[str, str, str]
+    answer: str
     pattern: str
     soft: int
     hard: int
@@ -179,12 +216,118 @@ class AnchorRule:
 
 # Fixed values, in the order in which the rules run.
 ANCHORS = (
-    AnchorRule("S2_ARCH_RATIONALE_PUBLIC_API", "public_api", "Architecture rationale: public API", "Public API surface / stability / exports", "", 40, 140, True),
-    AnchorRule("S2_ARCH_RATIONALE_EXTENSION", "extension_point", "Architecture rationale: extension point", "Extension points", "(registry|register|factory|strategy|plugin|extension)", 55, 160),
-    AnchorRule("S2_ARCH_RATIONALE_FLOW", "flow_pipeline", "Architecture rationale: pipeline/flow", "Pipeline / flow", "(pipeline|stage|step|first|then|finally|second stage)", 55, 160),
-    AnchorRule("S2_ARCH_RATIONALE_PERF", "performance_scalability", "Architecture rationale: performance", "Performance / scalability", r"(batch|cache|chunk|memory\s+footprint|tqdm|float16|imap|lazy)", 50, 150),
-    AnchorRule("S2_ARCH_RATIONALE_POLICY", "algorithm_policy", "Architecture rationale: policy", "Algorithm policy", r"(special case|fallback|backward-compat|compatibility|TODO\(|policy|rule\s*\()", 55, 160),
+    AnchorRule(
+        "S2_ARCH_RATIONALE_PUBLIC_API",
+        "public_api",
+        "Architecture rationale: public API",
+        "Public API surface / stability / exports",
+        (
+            "Explain what public API surface is visible in the evidence (exports, __all__, re-exports).",
+            "Infer what stability/compatibility constraint this API design implies. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+            "Propose a backward-compatible evolution plan: what to add/change, where (by files/modules seen in evidence), migration steps, tests, risks, rollback.",
+        ),
+        "Do NOT invent new public APIs not present in evidence.",
+        (
+            "Extract what is actually exported/re-exported or declared stable in the evidence.",
+            "Infer implied compatibility/stability constraints. If missing, state Insufficient evidence.",
+            "Propose backward-compatible evolution (additions only, deprecation path, tests, rollback).",
+        ),
+        "(draft) Provide a design rationale and an evolution plan using ONLY the evidence. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+        "",
+        40,
+        140,
+        True,
+    ),
+    AnchorRule(
+        "S2_ARCH_RATIONALE_EXTENSION",
+        "extension_point",
+        "Architecture rationale: extension mechanism",
+        "Extension mechanism / registry / factory / strategy",
+        (
+            "Explain what architecture/design choice is visible in the evidence.",
+            "Infer the most likely goal/requirement/constraint this design is addressing (reverse-infer). If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+            "Propose an evolution plan aligned with the architecture: what to change/add, where (by files/modules seen in evidence), how to keep compatibility, what to test, risks, and rollback.",
+        ),
+        "Do NOT invent APIs/mechanisms not present in evidence.",
+        (
+            "Extract extension/registry/factory/strategy signals from evidence.",
+            "Reverse-infer likely goal/constraint; if unclear, Insufficient evidence.",
+            "Propose aligned evolution plan: add new impl via existing mechanism, compat, tests, risks, rollback.",
+        ),
+        "(draft) Provide a design rationale and evolution plan using ONLY the evidence. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+        "(registry|register|factory|strategy|plugin|extension)",
+        55,
+        160,
+    ),
+    AnchorRule(
+        "S2_ARCH_RATIONALE_FLOW",
+        "flow_pipeline",
+        "Architecture rationale: pipeline/flow",
+        "Flow / pipeline / orchestration",
+        (
+            "Explain what pipeline/flow structure is visible in the evidence (stages, boundaries, sequencing).",
+            "Infer the likely goal/constraint this flow is addressing. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+            "Propose an evolution plan: where to integrate a new step safely, compatibility constraints, tests, risks, rollback.",
+        ),
+        "Do NOT invent modules/APIs not present in evidence.",
+        (
+            "Extract stages/sequence/boundaries visible in the evidence.",
+            "Infer goal/constraint; if unclear, mark Insufficient evidence and list missing info.",
+            "Propose a safe evolution plan: insertion point, compatibility, tests, risks, rollback.",
+        ),
+        "(draft) Provide a design rationale and an evolution plan using ONLY the evidence. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+        "(pipeline|stage|step|first|then|finally|second stage)",
+        55,
+        160,
+    ),
+    AnchorRule(
+        "S2_ARCH_RATIONALE_PERF",
+        "performance_scalability",
+        "Architecture rationale: performance/scalability",
+        "Performance / scalability / memory / caching / batching",
+        (
+            "Explain what performance/scalability tradeoffs are visible in the evidence (batching, cache, memory footprint, data structures).",
+            "Infer the likely constraint driving these choices (e.g., memory/time). If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+            "Propose an evolution plan: how to improve performance safely, where to change, compatibility constraints, tests, risks, rollback.",
+        ),
+        "Do NOT invent new configuration keys or flags not present in evidence.",
+        (
+            "Extract concrete perf patterns (batching/cache/chunk/memory notes) from evidence.",
+            "Infer the constraint (memory/time/IO). If unclear, Insufficient evidence.",
+            "Propose a safe perf evolution plan: where to change, keep compatibility, tests, risks, rollback.",
+        ),
+        "(draft) Provide a design rationale and an evolution plan using ONLY the evidence. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+        r"(batch|cache|chunk|memory\s+footprint|tqdm|float16|imap|lazy)",
+        50,
+        150,
+    ),
+    AnchorRule(
+        "S2_ARCH_RATIONALE_POLICY",
+        "algorithm_policy",
+        "Architecture rationale: algorithmic policy",
+        "Algorithmic policy / special cases / fallback / compatibility hacks",
+        (
+            "Explain what policy/strategy is visible in the evidence (rules, special cases, fallbacks, merging decisions).",
+            "Infer the likely requirement/constraint this policy addresses. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+            "Propose an evolution plan: how to adjust/replace policies safely, where to change, compatibility, tests, risks, rollback.",
+        ),
+        "Do NOT invent behavior not present in evidence.",
+        (
+            "Extract explicit policies/special cases/fallbacks visible in evidence.",
+            "Infer which constraint the policy targets; if unclear, Insufficient evidence.",
+            "Propose safe evolution: how to replace/adjust, tests, compatibility, risks, rollback.",
+        ),
+        "(draft) Provide a design rationale and an evolution plan using ONLY the evidence. If evidence is insufficient, say 'Insufficient evidence' and list what is missing.",
+        r"(special case|fallback|backward-compat|compatibility|TODO\(|policy|rule\s*\()",
+        55,
+        160,
+    ),
 )
+# The frame of the questions, and the kind of the items.
+QUESTION_HEAD = "You are given architecture/design evidence extracted from a local repository.\nFocus area: {}\nAnchor kind: {}\nAnchor file: "
+QUESTION_TAIL = "\n\nTask:\n1) {}\n2) {}\n3) {}\n\nConstraints:\n- Use ONLY the provided evidence snippets.\n- {}\n- Provide a rationale trace where EACH step cites evidence_refs.\n"
+ANCHOR_ITEM_KIND = "arch_first_design_task"
+STEP_KINDS = ("extract", "reason", "answer")
 REEXPORT = r"^\s*(from\s+\S+\s+import\s+.+|import\s+\S+)\s*(#.*)?$"
 ALL_LIST = r"^\s*__all__\s*=\s*\["
 API_COMMENT = r"(public\s+api|re-export|reexport|stable api)"
@@ -222,7 +365,7 @@ def anchors(files: DataFrame, rule: AnchorRule) -> DataFrame:
     rows = files.select("path", "lines", "n_lines", F.explode(F.array(anchor_lines(rule))).alias("hits")).where(F.size("hits") > 0)
     start, end = window(F.col("hits"), F.col("n_lines"), rule.soft, rule.hard)
     rows = rows.select("path", "lines", "hits", F.inline(F.array(F.struct(start.alias("start_line"), end.alias("end_line")))))
-    question = F.concat(F.lit(f"Focus area: {rule.focus}\nAnchor kind: {rule.kind}\nAnchor file: "), F.col("path"), F.lit("\n\nUsing only the evidence, explain the design, what it implies, and how it could evolve; say what is missing."))
+    question = F.concat(F.lit(QUESTION_HEAD.format(rule.focus, rule.kind)), F.col("path"), F.lit(QUESTION_TAIL.format(*rule.tasks, rule.never)))
     item = F.struct(
         F.concat(F.lit("s2_"), L.content_hash(F.concat("path", F.lit("|"), F.lit(rule.kind)))).alias("id"), F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.kind).alias("kind"), F.lit(rule.title).alias("title"),
         "path", F.size("hits").alias("n_hits"), "start_line", "end_line", L.snippet(F.col("lines"), F.col("start_line"), F.col("end_line"), rstrip=True).alias("snippet"), question.alias("question"),
@@ -231,8 +374,21 @@ def anchors(files: DataFrame, rule: AnchorRule) -> DataFrame:
 
 
 def fingerprint() -> Column:
-    """Hash of the rule and the evidence; file names do not enter, as they stand behind the part of the question that counts."""
-    return L.content_hash(F.concat_ws("||", "rule_id", L.content_hash(F.col("snippet"))))
+    """Hash of the rule, the first 120 characters of the question (they end before the file's name) and the evidence."""
+    head = F.left(L.squeeze(F.col("question")), F.lit(120))
+    return L.content_hash(F.concat_ws("||", F.col("rule_id"), head, L.content_hash(F.col("snippet"))))
+
+
+def anchor_items(flat: DataFrame, rules: tuple[AnchorRule, ...] = ANCHORS) -> DataFrame:
+    """Items as of `as_items` from flat drafts of anchor rules, with each rule's own draft answer and trace."""
+    of = lambda values: F.element_at(F.create_map(*(x for r, v in zip(rules, values) for x in (F.lit(r.rule_id), v))), F.col("rule_id"))
+    steps = lambda r: F.array(*(F.struct(F.lit(i).alias("step"), F.lit(k).alias("kind"), F.lit(c).alias("content"), F.array(F.lit(0)).alias("evidence_refs")) for i, (k, c) in enumerate(zip(STEP_KINDS, r.steps), 1)))
+    extra = F.create_map(F.lit("anchor_kind"), F.col("kind"), F.lit("anchor_file"), F.col("path"), F.lit("llm_enriched"), F.lit("false"))
+    meta = F.struct(F.lit(ANCHOR_ITEM_KIND).alias("kind"), extra.alias("extra"))
+    return flat.select(
+        "id", F.lit("scenario2").alias("scenario"), "rule_id", "title", "question", of([F.lit(r.answer) for r in rules]).alias("answer"),
+        F.array(evidence(F.col("path"), F.col("start_line"), F.col("end_line"), F.col("snippet"))).alias("evidence"), of([steps(r) for r in rules]).alias("trace"), meta.alias("meta"),
+    )
 
 
 def run_anchor_rules(files: DataFrame, rules: tuple[AnchorRule, ...] = ANCHORS, max_items: int = 200, per_file_kind: int = 2) -> DataFrame:

@@ -24,13 +24,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _bucket_pairs(spark, d):
-    """Pairs of authors of one block and bucket."""
-    rows = bibliography(spark, d).withColumn("key", F.concat_ws("/", "block", F.col("bucket").cast("string")))
-    return N.pairs_in_block(rows, "key", "sig")
+def _block_pairs(spark, d):
+    """All pairs of authors of one block."""
+    return N.pairs_in_block(bibliography(spark, d), "block", "sig")
 
 
-_PAIRS = f"WITH {BIB_SQL}, pairs AS (SELECT a.sig AS a, b.sig AS b, a.name AS name_a, b.name AS name_b, a.person AS person_a, b.person AS person_b, a.year AS year_a, b.year AS year_b, a.position AS position_a, b.position AS position_b, a.block AS block FROM bib a JOIN bib b ON a.block = b.block AND a.bucket = b.bucket AND a.sig < b.sig)"
+_PAIRS = f"WITH {BIB_SQL}, pairs AS (SELECT a.sig AS a, b.sig AS b, a.name AS name_a, b.name AS name_b, a.person AS person_a, b.person AS person_b, a.year AS year_a, b.year AS year_b, a.position AS position_a, b.position AS position_b, a.block AS block FROM bib a JOIN bib b ON a.block = b.block AND a.sig < b.sig)"
 _CATEGORY = "CASE WHEN name_a = name_b THEN 'same' ELSE 'different' END || '_name_' || CASE WHEN person_a = person_b THEN 'same' ELSE 'different' END || '_cluster'"
 
 
@@ -125,19 +124,19 @@ def embedding_cosine(spark, d):
 # ---------------------------------------------------------------- pairs, samples, splits
 @query("pairs_in_block", _PAIRS + " SELECT block, count(*) AS n, CAST(sum(a % 1000) AS BIGINT) AS a_sum FROM pairs GROUP BY block")
 def pairs_in_block(spark, d):
-    return _bucket_pairs(spark, d).groupBy(F.col("block_a").alias("block")).agg(F.count("*").alias("n"), F.sum(F.col("sig_a") % 1000).alias("a_sum"))
+    return _block_pairs(spark, d).groupBy(F.col("block_a").alias("block")).agg(F.count("*").alias("n"), F.sum(F.col("sig_a") % 1000).alias("a_sum"))
 
 
 @query("pair_category", _PAIRS + f" SELECT {_CATEGORY} AS category, count(*) AS n FROM pairs GROUP BY 1")
 def pair_category(spark, d):
     c = N.pair_category(F.col("name_a"), F.col("name_b"), F.col("person_a"), F.col("person_b"))
-    return _bucket_pairs(spark, d).groupBy(c.alias("category")).agg(F.count("*").alias("n"))
+    return _block_pairs(spark, d).groupBy(c.alias("category")).agg(F.count("*").alias("n"))
 
 
-@query("balanced_sample", _PAIRS + f", c AS (SELECT a, b, {_CATEGORY} AS category FROM pairs), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('7_' || CAST(a AS VARCHAR) || '_' || CAST(b AS VARCHAR)), a, b) AS r FROM c) SELECT a, b, category FROM r WHERE r <= CASE WHEN (SELECT count(DISTINCT category) FROM c) > 2 THEN 25 ELSE 50 END")
+@query("balanced_sample", _PAIRS + f", c AS (SELECT a, b, {_CATEGORY} AS category FROM pairs), t AS (SELECT category, arg_min({{'a': a, 'b': b}}, (md5('7_' || CAST(a AS VARCHAR) || '_' || CAST(b AS VARCHAR)), a, b), 50) AS x FROM c GROUP BY category), k AS (SELECT count(*) AS n FROM t) SELECT p.a AS a, p.b AS b, category FROM (SELECT category, unnest(x[:CASE WHEN n > 2 THEN 25 ELSE 50 END]) AS p FROM t, k)")
 def balanced_sample(spark, d):
     c = N.pair_category(F.col("name_a"), F.col("name_b"), F.col("person_a"), F.col("person_b"))
-    pairs = _bucket_pairs(spark, d).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), c.alias("category"))
+    pairs = _block_pairs(spark, d).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), c.alias("category"))
     return N.balanced_sample(pairs, "category", 100, 7, "a", "b")
 
 
@@ -146,20 +145,25 @@ def random_sample(spark, d):
     return N.random_sample(table(spark, d, "documents").select("doc_id"), 50, 11, "doc_id")
 
 
-@query("pair_differences", _PAIRS + " SELECT a, b, CAST(least(abs(year_a - year_b), 50) AS DOUBLE) AS year_diff, CASE WHEN a % 5 = 0 THEN NULL ELSE CAST(least(abs(position_a - position_b), 50) AS DOUBLE) END AS position_diff, CAST(name_a = name_b AS INTEGER) AS names_equal FROM pairs")
+@query("pair_differences", _PAIRS + " SELECT block, CAST(least(abs(year_a - year_b), 50) AS DOUBLE) AS year_diff, CASE WHEN a % 5 = 0 THEN NULL ELSE CAST(least(abs(position_a - position_b), 50) AS DOUBLE) END AS position_diff, CAST(name_a = name_b AS INTEGER) AS names_equal, count(*) AS n FROM pairs GROUP BY 1, 2, 3, 4")
 def pair_differences(spark, d):
+    """How often each combination of differences occurs among all pairs."""
     position = F.when(F.col("sig_a") % 5 != 0, F.col("position_a"))
-    return _bucket_pairs(spark, d).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), T.difference(F.col("year_a"), F.col("year_b"), 50).alias("year_diff"), T.difference(position, F.col("position_b"), 50).alias("position_diff"), T.equal(F.col("name_a"), F.col("name_b")).alias("names_equal"))
+    by = (F.col("block_a").alias("block"), T.difference(F.col("year_a"), F.col("year_b"), 50).alias("year_diff"), T.difference(position, F.col("position_b"), 50).alias("position_diff"), T.equal(F.col("name_a"), F.col("name_b")).alias("names_equal"))
+    return _block_pairs(spark, d).groupBy(*by).agg(F.count("*").alias("n"))
 
 
-@query("coauthor_jaccard", f"""WITH {BIB_SQL}, c AS (SELECT x.sig, x.block, x.bucket, list(DISTINCT y.name) FILTER (WHERE y.name IS NOT NULL) AS co FROM bib x LEFT JOIN bib y ON y.paper = x.paper AND y.sig <> x.sig GROUP BY ALL)
- SELECT a.sig AS a, b.sig AS b, round(CASE WHEN a.co IS NULL OR b.co IS NULL THEN NULL ELSE len(list_intersect(a.co, b.co)) / CAST(len(list_distinct(list_concat(a.co, b.co))) AS DOUBLE) END, 9) AS score FROM c a JOIN c b ON a.block = b.block AND a.bucket = b.bucket AND a.sig < b.sig""".replace("GROUP BY ALL", "GROUP BY x.sig, x.block, x.bucket"))
+@query("coauthor_jaccard", f"""WITH {BIB_SQL}, c AS (SELECT x.sig, x.block, list(DISTINCT y.name) FILTER (WHERE y.name IS NOT NULL) AS co FROM bib x LEFT JOIN bib y ON y.paper = x.paper AND y.sig <> x.sig GROUP BY x.sig, x.block),
+ s AS (SELECT a.block AS block, len(list_intersect(a.co, b.co)) AS i, len(a.co) AS na, len(b.co) AS nb FROM c a JOIN c b ON a.block = b.block AND a.sig < b.sig)
+ SELECT block, round(i / CAST(na + nb - i AS DOUBLE), 9) AS score, count(*) AS n FROM s GROUP BY 1, 2""")
 def coauthor_jaccard(spark, d):
+    """How often each similarity occurs among all pairs."""
     bib = bibliography(spark, d)
     authors = bib.groupBy("paper").agg(F.collect_list(F.struct("sig", "name")).alias("authors"))
     others = F.array_distinct(F.transform(F.filter("authors", lambda x: x["sig"] != F.col("sig")), lambda x: x["name"]))
-    rows = bib.join(authors, "paper").select("sig", F.concat_ws("/", "block", F.col("bucket").cast("string")).alias("key"), others.alias("co"))
-    return N.pairs_in_block(rows, "key", "sig").select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.round(T.jaccard(F.col("co_a"), F.col("co_b")), 9).alias("score"))
+    rows = bib.join(authors, "paper").select("sig", "block", others.alias("co"))
+    pairs = N.pairs_in_block(rows, "block", "sig")
+    return pairs.groupBy(F.col("block_a").alias("block"), F.round(T.jaccard(F.col("co_a"), F.col("co_b")), 9).alias("score")).agg(F.count("*").alias("n"))
 
 
 @query("drop_singletons", f"WITH {BIB_SQL}, k AS (SELECT person, count(*) AS c FROM bib GROUP BY person HAVING count(*) > 1 ORDER BY person LIMIT 50) SELECT sig FROM bib WHERE person IN (SELECT person FROM k)")
@@ -212,15 +216,23 @@ def flip_gate(spark, d):
 _SIDE = "lower(split_part(name, ' ', 1)) AS first_n, CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n, lower(split_part(name, ' ', -1)) AS last_n, CASE WHEN person % 7 = 0 THEN CAST(person AS VARCHAR) END AS orcid, CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed, year % 2 = 0 AS reliable, CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language"
 
 
-@query("constraint_case", f"""WITH {BIB_SQL}, s AS (SELECT sig, paper // 40 AS bucket, block, {_SIDE} FROM bib), p AS (SELECT a.sig AS sa, b.sig AS sb, a.first_n AS fa, b.first_n AS fb, string_split(a.middle_n, ' ') AS ma0, string_split(b.middle_n, ' ') AS mb0, a.last_n AS la, b.last_n AS lb, a.orcid AS oa, b.orcid AS ob, a.seed AS da, b.seed AS db, a.reliable AND b.reliable AND a.language <> b.language AS lang, (a.sig + b.sig) % 97 = 0 AS dis FROM s a JOIN s b ON a.bucket = b.bucket AND a.last_n[1] = b.last_n[1] AND a.sig < b.sig),
- q AS (SELECT *, list_filter(ma0, lambda x: x <> '' AND NOT (x = 'de' AND list_contains(mb0, 'de'))) AS ma, list_filter(mb0, lambda x: x <> '' AND NOT (x = 'de' AND list_contains(ma0, 'de'))) AS mb FROM p)
- SELECT sa AS a, sb AS b, CASE WHEN dis THEN 10000.0 WHEN da = db THEN 0.0 WHEN da <> db THEN 10000.0 WHEN oa = ob THEN 0.0 WHEN la <> lb THEN 10000.0 WHEN fa <> '' AND fb <> '' AND fa[1] <> fb[1] THEN 10000.0 WHEN lang THEN 10000.0 WHEN NOT (starts_with(fa, fb) OR starts_with(fb, fa)) THEN 10000.0
-  WHEN len(ma) > 0 AND len(mb) > 0 AND (NOT list_has_any(list_transform(ma, lambda x: x[1]), list_transform(mb, lambda x: x[1])) OR (len(list_filter(ma, lambda x: length(x) > 1)) > 0 AND len(list_filter(mb, lambda x: length(x) > 1)) > 0 AND NOT list_has_any(list_filter(ma, lambda x: length(x) > 1), list_filter(mb, lambda x: length(x) > 1)))) THEN 10000.0 END AS value FROM q""")
+_SIDES = f"s AS (SELECT sig, block, {_SIDE} FROM bib)"
+
+
+@query("constraint_case", f"""WITH {BIB_SQL}, {_SIDES}, p AS (SELECT a.block AS block, a.first_n AS fa, b.first_n AS fb, a.middle_n AS xa, b.middle_n AS xb, a.last_n AS la, b.last_n AS lb, a.orcid = b.orcid AS oeq, a.seed = b.seed AS deq, a.reliable AND b.reliable AND a.language <> b.language AS lang, (a.sig + b.sig) % 97 = 0 AS dis, count(*) AS n FROM s a JOIN s b ON a.block = b.block AND a.sig < b.sig GROUP BY ALL),
+ q AS (SELECT *, list_filter(string_split(xa, ' '), lambda x: x <> '' AND NOT (x = 'de' AND list_contains(string_split(xb, ' '), 'de'))) AS ma, list_filter(string_split(xb, ' '), lambda x: x <> '' AND NOT (x = 'de' AND list_contains(string_split(xa, ' '), 'de'))) AS mb FROM p),
+ v AS (SELECT block, n, CASE WHEN dis THEN 1e4 WHEN deq THEN 0e0 WHEN NOT deq THEN 1e4 WHEN oeq THEN 0e0 WHEN la <> lb THEN 1e4 WHEN fa <> '' AND fb <> '' AND fa[1] <> fb[1] THEN 1e4 WHEN lang THEN 1e4 WHEN NOT (starts_with(fa, fb) OR starts_with(fb, fa)) THEN 1e4
+  WHEN len(ma) > 0 AND len(mb) > 0 AND (NOT list_has_any(list_transform(ma, lambda x: x[1]), list_transform(mb, lambda x: x[1])) OR (len(list_filter(ma, lambda x: length(x) > 1)) > 0 AND len(list_filter(mb, lambda x: length(x) > 1)) > 0 AND NOT list_has_any(list_filter(ma, lambda x: length(x) > 1), list_filter(mb, lambda x: length(x) > 1)))) THEN 1e4 END AS value FROM q)
+ SELECT block, value, CAST(sum(n) AS BIGINT) AS n FROM v GROUP BY 1, 2""")
 def constraint_case(spark, d):
-    s = bibliography(spark, d).select("sig", F.expr("paper div 40").alias("bucket"), *(F.expr(x) for x in ("lower(split_part(name, ' ', 1)) AS first_n", "CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n", "lower(split_part(name, ' ', -1)) AS last_n", "CASE WHEN person % 7 = 0 THEN CAST(person AS STRING) END AS orcid", "CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed", "year % 2 = 0 AS reliable", "CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language")))
-    s = s.withColumn("key", F.concat_ws("/", F.col("bucket").cast("string"), F.left("last_n", F.lit(1))))
-    pairs = N.pairs_in_block(s, "key", "sig").withColumn("disallowed", (F.col("sig_a") + F.col("sig_b")) % 97 == 0)
-    return pairs.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), N.constraint(F.lit(False)).alias("value"))
+    """How often rules impose each distance on the pairs of a block."""
+    s = bibliography(spark, d).select("sig", "block", *(F.expr(x) for x in ("lower(split_part(name, ' ', 1)) AS first_n", "CASE sig % 4 WHEN 0 THEN '' WHEN 1 THEN 'j' WHEN 2 THEN 'john' ELSE 'de k' END AS middle_n", "lower(split_part(name, ' ', -1)) AS last_n", "CASE WHEN person % 7 = 0 THEN CAST(person AS STRING) END AS orcid", "CASE WHEN sig % 11 = 0 THEN person % 5 END AS seed", "year % 2 = 0 AS reliable", "CASE WHEN year % 3 = 0 THEN 'fr' ELSE 'en' END AS language")))
+    pairs = N.pairs_in_block(s, "block", "sig").withColumn("disallowed", (F.col("sig_a") + F.col("sig_b")) % 97 == 0)
+    # pairs with the same values are counted before the rules look at them; of ORCIDs only their equality counts
+    pairs = pairs.withColumn("_o", F.when(F.col("orcid_a") == F.col("orcid_b"), "equal")).withColumns({"orcid_a": F.col("_o"), "orcid_b": F.col("_o")})
+    sides = [f"{c}_{x}" for c in ("first_n", "middle_n", "last_n", "orcid", "seed", "reliable", "language") for x in "ab"]
+    kinds = pairs.groupBy(F.col("block_a").alias("block"), "disallowed", *sides).agg(F.count("*").alias("n"))
+    return kinds.select("block", N.constraint(F.lit(False)).alias("value"), "n").groupBy("block", "value").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- metrics
@@ -334,7 +346,8 @@ def assign_incremental(spark, d):
     return K.assign_incremental(rows, groups, 0.5)
 
 
-@query("merge_seeded")
+@query("merge_seeded", """WITH RECURSIVE c AS (SELECT doc_id AS id, doc_id % 50 AS cluster FROM documents), l AS (SELECT DISTINCT cluster, id % 6 AS seed FROM c WHERE id % 4 = 0 AND cluster < 12 AND id NOT IN (8, 9)),
+ r(x, y) AS (SELECT cluster, cluster FROM l UNION SELECT r.x, b.cluster FROM r JOIN l a ON a.cluster = r.y JOIN l b ON b.seed = a.seed) SELECT id, coalesce((SELECT min(y) FROM r WHERE r.x = c.cluster), cluster) AS cluster FROM c""")
 def merge_seeded(spark, d):
     clusters = table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 50).alias("cluster"))
     seeds = clusters.where("id % 4 = 0 and cluster < 12").select("id", (F.col("id") % 6).alias("seed"))

@@ -37,11 +37,11 @@ DOC_LINES_SQL = """dl AS MATERIALIZED (SELECT 'doc_' || CAST(doc_id AS VARCHAR)
 
 #: Authors: parts of orders; a part is the person, its name the author's name, an order the paper.
 BIB_SQL = """bib AS MATERIALIZED (SELECT l_orderkey * 100000 + l_partkey AS sig, l_orderkey AS paper, l_partkey AS person, p_name AS name, min(l_linenumber) AS position, CAST(year(o_orderdate) AS INTEGER) AS year,
- substr(p_name, 1, 1) || ' ' || split_part(p_name, ' ', -1) AS block, l_orderkey // 400 AS bucket FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_partkey, p_name, o_orderdate)"""
+ substr(p_name, 1, 1) || ' ' || split_part(p_name, ' ', -1) AS block FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_partkey, p_name, o_orderdate)"""
 
 
 def bibliography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sig, paper, person, name, position, year, block, bucket): one row per author of a paper."""
+    """(sig, paper, person, name, position, year, block): one row per author of a paper."""
     from millrace.functions.text import compute_block
 
     lineitem, part, orders = (table(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
@@ -49,5 +49,5 @@ def bibliography(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = j.groupBy("l_orderkey", "l_partkey", "p_name", "o_orderdate").agg(F.min("l_linenumber").alias("position"))
     return g.select(
         (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("sig"), F.col("l_orderkey").alias("paper"), F.col("l_partkey").alias("person"), F.col("p_name").alias("name"), "position",
-        F.year("o_orderdate").alias("year"), compute_block(F.col("p_name")).alias("block"), F.expr("l_orderkey div 400").alias("bucket"),
+        F.year("o_orderdate").alias("year"), compute_block(F.col("p_name")).alias("block"),
     )

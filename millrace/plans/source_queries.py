@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import lines as L
@@ -137,14 +140,15 @@ def anchor_sql(rule: R.AnchorRule, source: str, cte: str) -> str:
         cond = "path LIKE '%\\_\\_init\\_\\_.py' ESCAPE '\\' AND (regexp_matches(text, '^\\s*__all__\\s*=\\s*\\[') OR (regexp_matches(text, '^\\s*(from\\s+\\S+\\s+import\\s+.+|import\\s+\\S+)\\s*(#.*)?$') AND NOT contains(text, 'logging')) OR regexp_matches(text, '(?i)(public\\s+api|re-export|reexport|stable api)'))"
     else:
         cond = f"regexp_matches(text, {_text('(?i)' + rule.pattern)})"
-    return f"""SELECT path, '{rule.rule_id}' AS rule_id, '{rule.kind}' AS kind, 's2_' || substr(sha256(path || '|{rule.kind}'), 1, 16) AS id, n_hits, start_line, end_line,
+    question = f"{_text(R.QUESTION_HEAD.format(rule.focus, rule.kind))} || path || {_text(R.QUESTION_TAIL.format(*rule.tasks, rule.never))}"
+    return f"""SELECT path, '{rule.rule_id}' AS rule_id, '{rule.kind}' AS kind, {_text(rule.title)} AS title, {question} AS question, 's2_' || substr(sha256(path || '|{rule.kind}'), 1, 16) AS id, n_hits, start_line, end_line,
  (SELECT string_agg(printf('%4d: %s', s.line, rtrim(s.text)), chr(10) ORDER BY s.line) FROM {source} s WHERE s.path = w.path AND s.line BETWEEN w.start_line AND w.end_line) AS snippet
  FROM (SELECT path, count(*) AS n_hits, CAST(greatest(1, list_sort(list(line))[count(*) // 2 + 1] - {rule.soft}) AS BIGINT) AS start_line, CAST(least(any_value(n), list_sort(list(line))[count(*) // 2 + 1] + {rule.soft}) AS BIGINT) AS end_line FROM {source} WHERE {cond} GROUP BY path) w"""
 
 
 def _anchors(files, rule):
     out = R.anchors(L.with_lines(files), rule)
-    return _longs(out.select("path", "rule_id", "kind", "id", "n_hits", "start_line", "end_line", "snippet"), "n_hits", "start_line", "end_line")
+    return _longs(out.select("path", "rule_id", "kind", "title", "question", "id", "n_hits", "start_line", "end_line", "snippet"), "n_hits", "start_line", "end_line")
 
 
 _FLOW = R.ANCHORS[2]
@@ -170,7 +174,7 @@ _ALL = " UNION ALL ".join(f"SELECT {i} AS rule_ord, * FROM ({anchor_sql(a, 'code
 
 @query(
     "s2_dedup_and_caps",
-    f"""WITH {CODE_SQL}, a AS ({_ALL}), f AS (SELECT *, substr(sha256(rule_id || '||' || substr(sha256(snippet), 1, 16)), 1, 16) AS fingerprint FROM a),
+    f"""WITH {CODE_SQL}, a AS ({_ALL}), f AS (SELECT *, substr(sha256(rule_id || '||' || substr(trim(regexp_replace(question, '\\s+', ' ', 'g')), 1, 120) || '||' || substr(sha256(snippet), 1, 16)), 1, 16) AS fingerprint FROM a),
  k AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY rule_ord, path) = 1), c AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY path, kind ORDER BY rule_ord) <= 2)
  SELECT id, path, kind, fingerprint FROM (SELECT * FROM c ORDER BY rule_ord, path LIMIT 60)""",
 )
@@ -191,6 +195,18 @@ def s2_window_shrink(spark, d):
     return rows.select("k", s.cast("long").alias("start_line"), e.cast("long").alias("end_line"))
 
 
+_TRACES = ", ".join(f"('{a.rule_id}', {_text(a.answer)}, {_text(' / '.join(a.steps))})" for a in R.ANCHORS)
+
+
+@query("s2_items", f"WITH {CODE_SQL}, a AS ({_ALL}), t(rule_id, answer, steps) AS (VALUES {_TRACES}) SELECT a.id, a.rule_id, a.title, a.question, t.answer, t.steps, a.path AS anchor_file, a.snippet FROM a JOIN t USING (rule_id)")
+def s2_items(spark, d):
+    """Whole items of all anchor rules, before copies and caps."""
+    files = L.with_lines(code_files(spark, d))
+    items = R.anchor_items(reduce(DataFrame.unionByName, (R.anchors(files, a) for a in R.ANCHORS)))
+    steps = F.array_join(F.transform("trace", lambda t: t["content"]), " / ")
+    return items.select("id", "rule_id", "title", "question", "answer", steps.alias("steps"), F.element_at("meta.extra", F.lit("anchor_file")).alias("anchor_file"), F.col("evidence")[0]["snippet"].alias("snippet"))
+
+
 # ---------------------------------------------------------------- imports
 _IMPORTS = "i AS (SELECT path, coalesce(nullif(regexp_extract(text, '^\\s*(?:from\\s+([A-Za-z0-9_\\.]+)\\s+import|import\\s+([A-Za-z0-9_\\.]+))', 1), ''), regexp_extract(text, '^\\s*(?:from\\s+([A-Za-z0-9_\\.]+)\\s+import|import\\s+([A-Za-z0-9_\\.]+))', 2)) AS module, count(*) AS n FROM code WHERE regexp_matches(text, '^\\s*(from\\s+[A-Za-z0-9_\\.]+\\s+import|import\\s+[A-Za-z0-9_\\.]+)') GROUP BY 1, 2)"
 _EDGES = "k AS (SELECT DISTINCT replace(regexp_replace(regexp_replace(path, '\\.py$', ''), '(^|/)__init__$', ''), '/', '.') AS m FROM code), e AS (SELECT DISTINCT path AS src, module AS dst FROM i WHERE module IN (SELECT m FROM k) OR split_part(module, '.', 1) IN (SELECT split_part(m, '.', 1) FROM k))"

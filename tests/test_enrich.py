@@ -98,3 +98,36 @@ def test_stream_appends_each_id_once(spark, tmp_path):
         assert q.exception() is None
     assert sorted(r["id"] for r in spark.read.json(out).collect()) == ["a", "b", "c"]
     assert spark.read.json(out).where(F.col("llm_enriched")).count() == 3
+
+
+def test_answers_as_they_come(spark):
+    """The draft stays with a mark where the model fails; without a model it stays as it is."""
+    from millrace.operators import rules as R
+
+    files = spark.createDataFrame([("a.py", "# first stage\nx = 1\n# then the next step"), ("b.py", "cache = {}")], "path string, text string")
+    items = R.anchor_items(R.run_anchor_rules(files))
+    drafts = {r["id"]: r for r in items.collect()}
+    assert {r["rule_id"] for r in drafts.values()} == {"S2_ARCH_RATIONALE_FLOW", "S2_ARCH_RATIONALE_PERF"}
+    assert all(r["meta"]["kind"] == "arch_first_design_task" and r["meta"]["extra"]["llm_enriched"] == "false" and len(r["trace"]) == 3 for r in drafts.values())
+
+    def complete(prompt):
+        if "cache" in prompt.split("Evidence:")[1]:
+            raise TimeoutError("too late")
+        return "answer to " + prompt.splitlines()[0]
+
+    rows = {r["rule_id"]: r for r in E.enrich_inline(items, complete).collect()}
+    flow, perf = rows["S2_ARCH_RATIONALE_FLOW"], rows["S2_ARCH_RATIONALE_PERF"]
+    assert flow["answer"].startswith("answer to You are given") and flow["meta"]["extra"]["llm_enriched"] == "true"
+    assert perf["answer"] == drafts[perf["id"]]["answer"] + "\n\n[LLM_ENRICH_FAILED] TimeoutError: too late" and perf["meta"]["extra"]["llm_enriched"] == "false"
+    assert perf["meta"]["extra"]["anchor_file"] == "b.py"
+    assert {r["id"]: r["answer"] for r in E.enrich_inline(items).collect()} == {k: r["answer"] for k, r in drafts.items()}
+
+
+def test_error_log(spark, tmp_path):
+    import json
+
+    rows = spark.createDataFrame([("i1", True, None, 1), ("i2", False, "no brace", 3)], "id string, llm_enriched boolean, llm_error string, llm_attempts int")
+    for _ in range(2):
+        E.append_errors(rows, f"file://{tmp_path}/log")
+    log = [json.loads(r["value"]) for r in spark.read.text(f"file://{tmp_path}/log").collect()]
+    assert log == [{"id": "i2", "error": "no brace", "attempts": 3}] * 2

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from millrace.operators import cluster as K
 from millrace.operators import entities as N
 from millrace.operators import resolve as R
 
@@ -46,3 +47,12 @@ def test_feature_cache(spark, tmp_path):
     sigs, papers = inputs(spark)
     n = R.cached_features(sigs, papers, str(tmp_path / "f")).count()
     assert n == R.cached_features(sigs, papers, str(tmp_path / "f")).count() == N.featurize(sigs, papers).count() > 0
+
+
+def test_seeds_merge_long_chains(spark):
+    """Sixty clusters, each linked with the next by a seed, are one."""
+    clusters = spark.createDataFrame([(2 * i + j, i) for i in range(60) for j in (0, 1)], "id long, cluster long")
+    seeds = spark.createDataFrame([(2 * i + 1, i) for i in range(59)] + [(2 * i + 2, i) for i in range(59)], "id long, seed long")
+    assert {r["cluster"] for r in K.merge_seeded(clusters, seeds).collect()} == {0}
+    apart = spark.createDataFrame([(59, 200)], "a long, b long")
+    assert {r["cluster"] for r in K.merge_seeded(clusters, seeds, apart).collect()} == {0, 30}
