@@ -1,10 +1,8 @@
-"""Shared pieces of the corpus operators: shared storage, graph components, and a
-vectorised word hasher that works on Arrow buffers instead of Python strings."""
+"""Shared pieces of the corpus operators, above all a vectorised word hasher that works on
+Arrow buffers instead of Python strings."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,33 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.graph import connected_components  # noqa: F401  for the operators
+from millrace.storage import materialize, new_path, shared_dir  # noqa: F401
+
 U64 = np.uint64
 #: Text per numpy block: its 64-bit work arrays then take a few tens of MB.
 BLOCK_BYTES = 1 << 20
 
 
-# ---------------------------------------------------------------- shared storage
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); one of our own only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = getattr(shared_dir, "own", None)
-        if path is None:
-            path = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/millrace-{tag}-{uuid.uuid4().hex[:12]}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df to shared storage and reads it back: lineage is cut and a lost executor costs nothing."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -75,43 +54,6 @@ def text_col(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
-# ---------------------------------------------------------------- components
-def connected_components(edges: DataFrame, tag: str = "cc", max_rounds: int = 60) -> DataFrame:
-    """(node, comp): comp is the smallest node reachable over edges (a, b).
-
-    Alternates large-star and small-star steps; each is one aggregate of minima
-    (combined before the shuffle) and one join on the node, and each round is written
-    to shared storage. Stars settle in two or three rounds, paths of length n in
-    O(log n). Only nodes with an edge appear.
-    """
-    spark = edges.sparkSession
-    cur = materialize(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{tag}-e0"
-    )
-    stat = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-    for i in range(max_rounds):
-        if not stat["n"]:
-            break
-        both = cur.select("u", "v").unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        # large star: every larger neighbour v of u moves to the smallest of u's neighbourhood
-        large = both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        # small star: u and its smaller neighbours move to the smallest of them
-        moved = large.join(low2, F.col("u") == F.col("k"))
-        small = moved.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        cur = materialize(small.where("u <> v").distinct(), f"{tag}-e{i + 1}")
-        now = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-        if now == stat:
-            break
-        stat = now
-    else:
-        raise RuntimeError("components did not settle")
-    return cur.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp").unionByName(
-        cur.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
-    ).groupBy("node").agg(F.min("comp").alias("comp"))
-
-
 # ---------------------------------------------------------------- numpy word hashing
 _SEPS = np.zeros(256, bool)
 _SEPS[[0x20, 9, 10, 11, 12, 13]] = True
@@ -164,6 +106,7 @@ def utf8_blocks(column: pa.ChunkedArray | pa.Array, limit: int = BLOCK_BYTES) ->
         j = min(j, n)
         yield i, j, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         i = j
+    release()
 
 
 def words(data: np.ndarray, offs: np.ndarray, seps: np.ndarray = _SEPS, byte: np.ndarray = _BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -191,6 +134,33 @@ def words(data: np.ndarray, offs: np.ndarray, seps: np.ndarray = _SEPS, byte: np
     return h, starts, ends, np.searchsorted(starts, offs)
 
 
+class Memo:
+    """Values of sorted 64-bit keys that were worked out before, at most LIMIT of them."""
+
+    LIMIT = 1 << 17
+
+    def __init__(self, width: int):
+        self.keys, self.values = np.zeros(0, U64), np.zeros((0, width))
+
+    def get(self, keys: np.ndarray, work) -> np.ndarray:
+        """Values of sorted distinct keys; work(places) gives those of keys that are new."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        out = np.empty((len(keys), self.values.shape[1]))
+        out[known] = self.values[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            out[new] = work(new)
+            if len(self.keys) + len(new) > self.LIMIT:
+                self.keys, self.values = keys[: self.LIMIT], out[: self.LIMIT].copy()
+            else:
+                every = np.concatenate([self.keys, keys[new]])
+                o = np.argsort(every)
+                self.keys, self.values = every[o], np.concatenate([self.values, out[new]])[o]
+        return out
+
+
 def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
@@ -199,6 +169,16 @@ def as_long(h: np.ndarray) -> np.ndarray:
 SEEN_BITS, FREQ_BITS = 27, 24
 
 
+def release() -> None:
+    """Gives freed memory back to the system, as a worker lives on between tasks."""
+    import ctypes
+
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def bucket_count(spark: SparkSession) -> int:
     return min(1 << 16, max(256, pow2_at_least(2 * shuffle_partitions(spark))))
 

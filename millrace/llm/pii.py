@@ -209,10 +209,15 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text
     same = lambda a, b: F.col("doc_id").eqNullSafe(F.col(a)) & (F.col("fp") == F.col(b))
     hits = C.among(base.select("doc_id", "fp", _outside(F.col("text"), F.col("base")).alias("masked")), found).where("maybe")
     hits = hits.join(found.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "told"), same("d", "f")).dropDuplicates(["doc_id", "fp"])
-    hits = hits.select("doc_id", "fp", "told", _words(F.col("masked")).alias("m"), F.split("masked", WORD, -1).alias("g"))
-    rank = lambda x: F.get(F.filter("told", lambda t: t["term"] == F.lower(x["value"])), 0)["disclosure"]
-    spot = F.transform(places(F.col("m"), F.col("g")), lambda x: F.struct(x["start"].alias("start"), F.when(rank(x) >= REMOVE, 5).when(rank(x).isNotNull(), 4).alias("ord"), x["end"].alias("end"), x["value"].alias("value")))
-    spot = hits.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), F.filter(spot, lambda x: x["ord"].isNotNull()).alias("terms"))
+    # the told words as they stand in the text make up a pattern of their own, so that only their places are worked out
+    hits = hits.select("doc_id", "fp", "masked", "told", F.col("told.term").alias("names"))
+    forms = F.filter(F.array_distinct(_words(F.col("masked"))), lambda w: F.array_contains(F.col("names"), F.lower(w)))
+    hits = hits.select("doc_id", "fp", "masked", "told", "names", F.explode(F.array(F.array_join(forms, "|"))).alias("forms")).where("forms <> ''")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.col("forms"), F.lit(r")(?!\p{L})"))
+    hits = hits.select("doc_id", "fp", "told", "names", F.regexp_extract_all("masked", pattern, F.lit(0)).alias("m"), F.split("masked", pattern, -1).alias("g"))
+    rank = lambda x: F.get("told", F.array_position(F.col("names"), F.lower(x["value"])).cast("int") - 1)["disclosure"]
+    spot = F.transform(places(F.col("m"), F.col("g")), lambda x: F.struct(x["start"].alias("start"), F.when(rank(x) >= REMOVE, 5).otherwise(4).alias("ord"), x["end"].alias("end"), x["value"].alias("value")))
+    spot = hits.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), spot.alias("terms"))
     out = table.drop("terms", "entities").join(spot, same("d", "f"), "left")
     out = out.withColumn("terms", F.coalesce("terms", F.array().cast(SPANS)))
     every = F.array_sort(F.concat("base", "terms"))
