@@ -1,24 +1,26 @@
 """Language identification: interpolated Kneser-Ney character models in sorted hash arrays.
 
-Characters are the UTF-8 bytes of letter runs (ASCII letters lower-cased, bytes from 0x80
-on as they are), with a boundary mark around each run. For every language one model of
+Characters are the code points of letter runs, lower-cased, with a boundary mark around each run. For every language one model of
 order ``ORDER``: the highest order from counts, lower ones from continuation counts (in
 how many contexts a gram occurs), each interpolated with the next by absolute discounting.
 All languages share one sorted array of 64-bit gram hashes per order, with one column of
 probabilities for each language (a language that lacks the gram holds its interpolated
 value), and one of back-off weights by context. A text gets the language of the lowest
-cross-entropy per character. The margin to the second one, fitted on the training texts,
-gives the score; texts whose best cross-entropy lies beyond the training texts' range are
-flagged as rejected (column `rejected`), and texts without a letter are `und`.
+cross-entropy per character. A fifth of the training texts (by hash) is kept from the counts and
+calibrates: the margin to the second language gives the score; texts whose best cross-entropy lies
+beyond that of nearly all these are flagged as rejected (column `rejected`), and texts without a
+letter are `und`.
 
-Training reads labelled rows only, at most ``TRAIN_CHARS`` characters of a language: rows
-are taken by hash at a rate that follows from the language's total, whole texts each. The
+Training reads labelled rows only, about TRAIN_BYTES bytes of a language: whole texts, taken by
+hash at a rate that follows from the language's total, the first in the order of hashes always. The
 model's size is so bounded, and it is the only thing that is sent to all tasks. Words are
-scored once per block of text, and grams once per set of words.
+scored once per task, and grams once per set of words.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,24 +30,47 @@ from millrace.llm import common as C
 
 U64 = C.U64
 ORDER = 5
-TRAIN_CHARS = 4_000_000
+TRAIN_BYTES = 4_000_000
 DISCOUNT = 0.75
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_LETTER[128:] = True
-_NOT = ~_LETTER
-_BYTE = np.random.Generator(np.random.PCG64(31)).integers(1, 2**63, 256, dtype=np.uint64)[C._LOWER]
 _MULT = U64(0x9E3779B97F4A7C15)
-
-
-def word_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words' bytes, each with a mark (0) before and after, and the place where each begins."""
+_STEP = 0xD6E8FEB86659FD93
+
+
+@lru_cache(1)
+def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: whether it is no letter, its lower case (where that is one code point), and a hash of this."""
+    every = [chr(i) for i in range(0x110000)]
+    low = np.arange(0x110000, dtype=np.uint32)
+    letter = np.array([c.isalpha() for c in every])
+    for i in np.flatnonzero(letter):
+        x = every[i].lower()
+        if len(x) == 1:
+            low[i] = ord(x)
+    return ~letter, low, C.mix(low.astype(np.uint64) * _MULT + U64(31))
+
+
+def code_points(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 texts, and the offsets of the texts among them."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    b = np.concatenate([data, np.zeros(3, np.uint8)])
+    c = b[at].astype(np.uint32)
+    for lead, mask, more in ((0xC0, 0x1F, 1), (0xE0, 0x0F, 2), (0xF0, 0x07, 3)):
+        k = np.flatnonzero(b[at] >= lead)
+        x = b[at[k]].astype(np.uint32) & mask
+        for j in range(1, more + 1):
+            x = x << 6 | (b[at[k] + j].astype(np.uint32) & 0x3F)
+        c[k] = x
+    return np.minimum(c, 0x10FFFF), np.searchsorted(at, offs)
+
+
+def word_chars(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' letters in lower case, each word with a mark (0) before and after, and the place where each begins."""
     n = ends - starts
     at = np.cumsum(n + 2) - (n + 2)
-    out = np.zeros(int((n + 2).sum()), np.uint8)
+    out = np.zeros(int((n + 2).sum()), np.uint32)
     src = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     dst = np.repeat(at + 1 - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    out[dst] = C._LOWER[data[src]]
+    out[dst] = tables()[1][chars[src]]
     return out, at
 
 
@@ -59,7 +84,7 @@ def gram_hashes(chars: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarra
         h = prev.copy()
         ok = place >= n - 1
         back = c[np.maximum(np.arange(len(c)) - (n - 1), 0)]
-        h[ok] = prev[ok] + back[ok] * (U64(257) ** U64(n - 1))
+        h[ok] = prev[ok] + back[ok] * U64(pow(_STEP, n - 1, 1 << 64))
         out.append(h)  # near the word's start the longest gram there is
     return [C.mix(h * _MULT) for h in out]
 
@@ -93,7 +118,8 @@ class Model:
         return p
 
     def train(self, chars: list[np.ndarray], ats: list[np.ndarray], counts: list[np.ndarray]) -> None:
-        """chars, ats: the distinct words of each language as by word_bytes; counts: how often each occurs."""
+        """chars, ats: the distinct words of each language as by word_chars; counts: how often each occurs."""
+        alphabet = 256 + 2 * len(np.unique(np.concatenate(chars))) if chars else 256
         per = []
         for ch, at, cnt in zip(chars, ats, counts):
             reps = np.diff(np.append(at, len(ch)))
@@ -147,8 +173,8 @@ class Model:
             if n == 1:
                 own = np.stack(own, 1)
                 left = np.exp(weights[0])
-                probs = np.log(own + left / 256)
-                self.floor = np.log(left / 256)
+                probs = np.log(own + left / alphabet)
+                self.floor = np.log(left / alphabet)
             else:
                 lower = self.log_probs(lower_h, lower_c, n - 1)
                 probs = np.log(np.stack(own, 1) + np.exp(lower + weights[np.searchsorted(ctxs, own_ctx)]))
@@ -176,89 +202,101 @@ class Model:
         return np.add.reduceat(out, at, axis=0) if len(at) else np.zeros((0, len(self.langs)))
 
 
-def _lang_totals(docs: DataFrame) -> list[tuple[str, int]]:
-    rows = docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("n")).collect()  # a row per language
-    return sorted((r["lang"], int(r["n"] or 0)) for r in rows)
+def _order() -> F.Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30))
+
+
+def _lang_totals(docs: DataFrame) -> list[tuple[str, int, int]]:
+    """(language, bytes, first of its rows in the order of hashes), a row per language."""
+    rows = docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("n"), F.min(_order()).alias("low")).collect()
+    return sorted((r["lang"], int(r["n"] or 0), r["low"]) for r in rows)
+
+
+def _words_of(data: np.ndarray, offs: np.ndarray):
+    """(code points, hash, start, end and text of each word, first word of each text) of a block."""
+    chars, at = code_points(data, offs)
+    no_letter, _, by_char = tables()
+    h, s, e, first = C.words(chars, at, no_letter, by_char)
+    return chars, h, s, e, np.repeat(np.arange(len(offs) - 1), np.diff(first)), first
 
 
 def _words_map(batches):
-    """(lang, word, count) of each task, combined within its batches."""
+    """(lang, word, count) of each task, combined within its batches; words as 32-bit code points."""
     for batch in batches:
         langs = batch.column(1).to_pylist()
         for lo, hi, data, offs in C.utf8_blocks(batch.column(0)):
-            h, s, e, first = C.words(data, offs, _NOT, _BYTE)
+            chars, h, s, e, text, _ = _words_of(data, offs)
             if not len(h):
                 continue
-            text = np.repeat(np.arange(hi - lo), np.diff(first))
             names = sorted(set(langs[lo:hi]))
             code = np.array([names.index(x) for x in langs[lo:hi]])[text]
             tag = C.mix(h ^ C.mix(code.astype(np.uint64) + U64(1)))
             _, one, cnt = np.unique(tag, return_index=True, return_counts=True)
-            chars, at = word_bytes(data, s[one], e[one])
-            raw, ends = chars.tobytes(), np.append(at[1:], len(chars))
-            yield pa.RecordBatch.from_arrays([pa.array([names[c] for c in code[one]]), pa.array([raw[a + 1 : b - 1] for a, b in zip(at, ends)], pa.binary()), pa.array(cnt.astype(np.int64))], ["lang", "word", "c"])
+            words, at = word_chars(chars, s[one], e[one])
+            raw, ends = words.tobytes(), np.append(at[1:], len(words))
+            yield pa.RecordBatch.from_arrays([pa.array([names[c] for c in code[one]]), pa.array([raw[4 * a + 4 : 4 * b - 4] for a, b in zip(at.tolist(), ends.tolist())], pa.binary()), pa.array(cnt.astype(np.int64))], ["lang", "word", "c"])
 
 
-def train(docs: DataFrame, order: int = ORDER, train_chars: int = TRAIN_CHARS) -> Model | None:
+def train(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) -> Model | None:
     """The models from rows (text, lang, doc_id); rows without a language or a text do not count."""
     docs = docs.where("lang is not null and text is not null")
     totals = _lang_totals(docs)
     if not totals:
         return None
-    rate = {lang: min(1.0, train_chars / max(1, n)) for lang, n in totals}
     pick = F.lit(False)
-    for lang, r in rate.items():
-        pick = pick | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(r * (1 << 30)) + (r == 1.0)))
-    sample = C.materialize(docs.where(pick).select("text", "lang"), "langsample")
-    words = sample.mapInArrow(_words_map, "lang string, word binary, c long").groupBy("lang", "word").agg(F.sum("c").alias("c"))
-    table = words.toArrow()  # bounded by train_chars for each language
-    langs = [x for x, _ in totals]
+    for lang, n, low in totals:
+        rate = min(1.0, train_bytes / max(1, n))
+        pick = pick | ((F.col("lang") == lang) & (_order() <= max(low, int(rate * (1 << 30)))))
+    inner = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(5)) == 0  # kept from the counts
+    sample = C.materialize(docs.where(pick).select("text", "lang", inner.alias("inner")), "langsample")
+    langs = [x for x, *_ in totals]
+    counted = sample.where("not inner")
+    lacking = set(langs) - {r["lang"] for r in counted.select("lang").distinct().collect()}
+    if lacking:  # languages of so few texts that none is left for the counts
+        counted = sample.where(~F.col("inner") | F.col("lang").isin(*lacking))
+    words = counted.select("text", "lang").mapInArrow(_words_map, "lang string, word binary, c long").groupBy("lang", "word").agg(F.sum("c").alias("c"))
+    table = words.toArrow()  # bounded by train_bytes for each language
     lang = np.array(table["lang"].to_pylist(), object)
     word, cnt = table["word"].to_pylist(), np.array(table["c"].to_pylist(), float)
     chars, ats, counts = [], [], []
     for name in langs:
         mine = sorted((word[i], cnt[i]) for i in np.flatnonzero(lang == name))
-        raw = b"".join(w for w, _ in mine)
-        n = np.array([len(w) for w, _ in mine], np.int64)
+        n = np.array([len(w) // 4 for w, _ in mine], np.int64)
         s = np.cumsum(n) - n
-        ch, at = word_bytes(np.frombuffer(raw, np.uint8), s, s + n) if len(n) else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
+        ch, at = word_chars(np.frombuffer(b"".join(w for w, _ in mine), np.uint32), s, s + n) if len(n) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         chars.append(ch)
         ats.append(at)
         counts.append(np.array([c for _, c in mine]))
     model = Model(langs, order)
     model.train(chars, ats, counts)
-    # calibration on sampled training texts: scale of the margin, and the range of good cross-entropies
+    # calibration on texts that the counts have not seen: scale of the margin, and the range of good cross-entropies
     spark = docs.sparkSession
-    fit = sample.mapInArrow(_score_map(spark.sparkContext.broadcast(model), True), "lang string, best int, h array<float>, n long").where("n > 0")
-    tops = fit.groupBy("best").agg(F.percentile_approx(F.expr("h[best]"), 0.999, 1000).alias("q")).collect()
-    for r in tops:
+    held = sample.where("inner")
+    fit = C.materialize(held.select("text", "lang").mapInArrow(_score_map(spark.sparkContext.broadcast(model), True), "lang string, best int, h array<float>, n long").where("n > 0"), "langfit")
+    for r in fit.groupBy("best").agg(F.percentile_approx(F.expr("h[best]"), 0.999, 1000).alias("q")).collect():
         model.limit[r["best"]] = r["q"] + 0.5
-    margin = fit.select(F.expr("n * (array_sort(h)[1] - array_sort(h)[0])").alias("m"), (F.element_at(F.array(*[F.lit(x) for x in langs]), F.col("best") + 1) == F.col("lang")).cast("double").alias("ok")) if len(langs) > 1 else None
-    if margin is not None:
-        wrong = margin.agg(F.avg(F.when(F.col("ok") == 0, F.col("m"))).alias("bad"), F.expr("percentile_approx(m, 0.1)").alias("low")).first()
+    if len(langs) > 1:
+        right = F.element_at(F.array(*[F.lit(x) for x in langs]), F.col("best") + 1) == F.col("lang")
+        margin = fit.select(F.expr("n * (array_sort(h)[1] - array_sort(h)[0])").alias("m"), right.alias("ok"))
+        wrong = margin.agg(F.avg(F.when(~F.col("ok"), F.col("m"))).alias("bad"), F.expr("percentile_approx(m, 0.1)").alias("low")).first()
         # the margin at which the odds are even-handed: errors have small margins
         model.scale = 1.0 / max(1e-6, wrong["bad"] if wrong["bad"] else (wrong["low"] or 1.0) / 10)
     return model
 
 
-def _has_letter(text: str) -> bool:
-    return any(c.isalpha() for c in text)
-
-
 def _score_map(model_b, fit: bool = False):
     def run(batches):
         model: Model = model_b.value
         k = len(model.langs)
+        memo = C.Memo(k)
         for batch in batches:
             extra = batch.column(1)
-            for lo, hi, data, offs in C.utf8_blocks(batch.column(0), 4 * C.BLOCK_BYTES):
-                h, s, e, first = C.words(data, offs, _NOT, _BYTE)
+            for lo, hi, data, offs in C.utf8_blocks(batch.column(0)):
+                chars, h, s, e, text, first = _words_of(data, offs)
                 total, n = np.zeros((hi - lo, k)), np.zeros(hi - lo)
                 if len(h):
-                    _, one, inv = np.unique(h, return_index=True, return_inverse=True)
-                    chars, at = word_bytes(data, s[one], e[one])
-                    score = model.word_scores(chars, at)
-                    text = np.repeat(np.arange(hi - lo), np.diff(first))
+                    keys, one, inv = np.unique(h, return_index=True, return_inverse=True)
+                    score = memo.get(keys, lambda new: model.word_scores(*word_chars(chars, s[one[new]], e[one[new]])))
                     for j in range(k):
                         total[:, j] = np.bincount(text, score[inv, j], hi - lo)
                     n = np.bincount(text, (e - s) + 1, hi - lo).astype(float)
@@ -270,13 +308,7 @@ def _score_map(model_b, fit: bool = False):
                 low = ent.min(1)
                 gap = np.clip((ent - low[:, None]) * n[:, None] * model.scale, 0, 50)
                 conf = 1 / np.exp(-gap).sum(1)
-                col = batch.column(0).slice(lo, hi - lo)
-                ascii_letter = np.zeros(len(data) + 1, np.int64)
-                np.cumsum(_LETTER[data] & (data < 128), out=ascii_letter[1:])
-                letters = ascii_letter[offs[1:]] > ascii_letter[offs[:-1]]
-                for i in np.flatnonzero(~letters):
-                    t = col[int(i)].as_py()
-                    letters[i] = bool(t) and _has_letter(t)
+                letters = np.diff(first) > 0
                 pred = [model.langs[b] if ok else "und" for b, ok in zip(best, letters)]
                 yield pa.RecordBatch.from_arrays(
                     [extra.slice(lo, hi - lo), pa.array(pred), pa.array(np.where(letters, conf, 0.0)), pa.array(np.where(letters, low, 0.0)), pa.array(~letters | (low > model.limit[best]))],

@@ -269,23 +269,30 @@ def _unit_map(batches):
             yield pa.RecordBatch.from_arrays([label.slice(lo, hi - lo), pa.array([sorted(x) for x in out], pa.list_(pa.binary()))], ["toxic", "units"])
 
 
-def _scores(model: Model, column: pa.Array) -> np.ndarray:
+def _scores(model: Model, column: pa.Array, memo: C.Memo) -> np.ndarray:
     out = []
-    for lo, hi, data, offs in C.utf8_blocks(column, 4 * C.BLOCK_BYTES):
+    for lo, hi, data, offs in C.utf8_blocks(column):
         text, s, e, h = units(data, offs)
         inv, f = np.zeros(0, np.int64), np.zeros(0)
         if len(s):
+
+            def margins(k):
+                return np.concatenate([model.margins(codes(data, s[p], e[p])) for p in np.array_split(k, 1 + len(k) // 8000)])
+
             tag = np.where(h == 0, np.arange(1, len(h) + 1, dtype=np.uint64), h | U64(1 << 63))
-            _, one, inv = np.unique(tag, return_index=True, return_inverse=True)
-            f = np.concatenate([model.margins(codes(data, s[k], e[k])) for k in np.array_split(one, 1 + len(one) // 20000)])
+            keys, one, inv = np.unique(tag, return_index=True, return_inverse=True)
+            odd = int(np.searchsorted(keys, U64(1 << 63)))  # units of several words, or parts of long ones
+            plain = memo.get(keys[odd:], lambda new: margins(one[odd:][new])[:, None])[:, 0]
+            f = np.concatenate([margins(one[:odd]), plain]) if odd else plain
         out.append(model.scores(evidence(hi - lo, text, inv, f)))
     return np.concatenate(out) if out else np.zeros(0)
 
 
 def _score_map(model_b):
     def run(batches):
+        memo = C.Memo(1)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(_scores(model_b.value, batch.column(0)))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(_scores(model_b.value, batch.column(0), memo))], ["doc_id", "score"])
 
     return run
 
@@ -294,8 +301,9 @@ def _keep_map(model_b, at: int, limit: float):
     """Whole rows whose text scores below the limit."""
 
     def run(batches):
+        memo = C.Memo(1)
         for batch in batches:
-            yield batch.filter(pa.array(_scores(model_b.value, batch.column(at)) < limit))
+            yield batch.filter(pa.array(_scores(model_b.value, batch.column(at), memo) < limit))
 
     return run
 

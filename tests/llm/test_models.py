@@ -1,9 +1,17 @@
 """Trained operators: held-out accuracy and awkward inputs; the pipeline's stages."""
 
+import math
+import random
+from collections import defaultdict
+from itertools import combinations
+
 import numpy as np
+import pyarrow as pa
+import pytest
+import regex
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, toxicity
+from millrace.llm import common, langid, toxicity
 from millrace.llm.common import materialize
 
 SF = "/root/testdata/sf0.01"
@@ -27,22 +35,87 @@ def test_language_odd_texts(spark):
     assert {r["lang_pred"] for r in langid.identify(odd, None).collect()} == {"und"}
 
 
-def test_probabilities_sum_to_one():
-    """The interpolated distribution over what follows a context is one."""
-    words = [b"abba", b"abc", b"cab", b"a"]
-    raw = b"".join(words)
+def chars_of(words):
     n = np.array([len(w) for w in words])
     s = np.cumsum(n) - n
-    ch, at = langid.word_bytes(np.frombuffer(raw, np.uint8), s, s + n)
+    return langid.word_chars(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), s, s + n)
+
+
+def kneser_ney(words, order, alphabet):
+    """Log probability of a word by interpolated Kneser-Ney, from dictionaries."""
+    count = [defaultdict(float) for _ in range(order + 1)]
+    longer = [defaultdict(set) for _ in range(order + 1)]
+    for w, c in words.items():
+        x = f"\0{w.lower()}\0"
+        for n in range(1, order + 1):
+            for i in range(max(1, n - 1), len(x)):
+                g = x[i - n + 1 : i + 1]
+                count[n][g] += c if n == order or i == n - 1 else 0
+                if n < order and i >= n:
+                    longer[n][g].add(x[i - n : i + 1])
+    for n in range(1, order):
+        for g, more in longer[n].items():
+            count[n][g] += len(more)
+    total, kinds = defaultdict(float), defaultdict(int)
+    for n in range(1, order + 1):
+        for g, c in count[n].items():
+            total[n, g[:-1]] += c
+            kinds[n, g[:-1]] += 1
+
+    def p(g):
+        n = len(g)
+        lower = 1 / alphabet if n == 1 else p(g[1:])
+        t = total.get((n, g[:-1]), 0)
+        return lower if not t else max(count[n].get(g, 0) - langid.DISCOUNT, 0) / t + langid.DISCOUNT * kinds[n, g[:-1]] / t * lower
+
+    def score(w):
+        x = f"\0{w.lower()}\0"
+        return sum(math.log(p(x[max(0, i - order + 1) : i + 1])) for i in range(1, len(x)))
+
+    return score
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_word_scores_are_kneser_ney(order):
+    rnd = random.Random(order)
+    langs = [{"".join(rnd.choice(abc) for _ in range(rnd.randint(1, 7))): float(rnd.randint(1, 9)) for _ in range(60)} for abc in ("abcdÉ", "abxyß", "语言模型ab")]
+    model = langid.Model(["p", "q", "r"], order)
+    parts = [chars_of(sorted(x)) for x in langs]
+    model.train([c for c, _ in parts], [a for _, a in parts], [np.array([x[w] for w in sorted(x)]) for x in langs])
+    alphabet = 256 + 2 * len(np.unique(np.concatenate([c for c, _ in parts])))
+    probes = [w for x in langs for w in x] + ["zzz", "a", "abcdabcdabcd", "语b", "Éé", "q" * 30]
+    got = model.word_scores(*chars_of(probes))
+    for k, x in enumerate(langs):
+        score = kneser_ney(x, order, alphabet)
+        assert np.allclose(got[:, k], [score(w) for w in probes], rtol=1e-4, atol=1e-3)
+
+
+def test_words_are_letter_runs():
+    texts = ["Été «naïf»… l’eau", "語言 123x", "", "😀", "a\u00adb", "x" * 5]
+    raw = [t.encode() for t in texts]
+    data, offs = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    chars, h, s, e, text, _ = langid._words_of(data, offs)
+    want = [(i, m) for i, t in enumerate(texts) for m in regex.findall(r"\p{L}+", t)]
+    assert [(int(i), "".join(map(chr, chars[a:b]))) for i, a, b in zip(text, s, e)] == want
+
+
+def test_language_with_one_text(spark):
+    """A language of a single text, and one whose first text is far longer than the bound, are learned."""
+    rows = [(i, "the cat sat on the mat and the dog", "en") for i in range(40)] + [(100, "der hund und die katze sind nicht hier", "de")] + [(200 + i, "le chat est sur la table avec le chien " * 200, "fr") for i in range(3)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_bytes=500)
+    odd = spark.createDataFrame([(1, "the dog and the cat"), (2, "die katze und der hund"), (3, "le chien est sur la table")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(odd, model).collect()} == {1: "en", 2: "de", 3: "fr"}
+
+
+def test_probabilities_sum_to_one():
+    """The interpolated distribution over what follows a context is one."""
+    ch, at = chars_of(["abba", "abc", "cab", "a"])
     model = langid.Model(["x"], 4)
     model.train([ch], [at], [np.array([3.0, 1.0, 2.0, 5.0])])
-    for context in (b"", b"a", b"ab", b"abb"):
-        symbols = [c for c in range(1, 256) if not 65 <= c <= 90]  # capitals count as small letters
-        tail = [context + bytes([c]) for c in symbols] + [context]  # the last one stands for the closing mark
-        body = b"".join(tail)
-        m = np.array([len(w) for w in tail])
-        t = np.cumsum(m) - m
-        chars, starts = langid.word_bytes(np.frombuffer(body, np.uint8), t, t + m)
+    for context in ("", "a", "ab", "abb"):
+        symbols = [c for c in range(1, 264) if langid.tables()[1][c] == c]  # capitals count as small letters
+        tail = [context + chr(c) for c in symbols] + [context]  # the last one stands for the closing mark
+        chars, starts = chars_of(tail)
         hs = langid.gram_hashes(chars, starts, 4)
         last = starts + len(context) + 1
         k = min(len(context) + 2, 4)
@@ -58,6 +131,41 @@ def test_toxicity_accuracy(spark):
     assert out.where("score < 0 or score > 1 or (score >= 0.7) <> (predicted = 1)").count() == 0
 
 
+@pytest.mark.parametrize("a,b", [("wretch", "wr3tch"), ("vermin", "v.e.r.m.i.n"), ("aab", "baab"), ("x", "y"), ("abcdefgh", "hgfedcba"), ("été", "ete")])
+def test_kernel_counts_gapped_subsequences(a, b):
+    """The kernel product of two units by enumeration of all subsequences of four within the span."""
+
+    def coded(t):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        return toxicity.codes(raw, np.array([0]), np.array([len(raw)]))
+
+    def weights(c):
+        out, norm = defaultdict(float), 0.0
+        x = c[0].tolist()
+        for i in combinations(range(len(x)), 4):
+            if i[3] - i[0] <= toxicity.SPAN and all(0 < x[j] != 28 for j in i):
+                w = toxicity.DECAY ** (i[3] - i[0] + 1)
+                out[tuple(x[j] for j in i)] += w
+                norm += w * w
+        return {k: v / math.sqrt(max(norm, 1e-12)) for k, v in out.items()}
+
+    ca, cb = coded(a), coded(b)
+    x, y = weights(ca), weights(cb)
+    number = toxicity.numbering(np.concatenate([ca, cb]))
+    got = toxicity.project(cb, number, toxicity.features(ca, number).T)[0, 0]
+    assert abs(got - sum(v * y.get(k, 0) for k, v in x.items())) < 1e-5
+
+
+def test_scores_do_not_depend_on_batches(spark):
+    """Units that a task has met before score as they do anew."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    texts = pa.array([r["text"] for r in docs.select("text").limit(200).collect()])
+    whole, memo = toxicity._scores(model, texts, common.Memo(1)), common.Memo(1)
+    memo.LIMIT = 50
+    assert np.allclose(whole, np.concatenate([toxicity._scores(model, texts.slice(i, 7), memo) for i in range(0, 200, 7)]))
+
+
 def test_toxicity_tolerates_insertions():
     rng = np.random.default_rng(0)
     letters = np.array(list("abcdefghijklmnop"))
