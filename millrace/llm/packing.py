@@ -1,11 +1,11 @@
 """Variable-capacity best-fit packing over the histogram of lengths.
 
-Documents are sequences of tokens (by default UTF-8 bytes, the ids of a byte-level
-vocabulary); those longer than the largest capacity give full sequences of that size and
+Documents are sequences of tokens (in the query ids of a public vocabulary, by default UTF-8 bytes, the
+ids of a byte-level one); those longer than the largest capacity give full sequences of that size and
 a rest. The plan needs only how many pieces of each length there are: at most as many
 numbers as the largest capacity, whatever the corpus. On the driver, lengths are placed
-from the longest down into the open bin with the least room that fits (best fit), all
-equal pieces and equal bins at once. When none fits, a bin of the least-cost size is
+from the longest down into the open bin with the least room that fits (best fit; of these the
+smallest), all equal pieces and equal bins at once. When none fits, a bin of the least-cost size is
 opened. Which sizes may be opened is chosen jointly: each set of permitted sizes that
 holds the largest is packed, bins are downsized to the smallest size that holds their
 contents, and the cheapest plan wins. Cost of a sequence of size c: c * (1 + c / (4 * top))
@@ -21,13 +21,13 @@ buckets for lengths that many documents share.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import common as C
+from millrace.llm.token_shards import token_lengths
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 
@@ -76,7 +76,8 @@ def pack(hist: dict[int, int], sizes: tuple[int, ...]) -> tuple[list[tuple[int,
                 n_bins += bins
                 continue
             room = rooms[at]
-            first, bins, filled, cap = open_[room].pop()
+            group = open_[room]  # of equal room, the smallest capacity
+            first, bins, filled, cap = group.pop(min(range(len(group)), key=lambda i: group[i][3]))
             if not open_[room]:
                 del open_[room]
                 rooms.pop(at)
@@ -177,24 +178,8 @@ def best_fit_packing(docs: DataFrame, length: F.Column | None = None, key: str =
 
 
 def op2_best_fit_packing(spark, sf_dir):
-    return best_fit_packing(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    lengths = C.materialize(token_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet")), "lengths")
+    return best_fit_packing(lengths, F.col("n_tokens"))
 
 
 QUERIES = {"op2_best_fit_packing": op2_best_fit_packing}
-
-
-def brute(lengths: list[int], sizes: tuple[int, ...]) -> list[int]:
-    """Best fit decreasing piece by piece, for tests: the room left in each used bin, before downsizing."""
-    todo = Counter(lengths)
-    bins: list[list[int]] = []
-    for length in sorted(todo, reverse=True):
-        for left in range(todo[length], 0, -1):
-            fits = [b for b in bins if b[0] >= length]
-            if not fits:
-                cap = size_to_open(length, left, sizes)
-                fits = [[cap, 0] for _ in range(-(-left // (cap // length)))]
-                bins += fits
-            b = min(fits, key=lambda b: b[0])
-            b[0] -= length
-            b[1] = 1
-    return sorted(b[0] for b in bins if b[1])

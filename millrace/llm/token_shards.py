@@ -1,13 +1,14 @@
 """Token ids in training order: fixed-stride binary shards behind a keyed permutation.
 
 Each text becomes token ids of a public byte-level BPE vocabulary plus an end token, cut
-into sequences of `seq_len`. A sequence has the index (doc_id - smallest id) * W + its
-number in the text, with W above any text's number of sequences; a keyed Feistel network
-with cycle-walking permutes the indices 0..M-1. The order of the permuted indices is the
-training order: equal ranges of them make up the shards, and a sequence's global slot is
-its rank, the sequences of the shards before plus its place in the shard. Nothing has to
-be counted or sorted before tokenising, so texts are read and tokenised once and shuffled
-once, as ids.
+into sequences of `seq_len`. A first pass counts the rows of each partition and finds the longest text.
+A sequence then has the index row * W + its number in the text, where rows are numbered 0..D-1 in the
+table's order and W is above any text's number of sequences; a keyed Feistel network with
+cycle-walking permutes the indices 0..D*W-1. The order of the permuted indices is the training
+order: equal ranges of them make up the shards, each a partition of its own, and a sequence's
+global slot is its rank, the sequences of the shards before plus its place in the shard. Texts are
+tokenised once and shuffled once, as ids: numbers without gaps would take a second
+tokenisation or a second copy of all ids.
 
 A shard is a file of records of one size: doc_id int64, number int32, tokens int32, then
 seq_len ids as uint16, little-endian, unused ones the end token. Slot s lies in the shard
@@ -62,39 +63,66 @@ def feistel(x: np.ndarray, size: int, key: int, rounds: int = 6) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sequences(ranks_b, pattern: str, seq_len: int, low: int, width: int, size: int, key: int, shards: int):
+def _sequences(ranks_b, pattern: str, seq_len: int, first_b, width: int, size: int, key: int, shards: int):
     def run(batches):
+        from pyspark import TaskContext
+
         enc = encoder(ranks_b.value, pattern)
         per = -(-size // shards)
+        row, end = first_b.value.get(TaskContext.get().partitionId(), (0, 0))
         for batch in batches:
             ids = batch.column(1).to_pylist()
-            rows: list[list] = [[], [], [], []]
+            rows: list[list] = [[], [], [], [], []]
             held = 0
 
             def out():
-                doc, num, n, data = rows
-                index = np.array([0 if d is None else d - low for d in doc], np.int64) * width + np.array(num, np.int64)
-                slot = feistel(index, size, key)
+                index, doc, num, n, data = rows
+                slot = feistel(np.array(index, np.int64), size, key)
                 return pa.RecordBatch.from_arrays(
                     [pa.array((slot // per).astype(np.int32)), pa.array(slot), pa.array(doc, pa.int64()), pa.array(num, pa.int32()), pa.array(n, pa.int32()), pa.array(data, pa.binary())],
                     ["shard", "slot", "doc_id", "seq", "n_tokens", "ids"],
                 )
 
             for d, text in zip(ids, batch.column(0)):
+                if row >= end:
+                    raise RuntimeError("the table gave other rows than when they were counted")
                 toks = np.array([*enc.encode_ordinary(text.as_py()), END], np.uint16)
                 for j in range(0, len(toks), seq_len):
                     part = toks[j : j + seq_len]
-                    for col, v in zip(rows, (d, j // seq_len, len(part), part.tobytes())):
+                    for col, v in zip(rows, (row * width + j // seq_len, d, j // seq_len, len(part), part.tobytes())):
                         col.append(v)
                     held += 2 * len(part)
-                if held > 8 << 20:
+                row += 1
+                if held > 4 << 20:
                     yield out()
-                    rows, held = [[], [], [], []], 0
+                    rows, held = [[], [], [], [], []], 0
             yield out()
+        C.release()
 
     return run
 
 
+def _length_map(ranks_b, pattern: str, at: int):
+    """Rows as they are, and the number of tokens of the text at a place."""
+
+    def run(batches):
+        enc = encoder(ranks_b.value, pattern)
+        for batch in batches:
+            n = [0 if t is None or not t else len(enc.encode_ordinary(t)) + 1 for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+        C.release()
+
+    return run
+
+
+def token_lengths(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
+    """(doc_id, n_tokens), one row per input row: token ids of the text and the end token, 0 for null and empty texts."""
+    with open(vocabulary, "rb") as f:
+        ranks_b = docs.sparkSession.sparkContext.broadcast(f.read())
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    return rows.mapInArrow(_length_map(ranks_b, pattern, 1), "doc_id long, n_tokens long")
+
+
 def _write_map(path: str, seq_len: int):
     """Writes each shard of a sorted partition; gives the place of every sequence."""
 
@@ -132,23 +160,25 @@ def write_shards(docs: DataFrame, path: str | None = None, text: str = "text", k
     """Writes the shards and their manifest to a shared folder; returns the places and the folder.
 
     Places: doc_id, seq, n_tokens, shard, slot, byte_offset, one row per sequence. Null and
-    empty texts have no sequence. A null id is written as -1. Rows that repeat an id share
-    indices; they lie side by side.
+    empty texts have no sequence. A null id is written as -1. Ids play no part in the order: rows that
+    repeat one have places of their own. docs must give its rows in the same order each time it is read, as
+    stored tables do; if it gives more rows than were counted, the job fails. Other columns play no part.
     """
     spark = docs.sparkSession
     path = path or C.new_path(spark, "shards")
     stride = HEADER + 2 * seq_len
     texts = docs.select(docs[text].cast("string").alias("text"), docs[key].cast("long").alias("doc_id")).where("length(text) > 0")
-    stat = texts.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.octet_length("text")).alias("most"), F.sum(F.octet_length("text").cast("long")).alias("total")).first()
-    low, width = stat["lo"] or 0, (stat["most"] or 0) // seq_len + 1  # a token is a byte at least
-    size = ((stat["hi"] or 0) - low + 1) * width
-    if size >= 1 << 62:
-        raise ValueError("ids lie too far apart for 62-bit indices")
-    shards = max(1, C.shuffle_partitions(spark), int(stat["total"] or 0) // SHARD_BYTES)
+    # a row per partition of the table
+    stat = sorted(texts.groupBy(F.spark_partition_id().alias("pid")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("most"), F.sum(F.octet_length("text").cast("long")).alias("total")).collect())
+    ends = np.cumsum([r["n"] for r in stat], dtype=np.int64).tolist()
+    first = {r["pid"]: (e - r["n"], e) for r, e in zip(stat, ends)}
+    width = max([r["most"] for r in stat], default=0) // seq_len + 2  # a token is a byte at least, the end token one more
+    size = max(1, ends[-1] if ends else 0) * width
+    shards = max(1, C.shuffle_partitions(spark), sum(r["total"] for r in stat) // SHARD_BYTES)
     with open(vocabulary, "rb") as f:  # under a MB, read on the driver and sent to the tasks
         ranks_b = spark.sparkContext.broadcast(f.read())
-    seqs = texts.mapInArrow(_sequences(ranks_b, pattern, seq_len, low, width, size, seed, shards), "shard int, slot long, doc_id long, seq int, n_tokens int, ids binary")
-    dealt = seqs.repartition(shards, "shard").sortWithinPartitions("shard", "slot", "doc_id", "seq", "ids")
+    seqs = texts.mapInArrow(_sequences(ranks_b, pattern, seq_len, spark.sparkContext.broadcast(first), width, size, seed, shards), "shard int, slot long, doc_id long, seq int, n_tokens int, ids binary")
+    dealt = seqs.repartitionById(shards, "shard").sortWithinPartitions("shard", "slot")
     make_folder(path)
     places = C.materialize(dealt.mapInArrow(_write_map(path, seq_len), "doc_id long, seq int, n_tokens int, shard int, pos long"), "places")
     counts = places.groupBy("shard").agg(F.count("*").alias("records"))

@@ -6,6 +6,7 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -217,6 +218,21 @@ def test_line_dedup_column_names_and_long_texts(spark):
 
 
 # ---------------------------------------------------------------- packing
+def best_fit(lengths, sizes):
+    """Best fit decreasing piece by piece: what each bin holds, before downsizing."""
+    todo = Counter(lengths)
+    bins = []
+    for length in sorted(todo, reverse=True):
+        for left in range(todo[length], 0, -1):
+            fits = [b for b in bins if b[0] >= length]
+            if not fits:
+                cap = packing.size_to_open(length, left, sizes)
+                fits = [[cap, cap] for _ in range(-(-left // (cap // length)))]
+                bins += fits
+            min(fits)[0] -= length
+    return sorted(cap - room for room, cap in bins if room < cap)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=50), st.sampled_from([(32,), (8, 32), (4, 8, 16, 32)]))
 def test_plan_is_valid_and_best_fit(lengths, sizes):
@@ -229,8 +245,26 @@ def test_plan_is_valid_and_best_fit(lengths, sizes):
     for b in bins.values():
         b.sort()
         assert b[0][0] == 0 and all(x + y == z for (x, y), (z, _) in zip(b, b[1:])) and sum(n for _, n in b) <= max(sizes)
-    if len(sizes) == 1:
-        assert sorted(sizes[0] - f for _, n, f in ranges for _ in range(n)) == packing.brute(lengths, sizes)
+    assert sorted(f for _, n, f in ranges for _ in range(n)) == best_fit(lengths, sizes)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 16), min_size=1, max_size=30), st.sampled_from([(16,), (4, 16), (4, 8, 16), (3, 5, 11, 16)]))
+def test_sizes_are_chosen_jointly(lengths, sizes):
+    """The plan costs what the cheapest set of opening sizes costs when packed piece by piece and downsized."""
+    every = [(*some, sizes[-1]) for n in range(len(sizes)) for some in combinations(sizes[:-1], n)]
+    want = min(sum(packing.cost(min(c for c in sizes if c >= f), sizes[-1]) for f in best_fit(lengths, s)) for s in every)
+    assert abs(packing.best_plan(dict(Counter(lengths)), sizes)[0] - want) < 1e-9
+
+
+def test_packing_query_counts_token_ids(spark):
+    docs_ = spark.read.parquet(f"{SF}/documents.parquet")
+    enc = token_shards.encoder(open(token_shards.VOCABULARY, "rb").read())
+    want = sum(len(enc.encode_ordinary(r["text"])) + 1 for r in docs_.collect() if r["text"])
+    rows = packing.op2_best_fit_packing(spark, SF).collect()
+    assert sum(r["n_tokens"] for r in rows) == want and all(0 < r["n_tokens"] <= r["capacity"] - r["offset"] for r in rows)
+    odd = spark.createDataFrame([(1, None, 3), (None, "", 4), (1, "a b", 5)], "doc_id long, text string, n_tokens int")
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in token_shards.token_lengths(odd).collect()) == [(0, 0), (1, 0), (1, 3)]
 
 
 def test_packing_places_every_piece(spark):
@@ -550,4 +584,21 @@ def test_shards_round_trip(spark, tmp_path):
             ids = [int(x) for n in sorted(parts[i]) for x in parts[i][n]]
             assert ids[-1] == token_shards.END and enc.decode(ids[:-1]) == t
     assert [s for s, *_ in token_shards.read_slots(spark, path, 3, 2, seq_len=64)] == [3, 4]
+    assert len(places.select("shard").distinct().collect()) > 1
     assert token_shards.write_shards(df.limit(0), f"file://{tmp_path}/t")[0].count() == 0
+
+
+def test_training_order_is_the_permutation(spark, tmp_path):
+    """Slots are the ranks of the permuted indices; ids may be null, repeated or as far apart as can be."""
+    texts = ["one two three " * 40, "x", None, "y " * 900, "", "x", "z " * 100]
+    ids = [9_000_000_000_000_000_000, -9_000_000_000_000_000_000, 1, None, 2, -9_000_000_000_000_000_000, None]
+    df = spark.createDataFrame([(i, t, 0) for i, t in zip(ids, texts)], "doc_id long, text string, slot int").coalesce(1)
+    places, path = token_shards.write_shards(df, f"file://{tmp_path}/o", seq_len=32, seed=5)
+    enc = token_shards.encoder(open(token_shards.VOCABULARY, "rb").read())
+    rows = [(i, t) for i, t in zip(ids, texts) if t]
+    width = max(len(t.encode()) for _, t in rows) // 32 + 2
+    seqs = [(r * width + j, i, j) for r, (i, t) in enumerate(rows) for j in range(-(-(len(enc.encode_ordinary(t)) + 1) // 32))]
+    rank = np.argsort(token_shards.feistel(np.array([x for x, _, _ in seqs]), len(rows) * width, 5))
+    want = [(-1 if seqs[k][1] is None else seqs[k][1], seqs[k][2]) for k in rank]
+    assert [(d, n) for _, d, n, _ in token_shards.read_slots(spark, path, seq_len=32)] == want
+    assert sorted(r["slot"] for r in places.collect()) == list(range(len(want)))
