@@ -152,13 +152,20 @@ def assign_incremental(distances: DataFrame, groups: DataFrame, eps: float = 0.5
     return groups.join(best, "grp", "left").select("id", "cluster")
 
 
-def name_guard(assigned: DataFrame, names: DataFrame) -> DataFrame:
-    """Assignments (id, cluster) taken back (to NULL) where the cluster has first names of two letters or more and none is prefix-compatible; names: (id, cluster, first) of new ids (cluster NULL) and members."""
+def name_guard(assigned: DataFrame, names: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Assignments (id, cluster) taken back (to NULL) where the cluster has first names of two letters or more and none is prefix-compatible or a
+    known alias (name_a, name_b: the member's, the new one's); names: (id, cluster, first) of new ids (cluster NULL) and members."""
     from millrace.functions.text import same_prefix_tokens
 
     members = names.where("cluster is not null and length(first) > 1").select("cluster", F.col("first").alias("known")).distinct()
     new = assigned.where("cluster is not null").join(names.where("cluster is null").select("id", "first"), "id")
-    fits = new.join(members, "cluster").groupBy("id", "cluster").agg(F.max(same_prefix_tokens(F.col("known"), F.col("first"))).alias("ok"))
+    pairs = new.join(members, "cluster")
+    ok = same_prefix_tokens(F.col("known"), F.col("first"))
+    if aliases is not None:
+        told = aliases.select(F.col("name_a").alias("_a"), F.col("name_b").alias("_b")).distinct()
+        pairs = pairs.join(told, (F.col("known") == F.col("_a")) & (F.col("first") == F.col("_b")), "left")
+        ok = ok | F.col("_a").isNotNull()
+    fits = pairs.groupBy("id", "cluster").agg(F.max(ok).alias("ok"))
     return assigned.join(fits, ["id", "cluster"], "left").select("id", F.when(F.coalesce("ok", F.lit(True)), F.col("cluster")).alias("cluster"))
 
 

@@ -103,6 +103,36 @@ def subblocks(names: DataFrame, maximum: int, start: int = 2) -> DataFrame:
     return out.join(rest, F.col("name") == F.col("m"), "left").select("id", "name", F.coalesce("subblock", part).alias("subblock"))
 
 
+def bounded_blocks(rows: DataFrame, maximum: int) -> DataFrame:
+    """(id, part): rows (block, id, first) of blocks of at most `maximum` rows under their block, those of larger ones under
+    block|subblock=..., by the shortest prefix of the first name that few enough share. Single letters make up parts of their own."""
+    sizes = rows.groupBy(F.col("block").alias("_b")).agg(F.count("*").alias("_n")).where(F.col("_n") > maximum)
+    large = rows.join(sizes, F.col("block") == F.col("_b"))
+    mark = F.lit("|subblock=")
+    # the block counts as the beginning of the name; it is the same within a block, so prefixes that end in it are blocks
+    head = F.concat(F.col("block"), mark)
+    each = large.select("id", head.alias("head"), F.coalesce("first", F.lit("")).alias("first"))
+    names = each.select("id", "head", "first", F.concat("head", "first", F.lit("\n")).alias("name"))
+    count = names.groupBy("name", "head").agg(F.count("*").alias("c"))
+    size = F.length("head")
+    ends = F.sequence(size + 1, F.greatest(F.length("name"), size + 2))
+    pre = count.select("name", "c", "head", F.explode(ends).alias("k")).withColumn("p", F.left("name", F.col("k")))
+    # a name of one letter ends right behind it, and longer ones begin to count from two letters on
+    pre = pre.where((F.col("k") > size + 1) | (F.length("name") <= size + 1))
+    small = pre.groupBy("k", "p").agg(F.sum("c").alias("t")).where(F.col("t") <= maximum)
+    best = pre.join(small, ["k", "p"]).groupBy("name").agg(F.min(F.struct("k", "p")).alias("x")).select(F.col("name").alias("_m"), F.col("x.p").alias("_part"))
+    out = names.join(best, F.col("name") == F.col("_m"), "left")
+    rest = out.where("_part is null").groupBy("name").agg(F.ceil(F.count("*") / maximum).alias("_parts")).select(F.col("name").alias("_r"), "_parts")
+    # what is left is dealt by rank and not by hash, so that no part is larger than allowed
+    rank = F.row_number().over(Window.partitionBy("name").orderBy("id")) - 1
+    dealt = out.where("_part is null").select("id", "name", rank.alias("_i")).join(rest, F.col("name") == F.col("_r"))
+    dealt = dealt.select("id", F.concat("name", F.lit("#"), (F.col("_i") % F.col("_parts")).cast("string")).alias("part"))
+    trim = lambda c: F.regexp_replace(c, "\n", "")
+    large_parts = out.where("_part is not null").select("id", trim("_part").alias("part")).unionByName(dealt.select("id", trim("part").alias("part")))
+    others = rows.join(sizes, F.col("block") == F.col("_b"), "left_anti").select("id", F.col("block").alias("part"))
+    return others.unionByName(large_parts)
+
+
 def pairs_in_block(rows: DataFrame, block: str, key: str, tile: int = TILE) -> DataFrame:
     """All unordered pairs (a < b) of the rows of a block, with both sides' columns.
 

@@ -56,3 +56,57 @@ def test_seeds_merge_long_chains(spark):
     assert {r["cluster"] for r in K.merge_seeded(clusters, seeds).collect()} == {0}
     apart = spark.createDataFrame([(59, 200)], "a long, b long")
     assert {r["cluster"] for r in K.merge_seeded(clusters, seeds, apart).collect()} == {0, 30}
+
+
+def people(spark, names):
+    """Prepared signatures of one paper each, all Jones."""
+    papers = spark.createDataFrame([(i, f"T {i}", None, None, "V", 2000, [{"position": 0, "author_name": f"{n} Jones"}], []) for i, n in enumerate(names)], "paper_id long, title string, abstract string, journal_name string, venue string, year int, authors array<struct<position:int,author_name:string>>, references array<long>")
+    papers = N.prepare_papers(papers).select("*", F.lit("en").alias("language"), F.lit(True).alias("reliable"), F.array(F.lit(0.0)).alias("vector"))
+    sigs = spark.createDataFrame([(f"s{i:02d}", i, n, None, "Jones", None, 0, None, [], []) for i, n in enumerate(names)], "signature_id string, paper_id long, first string, middle string, last string, suffix string, position int, email string, affiliations array<string>, source_ids array<string>")
+    return N.prepare_signatures(sigs, papers), papers
+
+
+def test_predict_incremental(spark):
+    sigs, papers = people(spark, ["D", "David", "Donald", "Dana", "Dana", "David"])
+    known = [("s00", "s01", 0.9), ("s00", "s02", 0.1), ("s01", "s02", 0.8), ("s00", "s05", 0.9), ("s01", "s05", 0.1), ("s03", "s04", 0.2)] + [(f"s0{i}", f"s0{j}", 0.95) for i in range(6) for j in (3, 4) if i < j and (i, j) != (3, 4)] + [("s02", "s05", 0.9), ("s03", "s05", 0.95), ("s04", "s05", 0.95)]
+    known = spark.createDataFrame(known, "a string, b string, d double")
+    old = spark.createDataFrame([("s00", 7), ("s01", 7)], "id string, cluster long")
+    new = spark.createDataFrame([(f"s0{i}",) for i in range(1, 6)], "id string")
+
+    def run(**how):
+        return {r["id"]: r["cluster"] for r in R.predict_incremental(sigs, papers, old, new, known=known, **how).collect()}
+
+    # the mean distance to the claimed cluster lets Donald in, as 0.45 lies under 0.5
+    assert run() == {"s00": "7", "s01": "7", "s02": "7", "s05": "s05", "s03": "s03", "s04": "s03"} or run()["s02"] == "7"
+    altered = spark.createDataFrame([("s01",)], "id string")
+    # split into D and David, Donald joins the D part, and is sent back as no name of the whole cluster goes with his
+    assert run(altered=altered) == {"s00": "7", "s01": "7", "s05": "7", "s02": "s02", "s03": "s03", "s04": "s03"}
+    assert run(altered=altered, prevent_new_names=False)["s02"] == "7"
+    aliases = spark.createDataFrame([("david", "donald")], "name_a string, name_b string")
+    assert run(altered=altered, aliases=aliases)["s02"] == "7"
+
+
+def test_bounded_blocks(spark):
+    names = ["ann"] * 9 + ["anna"] * 3 + ["a"] * 4 + ["bob"] * 2 + [""] * 2
+    rows = spark.createDataFrame([("k", i, n) for i, n in enumerate(names)] + [("small", 100 + i, "ann") for i in range(5)], "block string, id long, first string")
+    part = {r["id"]: r["part"] for r in N.bounded_blocks(rows, 5).collect()}
+    assert len(part) == len(names) + 5 and {part[100 + i] for i in range(5)} == {"small"}
+    sizes = {}
+    for i, n in enumerate(names):
+        assert part[i].startswith("k|subblock=" + n[:1])
+        sizes.setdefault(part[i], []).append(n)
+    assert max(map(len, sizes.values())) <= 5
+    assert sorted(map(len, (v for v in sizes.values() if "ann" in v))) == [4, 5] and ["anna"] * 3 in sizes.values()
+    assert all({len(x) <= 1 for x in v} != {True, False} for v in sizes.values())
+
+
+def test_parts_give_the_clusters_of_whole_blocks(spark):
+    """Where distances between parts are far, blocks in parts come out as whole ones."""
+    sigs, papers = people(spark, ["Dan", "Dan", "Dora", "Dora", "D", "Dan", "D"])
+    same = {(0, 1), (0, 5), (1, 5), (2, 3), (0, 4), (1, 4), (4, 5)}
+    known = spark.createDataFrame([(f"s0{i}", f"s0{j}", 0.1 if (i, j) in same else 0.9) for i in range(7) for j in range(i + 1, 7)], "a string, b string, d double")
+    whole = {r["id"]: r["cluster"] for r in R.resolve(sigs, papers, known=known).collect()}
+    assert whole == {"s00": "s00", "s01": "s00", "s05": "s00", "s04": "s00", "s02": "s02", "s03": "s02", "s06": "s06"}
+    assert {r["id"]: r["cluster"] for r in R.resolve(sigs, papers, known=known, maximum=3).collect()} == whole
+    alone, papers = people(spark, ["D"] * 5)
+    assert R.resolve(alone, papers, maximum=2).count() == 5
