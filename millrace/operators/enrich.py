@@ -265,3 +265,18 @@ def error_rows(enriched: DataFrame) -> DataFrame:
 def append_errors(enriched: DataFrame, path: str) -> None:
     """Appends the error rows to the log, a folder of text files."""
     error_rows(enriched).write.mode("append").text(path)
+
+
+def chat_model(url: str, name: str, key: str | None = None, timeout: float = 60, temperature: float = 0.2) -> Callable[[str, str], str]:
+    """A model behind a chat-completions address, for `call_model`: two messages out, the first choice's text back."""
+
+    def ask(system: str, user: str) -> str:
+        import urllib.request
+
+        body = {"model": name, "temperature": temperature, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}]}
+        head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+        request = urllib.request.Request(url.rstrip("/") + "/chat/completions", json.dumps(body).encode(), head)
+        with urllib.request.urlopen(request, timeout=timeout) as reply:
+            return json.loads(reply.read())["choices"][0]["message"]["content"]
+
+    return ask

@@ -308,3 +308,21 @@ def flip_gate(names: DataFrame, ratio: float = 2.0) -> DataFrame:
         F.count_if(~F.col("multi") & F.col("flipped")).alias("a"), F.count_if(~F.col("multi") & ~F.col("flipped")).alias("b"), F.count_if(F.col("multi") & F.col("flipped")).alias("x"), F.count_if(F.col("multi") & ~F.col("flipped")).alias("y")
     )
     return stat.withColumn("turn", F.when(F.col("x") + F.col("y") > 0, F.col("x") >= ratio * F.col("y")).otherwise(F.col("a") > 0))
+
+
+def split_pairs(pairs: DataFrame, splits: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) plus `split` where both ids lie in one; splits: (id, split). Pairs across splits drop out."""
+    a = splits.select(F.col("id").alias("_a"), F.col("split").alias("_sa"))
+    b = splits.select(F.col("id").alias("_b"), F.col("split").alias("_sb"))
+    both = pairs.join(a, F.col("a") == F.col("_a")).join(b, F.col("b") == F.col("_b"))
+    return both.where(F.col("_sa") == F.col("_sb")).select(*pairs.columns, F.col("_sa").alias("split"))
+
+
+def sample_pairs(rows: DataFrame, block: str, key: str, name: str, cluster: str, n: int, seed: int, balanced: bool = True, within: bool = True) -> DataFrame:
+    """(a, b, label, category): pairs of a block, or of all rows, by hash order; balanced: as many of each kind of name and cluster."""
+    rows = rows if within else rows.withColumn("_all", F.lit("all"))
+    pairs = pairs_in_block(rows, block if within else "_all", key)
+    category = pair_category(F.col(f"{name}_a"), F.col(f"{name}_b"), F.col(f"{cluster}_a"), F.col(f"{cluster}_b"))
+    label = (F.col(f"{cluster}_a") == F.col(f"{cluster}_b")).cast("int")
+    pairs = pairs.select(F.col(f"{key}_a").alias("a"), F.col(f"{key}_b").alias("b"), label.alias("label"), category.alias("category"))
+    return balanced_sample(pairs, "category", n, seed, "a", "b") if balanced else random_sample(pairs, n, seed, "a", "b")

@@ -72,3 +72,10 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def parse_files(files: DataFrame) -> DataFrame:
     """(path, kind, name, start_line, end_line): imports anywhere, top-level functions, classes and names; one `unparsed` row for files that do not parse."""
     return files.select("path", "text").mapInPandas(_parse, PARSED)
+
+
+def module_files(files: DataFrame, module: str) -> DataFrame:
+    """Files (path, ...) that make up a module by its dotted name."""
+    from millrace.functions.lines import module_name
+
+    return files.where(module_name(F.col("path")) == module)

@@ -112,3 +112,45 @@ def min_pair_edits(rows: DataFrame, edges: DataFrame) -> DataFrame:
     off = rows.join(best, "true").where("pred <> main").select("item", "true")
     touched = off.join(edges.select(F.explode(F.array("a", "b")).alias("item")), "item", "left_semi")
     return best.select("true").join(off.groupBy("true").agg(F.count("*").alias("misplaced")), "true", "left").join(touched.groupBy("true").agg(F.count("*").alias("touched")), "true", "left").na.fill(0)
+
+
+#: Facets that scores are broken down by.
+FACETS = "gender ethnicity n_authors year block_size cluster_size homonymity synonymity first_name affiliation email abstract venue references multiple_authors".split()
+
+
+def signature_facets(signatures: DataFrame, papers: DataFrame, clusters: DataFrame, block: str = "block") -> DataFrame:
+    """(item, facets...) of prepared signatures that have a true cluster; clusters: (cluster_id, signature_id).
+
+    Homonymity and synonymity are shares of the other rows of the block: with the same full name in another cluster, and
+    under another name in the same cluster, with two digits, NULL where there are none. They come from counts, no pair is made.
+    Block and cluster sizes count all rows, with a true cluster or not. Columns gender and ethnicity may be missing."""
+    from millrace.functions.text import full_name
+
+    have = set(signatures.columns)
+    told = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
+    filled = lambda c: F.coalesce(F.length(F.col(c)) > 0, F.lit(False))
+    some = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
+    sizes = signatures.groupBy(F.col(block).alias("_b")).agg(F.count("*").alias("block_size"))
+    members = clusters.select("cluster_id", F.col("signature_id").alias("_s"))
+    larger = members.groupBy(F.col("cluster_id").alias("_c")).agg(F.count("*").alias("cluster_size"))
+    name = full_name(F.col("first_n"), F.col("middle_n"), F.col("last_n"), F.col("suffix"))
+    paper = papers.select(F.col("paper_id").alias("_p"), F.size("authors").alias("n_authors"), "year", F.col("has_abstract").alias("_a"), (filled("venue") | filled("journal_name")).alias("_v"), some("references").alias("_r"))
+    rows = signatures.join(members, F.col("signature_id") == F.col("_s")).join(paper, F.col("paper_id") == F.col("_p")).join(sizes, F.col(block) == F.col("_b")).join(larger, F.col("cluster_id") == F.col("_c")).withColumn("_n", name)
+    cell = rows.groupBy("_b", "_n", "cluster_id").agg(F.count("*").alias("_bnc"))
+    by_name = cell.groupBy("_b", "_n").agg(F.sum("_bnc").alias("_bn"))
+    by_cluster = cell.groupBy("_b", "cluster_id").agg(F.sum("_bnc").alias("_bc"))
+    by_block = cell.groupBy("_b").agg(F.sum("_bnc").alias("_all"))
+    rows = rows.join(cell, ["_b", "_n", "cluster_id"]).join(by_name, ["_b", "_n"]).join(by_cluster, ["_b", "cluster_id"]).join(by_block, "_b")
+    share = lambda n: F.when(n > 0, F.bround(n / (F.col("_all") - 1), 2))
+    flag = lambda c: c.cast("int")
+    return rows.select(
+        F.col("signature_id").alias("item"), told("gender").alias("gender"), F.left(told("ethnicity"), F.lit(3)).alias("ethnicity"), "n_authors", F.coalesce("year", F.lit(0)).alias("year"), "block_size", "cluster_size",
+        share(F.col("_bn") - F.col("_bnc")).alias("homonymity"), share(F.col("_bc") - F.col("_bnc")).alias("synonymity"),
+        flag(F.coalesce(F.length(F.replace("first", F.lit("."), F.lit(""))) >= 2, F.lit(False))).alias("first_name"), flag(some("affiliations")).alias("affiliation"), flag(filled("email")).alias("email"),
+        flag(F.col("_a")).alias("abstract"), flag(F.col("_v")).alias("venue"), flag(F.col("_r")).alias("references"), flag(some("coauthors")).alias("multiple_authors"),
+    )
+
+
+def facet_eval(signatures: DataFrame, papers: DataFrame, clusters: DataFrame, scores: DataFrame, block: str = "block") -> DataFrame:
+    """(facet, value, n, f1) of scores (item, f1) by all facets; a value that is missing does not count."""
+    return facets(signature_facets(signatures, papers, clusters, block), scores, FACETS)
