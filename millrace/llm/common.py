@@ -34,6 +34,26 @@ def free(columns: list[str], name: str) -> str:
     return name
 
 
+def listed(counts: DataFrame, n: str, most: int) -> tuple[DataFrame, int]:
+    """The entries of counts that occur more often than a bound, and the bound: N occurrences in all have at most
+    `most` entries that occur more than N / most times."""
+    bound = int((counts.agg(F.sum(n)).first()[0] or 0) // most)
+    return counts.where(F.col(n) > bound), bound
+
+
+#: Entries of a list of frequent keys, at most.
+LISTED = 10_000
+
+
+def join_counted(rows: DataFrame, counts: DataFrame, key: str, name: str, n: str, how: str = "inner", most: int = LISTED) -> DataFrame:
+    """rows joined with counts on key = name, where n tells how many rows have the key: the frequent keys are sent to
+    all tasks, at most `most` of them, so that no task gets a frequent key's rows by a shuffle. Both tables are read twice."""
+    hot, bound = listed(counts, n, most)
+    same = F.col(key) == F.col(name)
+    rest = rows.join(F.broadcast(hot.select(name)), same, "left_anti").join(counts.where(F.col(n) <= bound), same, how)
+    return rows.join(F.broadcast(hot), same, how).unionByName(rest)
+
+
 #: Bits of the map that tells which rows may be among some.
 AMONG_BITS = 1 << 23
 

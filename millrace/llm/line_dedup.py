@@ -12,8 +12,8 @@ lines: a single line of ``ALONE`` bytes or more is a run too, its own window and
 where it is all a document has.
 
 Fingerprints and extensions are counted with partial aggregates, so that a line shared by a third of
-all documents is one row per map task there; the joins back are followed by an exchange of their own,
-so that a large partition of one of them is split at run time.
+all documents is one row per map task there; in the joins back the frequent ones, a list of bounded
+length, are sent to the tasks, so that their rows stay where they are.
 """
 
 from __future__ import annotations
@@ -64,11 +64,12 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", k: in
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = K, w: int = W, alone: int | None = ALONE) -> DataFrame:
     """(_mr_d, _mr_f, _mr_cut): of each document that loses some, the numbers of its lines in later repeats."""
     marks = C.materialize(fingerprints(docs, text, key, k, w, alone), "fingerprints")
-    shared = marks.groupBy("print").agg(F.count("*").alias("c")).where("c > 1").select(F.col("print").alias("p"))
-    seeds = marks.join(shared, F.col("print") == F.col("p"), "left_semi").select("doc_id", "fp", F.explode("reach").alias("x")).select("doc_id", "fp", "x.i", "x.t", "x.win")
+    shared = C.materialize(marks.groupBy(F.col("print").alias("p")).agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    seeds = C.join_counted(marks, shared, "print", "p", "c", "left_semi").select("doc_id", "fp", F.explode("reach").alias("x"))
+    seeds = C.materialize(seeds.select("doc_id", "fp", "x.i", "x.t", "x.win"), "seeds")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("fp"), F.col("i"))
-    first = seeds.groupBy(F.col("win").alias("q")).agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("q", "first")
-    later = seeds.join(first, F.col("win") == F.col("q")).where(place > F.col("first"))
+    first = seeds.groupBy(F.col("win").alias("q")).agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1")
+    later = C.join_counted(seeds, C.materialize(first, "first"), "win", "q", "c").where(place > F.col("first"))
     starts = later.groupBy(F.col("doc_id").alias("_mr_d"), F.col("fp").alias("_mr_f")).agg(F.collect_set(F.struct("i", "t")).alias("starts"))
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda x: F.sequence(x["i"], x["i"] + x["t"] - 1))))
     return starts.select("_mr_d", "_mr_f", gone.alias("_mr_cut"))

@@ -146,19 +146,13 @@ def _distinct_words(base: DataFrame) -> Column:
     return F.array_distinct(_words(F.lower(_outside(F.col("text"), F.col("base")))))
 
 
-def _listed(counts: DataFrame, n: str, most: int) -> tuple[DataFrame, int]:
-    """The entries of counts that occur more often than a bound, at most `most` of them, and the bound."""
-    bound = int((counts.agg(F.sum(n)).first()[0] or 0) // most)
-    return counts.where(F.col(n) > bound), bound
-
-
 def disclosing_terms(held: DataFrame, n_t: DataFrame, total: int, frequent: DataFrame, most: int = FREQUENT) -> DataFrame:
     """(term, disclosure) for terms that give away some entity.
 
     held: (entities, terms) of the documents with an identifier; n_t: (term, n_t) of all
     documents; frequent: (term, n_t) of the listed words."""
     n_e = C.materialize(held.select(F.explode("entities").alias("en")).groupBy("en").agg(F.count("*").alias("n_e")), "entities")
-    hot, bound = _listed(n_e, "n_e", most)
+    hot, bound = C.listed(n_e, "n_e", most)
 
     def disclosure(n_te, t, e):
         return F.log2((n_te - DISCOUNT) * total / (t * e)) / F.nullif(F.log2(F.lit(float(total)) / e), F.lit(0.0))
@@ -197,7 +191,7 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text
     table = C.materialize(base.select("doc_id", "fp", *(f"n_{k}" for k in KINDS), "base", F.when(some, entities).alias("entities"), F.when(some, terms).alias("terms")), "pii")
     n_t = base.select(F.explode(_distinct_words(base)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n_t = C.materialize(n_t, "words")
-    frequent, _ = _listed(n_t, "n_t", most)
+    frequent, _ = C.listed(n_t, "n_t", most)
     told = disclosing_terms(table.where(some).select("entities", "terms"), n_t, table.count(), frequent, most)
     # words of all documents: the listed ones are known to be told or not, the others are looked up by a join
     listed = frequent.select("term").join(told, "term", "left").select(F.col("term").alias("w"), F.col("disclosure").alias("d"))
