@@ -238,24 +238,26 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each component stays: the one with the smallest id. Rows that repeat an id with one text count as one,
-    rows that repeat an id with different texts are documents of their own; null ids stay."""
-    fp = F.xxhash64(docs["text"].cast("string"))
-    known = docs.where(docs["doc_id"].isNotNull())
-    rows = known.select(known["doc_id"].cast("long").alias("id"), fp.alias("fp"), "text")
+    rows that repeat an id with different texts are documents of their own; null ids stay. Other columns pass through, whatever their names."""
+    id_, fp_ = C.free(docs.columns, "_mr_id"), C.free(docs.columns, "_mr_fp")
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(docs["text"].cast("string")).alias("fp"), docs["text"].cast("string").alias("text")).where("id is not null")
     # ids with several texts: each of these rows gets a number of its own, the others keep their id
     several = C.materialize(rows.groupBy(F.col("id").alias("i")).agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("i"), "several")
+    nulls = docs.where(docs["doc_id"].isNull())
+    key = F.col("doc_id").cast("long")
     if several.isEmpty():
-        keep = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_mr_id")).distinct()
-        return docs.join(keep, docs["doc_id"] == F.col("_mr_id"), "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(docs["doc_id"].isNull()))
+        keep = jaccard_components(rows.select(F.col("id").alias("doc_id"), "text")).where("doc_id = component_id").select(F.col("doc_id").alias(id_)).distinct()
+        return docs.join(keep, key == F.col(id_), "left_semi").dropDuplicates(["doc_id"]).unionByName(nulls)
     own = rows.join(several, F.col("id") == F.col("i"), "left").select(F.when(F.col("i").isNull(), F.col("id")).otherwise(F.xxhash64("id", "fp")).alias("doc_id"), "text", "id", "fp")
     comps = jaccard_components(own.select("doc_id", "text")).select(F.col("doc_id").alias("n"), "component_id")
     names = own.where(F.col("doc_id") != F.col("id")).select("doc_id", "id", "fp").distinct()
     member = comps.join(names, F.col("n") == F.col("doc_id"), "left")
     # the smallest id, then fingerprint (null: the only text of its id)
-    keep = member.groupBy("component_id").agg(F.min(F.struct(F.coalesce("id", "n").alias("id"), "fp")).alias("x")).select(F.col("x.id").alias("_mr_id"), F.col("x.fp").alias("_mr_fp"))
-    same = (docs["doc_id"] == F.col("_mr_id")) & (F.col("_mr_fp").isNull() | (fp == F.col("_mr_fp")))
-    with_id = docs.withColumn("_mr_text", fp).join(keep, same, "left_semi").dropDuplicates(["doc_id", "_mr_text"]).drop("_mr_text")
-    return with_id.unionByName(docs.where(docs["doc_id"].isNull()))
+    keep = member.groupBy("component_id").agg(F.min(F.struct(F.coalesce("id", "n").alias("id"), "fp")).alias("x")).select(F.col("x.id").alias(id_), F.col("x.fp").alias(fp_))
+    of_text = C.free(docs.columns, "_mr_text")
+    marked = docs.withColumn(of_text, F.xxhash64(F.col("text").cast("string")))
+    with_id = marked.join(keep, (key == F.col(id_)) & (F.col(fp_).isNull() | (F.col(of_text) == F.col(fp_))), "left_semi")
+    return with_id.dropDuplicates(["doc_id", of_text]).drop(of_text).unionByName(nulls)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):

@@ -404,3 +404,15 @@ def op10_suffix_array_dedup(spark, sf_dir):
 
 
 QUERIES = {"op10_suffix_array_dedup": op10_suffix_array_dedup}
+#: Bytes as pairs of hex digits; texts in parts of 4000 bytes and what follows, as places far into a string are slow to reach.
+SQL = {
+    "op10_suffix_array_dedup": """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS MATERIALIZED (SELECT doc_id, k, substr(h, 8000 * k + 1, 8400) AS part, len(h) // 2 AS n FROM (SELECT doc_id, h, unnest(range(0, len(h) // 8000 + 1)) AS k FROM d)),
+b AS MATERIALIZED (SELECT doc_id, 4000 * k + j AS i, n, substr(part, 2 * j + 1, 2) AS x, CASE WHEN 4000 * k + j + 200 <= n THEN md5(substr(part, 2 * j + 1, 400)) END AS m FROM (SELECT doc_id, k, n, part, unnest(range(0, least(4000, n - 4000 * k))) AS j FROM c)),
+r AS (SELECT m FROM b WHERE m IS NOT NULL GROUP BY m HAVING count(*) > 1),
+g AS (SELECT b.doc_id, b.i, b.x, coalesce(max(CASE WHEN r.m IS NOT NULL THEN b.i END) OVER (PARTITION BY b.doc_id ORDER BY b.i) > b.i - 200, false) AS gone FROM b LEFT JOIN r ON r.m = b.m),
+e AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans, string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM (SELECT *, lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(e.n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(e.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(e.kept, ''))) AS kept_sha256 FROM d LEFT JOIN e ON e.doc_id = d.doc_id
+"""
+}
