@@ -35,10 +35,20 @@ def free(columns: list[str], name: str) -> str:
 
 
 def listed(counts: DataFrame, n: str, most: int) -> tuple[DataFrame, int]:
-    """The entries of counts that occur more often than a bound, and the bound: N occurrences in all have at most
-    `most` entries that occur more than N / most times."""
-    bound = int((counts.agg(F.sum(n)).first()[0] or 0) // most)
-    return counts.where(F.col(n) > bound), bound
+    """The most frequent entries of counts, `most` at most, and what no other's count exceeds.
+
+    Counts are put in classes of a quarter of an octave (a few hundred rows); whole classes are taken from the top."""
+    kind = F.floor(F.log2(F.col(n)) * 4).cast("int")
+    sizes = sorted(((r["k"], r["c"]) for r in counts.groupBy(kind.alias("k")).agg(F.count("*").alias("c")).collect()), reverse=True)
+    left, low = most, None
+    for k, c in sizes:
+        if c > left:
+            break
+        left, low = left - c, k
+    if low is None:
+        return counts.limit(0), int(2 ** ((sizes[0][0] + 1) / 4)) + 1 if sizes else 0
+    below = [k for k, _ in sizes if k < low]
+    return counts.where(kind >= low), int(2 ** ((below[0] + 1) / 4)) + 1 if below else 0
 
 
 #: Entries of a list of frequent keys, at most.
@@ -48,9 +58,9 @@ LISTED = 10_000
 def join_counted(rows: DataFrame, counts: DataFrame, key: str, name: str, n: str, how: str = "inner", most: int = LISTED) -> DataFrame:
     """rows joined with counts on key = name, where n tells how many rows have the key: the frequent keys are sent to
     all tasks, at most `most` of them, so that no task gets a frequent key's rows by a shuffle. Both tables are read twice."""
-    hot, bound = listed(counts, n, most)
+    hot, _ = listed(counts, n, most)
     same = F.col(key) == F.col(name)
-    rest = rows.join(F.broadcast(hot.select(name)), same, "left_anti").join(counts.where(F.col(n) <= bound), same, how)
+    rest = rows.join(F.broadcast(hot.select(name)), same, "left_anti").join(counts, same, how)
     return rows.join(F.broadcast(hot), same, how).unionByName(rest)
 
 

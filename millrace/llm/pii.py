@@ -12,9 +12,9 @@ capital or belong to a script without case. n(t,e) counts the documents that hol
 they stand. Terms that reach ``GENERALISE`` are generalised, from ``REMOVE`` on removed, in every
 document that holds them, with the identifier or without.
 
-All steps are DataFrame functions. Words and entities each have a list of the frequent ones, of
-``FREQUENT`` entries at most: W occurrences in all have at most that many words that occur more
-than W / FREQUENT times. The lists are broadcast. A pair of a frequent term and an entity goes on
+All steps are DataFrame functions. Words and entities each have a list of the most frequent ones, of
+``FREQUENT`` entries at most; W occurrences in all have at most that many that occur more
+than W / FREQUENT times, so what is not listed is rare. The lists are broadcast. A pair of a frequent term and an entity goes on
 only if the entity's count (for others: the most that one not listed can have) lets the term reach
 the threshold; words not listed, few occurrences in all, are shuffled by the word. So no key holds
 more than its share, hot entities meet their terms in the map, and text is shuffled only of the
@@ -193,16 +193,15 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text
     n_t = C.materialize(n_t, "words")
     frequent, _ = C.listed(n_t, "n_t", most)
     told = disclosing_terms(table.where(some).select("entities", "terms"), n_t, table.count(), frequent, most)
-    # words of all documents: the listed ones are known to be told or not, the others are looked up by a join
-    listed = frequent.select("term").join(told, "term", "left").select(F.col("term").alias("w"), F.col("disclosure").alias("d"))
+    # words of all documents: those listed that are not told end in the map, what is left is looked up by a join
+    listed = frequent.select("term").join(told, "term", "left").select(F.col("term").alias("w"), F.col("disclosure").isNotNull().alias("sure"))
     words = base.select("doc_id", "fp", F.explode(_distinct_words(base)).alias("word")).join(F.broadcast(listed), F.col("word") == F.col("w"), "left")
-    sure = words.where("d is not null").select("doc_id", "fp", F.col("word").alias("term"), F.col("d").alias("disclosure"))
-    found = words.where("w is null").select("doc_id", "fp", "word").join(told, F.col("word") == F.col("term")).select("doc_id", "fp", "term", "disclosure").unionByName(sure)
+    found = words.where("w is null or sure").select("doc_id", "fp", "word").join(told, F.col("word") == F.col("term")).select("doc_id", "fp", "term", "disclosure")
     found = C.materialize(found.groupBy("doc_id", "fp").agg(F.collect_set(F.struct("term", "disclosure")).alias("told")), "found")
-    # the texts of these documents, once each
+    # the texts of these documents
     same = lambda a, b: F.col("doc_id").eqNullSafe(F.col(a)) & (F.col("fp") == F.col(b))
     hits = C.among(base.select("doc_id", "fp", _outside(F.col("text"), F.col("base")).alias("masked")), found).where("maybe")
-    hits = hits.join(found.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "told"), same("d", "f")).dropDuplicates(["doc_id", "fp"])
+    hits = hits.join(found.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), "told"), same("d", "f"))
     # the told words as they stand in the text make up a pattern of their own, so that only their places are worked out
     hits = hits.select("doc_id", "fp", "masked", "told", F.col("told.term").alias("names"))
     forms = F.filter(F.array_distinct(_words(F.col("masked"))), lambda w: F.array_contains(F.col("names"), F.lower(w)))
@@ -211,7 +210,7 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text
     hits = hits.select("doc_id", "fp", "told", "names", F.regexp_extract_all("masked", pattern, F.lit(0)).alias("m"), F.split("masked", pattern, -1).alias("g"))
     rank = lambda x: F.get("told", F.array_position(F.col("names"), F.lower(x["value"])).cast("int") - 1)["disclosure"]
     spot = F.transform(places(F.col("m"), F.col("g")), lambda x: F.struct(x["start"].alias("start"), F.when(rank(x) >= REMOVE, 5).otherwise(4).alias("ord"), x["end"].alias("end"), x["value"].alias("value")))
-    spot = hits.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), spot.alias("terms"))
+    spot = hits.select(F.col("doc_id").alias("d"), F.col("fp").alias("f"), spot.alias("terms")).dropDuplicates(["d", "f"])  # rows that repeat a text
     out = table.drop("terms", "entities").join(spot, same("d", "f"), "left")
     out = out.withColumn("terms", F.coalesce("terms", F.array().cast(SPANS)))
     every = F.array_sort(F.concat("base", "terms"))
