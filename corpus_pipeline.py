@@ -50,7 +50,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("line_dedup", lines), ("ngram_jaccard_join", near_copies), ("benchmark_decontamination", benchmark), ("best_fit_packing", pack)]
 
-#: SQL can express neither the trained model nor the packing; tests/llm compares the stages with brute force.
+#: SQL can express neither the trained model nor the packing; tests/llm/test_pipeline.py compares each stage with a brute-force version on its own input.
 ORACLE_SQL = None
 
 
