@@ -17,7 +17,8 @@ only suffixes that start at anchors (about one in 85 bytes) need sorting.
    bytes before the key repeats if another one lies within the same run of neighbours that agree
    in ``length`` - d bytes, and within the same run of d bytes backwards.
 3. Splitters may part a run, however many suffixes share it. The strings of the runs that touch an end
-   of a bucket are carried on by their hashes and compared with those of other buckets.
+   of a bucket are carried on by their hashes, some neighbouring ones in a row with the hash of what they have in
+   common; those whose common part another bucket has too are compared one by one.
 4. Spans are merged per document and cut from its bytes.
 """
 
@@ -272,12 +273,24 @@ def _spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(x[0]), int(x[-1]) + length) for x in np.split(starts, cut)]
 
 
+def _hashes(raw: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the strings of one length that begin at the given places."""
+    p, q = C.powers(len(raw) + 1)
+    c = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[raw] * p[: len(raw)])])
+    return C.mix((c[start + length] - c[start]) * q[start])
+
+
 def _compare(length: int):
-    """Sorts a bucket. Rows with spans are repeats within it; rows with a hash are strings for the comparison across buckets."""
-    names = ["key", "ctx", "rel", "h", "s", "twice"]
+    """Sorts a bucket. Rows with spans are repeats within it; rows with strings are for the comparison across buckets: up to
+    `step` neighbouring strings of a suffix, and the hash of what all of them hold, without which none can be equal to another's."""
+    names = ["key", "ctx", "rel", "part", "common", "strings"]
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+    string = pa.list_(pa.struct([("h", pa.int64()), ("s", pa.int32()), ("twice", pa.bool_())]))
+    step = max(1, min(16, length // 4))
 
     def run(batches):
+        from pyspark import TaskContext
+
         held: list[list] = [[], [], [], []]
         for batch in batches:
             for col, x in zip(held, batch.columns):
@@ -294,25 +307,34 @@ def _compare(length: int):
         rel = [[{"s": a, "e": z} for a, z in _spans(part, length)] for part in np.split(start, cut[1:])] if len(row) else []
         who = row[cut]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[i] for i in who], pa.int64()), pa.array([ctx[i] for i in who], pa.int64()), pa.array(rel, span), pa.nulls(len(who), pa.int64()), pa.nulls(len(who), pa.int32()), pa.nulls(len(who), pa.bool_())], names
+            [pa.array([key[i] for i in who], pa.int64()), pa.array([ctx[i] for i in who], pa.int64()), pa.array(rel, span), pa.nulls(len(who), pa.int32()), pa.nulls(len(who), pa.int64()), pa.nulls(len(who), string)], names
         )
-        o = np.argsort(e_row, kind="stable")
+        o = np.lexsort((e_d, e_row))
         e_row, e_d, twice = e_row[o], e_d[o], twice[o]
-        for part in np.array_split(np.arange(len(e_row)), 1 + len(e_row) // 200_000):
-            h = np.zeros(len(part), U64)
-            edges = np.flatnonzero(np.diff(e_row[part], prepend=-1))
-            for at in np.split(np.arange(len(part)), edges[1:]) if len(part) else ():  # the strings of one row
-                i = e_row[part[at[0]]]
-                raw = np.frombuffer(before[i][::-1] + suffixes[i], np.uint8)
-                p, q = C.powers(len(raw) + 1)
-                c = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[raw] * p[: len(raw)])])
-                s = pre[i] - e_d[part[at]]
-                h[at] = C.mix((c[s + length] - c[s]) * q[s])
-            own = e_row[part]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key[i] for i in own], pa.int64()), pa.array([ctx[i] for i in own], pa.int64()), pa.nulls(len(own), span), pa.array(C.as_long(h)), pa.array((pre[own] - e_d[part]).astype(np.int32)), pa.array(twice[part].astype(bool))], names
+        rows: list[list] = [[], [], [], []]
+
+        def out():
+            keys, ctxs, common, strings = rows
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(ctxs, pa.int64()), pa.nulls(len(keys), span), pa.array([TaskContext.get().partitionId()] * len(keys), pa.int32()), pa.array(common, pa.int64()), pa.array(strings, string)], names
             )
 
+        for at in np.split(np.arange(len(e_row)), np.flatnonzero(np.diff(e_row, prepend=-1))[1:]) if len(e_row) else ():  # the strings of one suffix
+            i = int(e_row[at[0]])
+            raw = np.frombuffer(before[i][::-1] + suffixes[i], np.uint8)
+            s = pre[i] - e_d[at]
+            h = C.as_long(_hashes(raw, s, length))
+            first = e_d[at] // step * step
+            heads = np.flatnonzero(np.diff(first, prepend=-1))
+            common = C.as_long(_hashes(raw, pre[i] - first[heads], length - step + 1))
+            for g, z in zip(np.split(np.arange(len(at)), heads[1:]), common.tolist()):
+                for col, v in zip(rows, (key[i], ctx[i], z, [{"h": int(h[j]), "s": int(s[j]), "twice": bool(twice[at[j]])} for j in g])):
+                    col.append(v)
+            if len(rows[0]) > 20_000:
+                yield out()
+                rows = [[], [], [], []]
+        yield out()
+
     return run
 
 
@@ -373,13 +395,15 @@ def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     want = shared.where("mixed").select("key", "ctx", "one.*")
     want = C.materialize(want.groupBy(F.col("doc_id").alias("d"), F.col("fp").alias("f")).agg(F.collect_list(F.struct("key", "ctx", "side", "at", "lo", "hi")).alias("wants")), "wants")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))
-    held = C.among(long_enough, want.select(F.col("d").alias("doc_id"), F.col("f").alias("fp"))).where("maybe").join(want, same).dropDuplicates(["doc_id", "fp"]).select("text", "wants")
+    held = C.among(long_enough, want.select(F.col("d").alias("doc_id"), F.col("f").alias("fp"))).where("maybe").join(want, same).select("text", "wants")  # rows that repeat a text bring a context twice: harmless, it counts as whole
     suffixes = C.materialize(held.mapInArrow(_context_map(length, gram), "key long, ctx long, suffix binary, before binary"), "suffixes")
     parts = max(C.shuffle_partitions(spark), -(-suffixes.count() // bucket))
     ranged = suffixes.repartitionByRange(parts, "suffix", "before").select("key", "ctx", "suffix", "before")
-    some = C.materialize(ranged.mapInArrow(_compare(length), "key long, ctx long, rel array<struct<s:int,e:int>>, h long, s int, twice boolean"), "compared")
-    # strings of runs that reach over an end of a bucket: one row for each bucket and string
+    some = C.materialize(ranged.mapInArrow(_compare(length), "key long, ctx long, rel array<struct<s:int,e:int>>, part int, common long, strings array<struct<h:long,s:int,twice:boolean>>"), "compared")
+    # strings of runs that reach over an end of a bucket, if another bucket has what they hold in common; one row for each bucket and string
     ends = some.where("rel is null")
+    held = ends.groupBy(F.col("common").alias("g")).agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("g")
+    ends = C.materialize(ends.join(held, F.col("common") == F.col("g")).select("key", "ctx", F.explode("strings").alias("x")).select("key", "ctx", "x.h", "x.s", "x.twice"), "ends")
     again = ends.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("n")).where("n > 1").select("g")
     over = ends.where("not twice").join(again, F.col("h") == F.col("g")).groupBy("key", "ctx").agg(F.collect_list(F.struct(F.col("s"), (F.col("s") + length).alias("e"))).alias("rel"))
     # contexts that occur twice repeat as a whole; of the others what a comparison found
