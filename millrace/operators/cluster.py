@@ -139,13 +139,21 @@ def merge_seeded(clusters: DataFrame, require: DataFrame, disallow: DataFrame |
     return clusters.join(label, "cluster", "left").select("id", F.coalesce("root", "cluster").alias("cluster"))
 
 
+def rounded(x, places: int = 9):
+    """Doubles rounded half away from zero as scaled doubles, which is what SQL's round does on them; F.round takes their shortest decimals instead, and halves then differ."""
+    scaled = F.abs(x) * float(10**places)
+    down = F.floor(scaled).cast("double")
+    # beyond 2^52 there are no fractions
+    return F.when(scaled < float(2**52), F.signum(x) * F.when(scaled - down >= 0.5, down + 1).otherwise(down) / float(10**places)).otherwise(x)
+
+
 def assign_incremental(distances: DataFrame, groups: DataFrame, eps: float = 0.5) -> DataFrame:
     """(id, cluster): new ids with the old cluster they join, NULL for none.
 
     distances: (id, cluster, d) of new ids to members of old clusters; groups: (id, grp), the new ids' own clusters. Means per id and
     cluster, then the mean of these over each group; the nearest cluster strictly within eps, ties to the smallest."""
     # rounded, so that the order in which doubles are summed decides no tie
-    mean = F.round(F.avg("d"), 9).alias("d")
+    mean = rounded(F.avg("d")).alias("d")
     per_id = distances.groupBy("id", "cluster").agg(mean)
     per_group = groups.join(per_id, "id").groupBy("grp", "cluster").agg(mean).where(F.col("d") < eps)
     best = per_group.groupBy("grp").agg(F.min(F.struct("d", "cluster")).alias("best")).select("grp", F.col("best.cluster").alias("cluster"))
