@@ -1,9 +1,12 @@
 """Queries whose pairs are counted and not made, against brute force and SQL on awkward rows."""
 
+from collections import Counter
+
 import duckdb
 from pyspark.sql import functions as F
 
 from millrace.operators import cluster as K
+from millrace.operators import pair_counts as C
 
 
 def test_incremental_halves_round_as_in_sql(spark):
@@ -22,3 +25,28 @@ def test_rounded_is_sql_round(spark):
     xs = [0.31666666649999997, 0.2666666665, -0.2666666665, 0.5, 1e300, -1.0000000005, 0.0, None]
     got = [r["x"] for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(K.rounded(F.col("x")).alias("x")).collect()]
     assert got == [duckdb.execute("select round(?::double, 9)", [x]).fetchone()[0] for x in xs]
+
+
+def people(spark, n=400, seed=5):
+    """Rows with equal keys, missing values and one large block."""
+    import random
+
+    r = random.Random(seed)
+    some = lambda *x: r.choice(x)
+    rows = [(some("x", "x", "x", "y", None), some(None, i, i, i, i // 2, i // 9) if i % 7 else i // 3, some("ann", "bob", "cy d", None), r.randrange(9), some(1990, 1991, 2003, None), some(1, 2, 3, 70, None)) for i in range(n)]
+    df = spark.createDataFrame(rows, "block string, sig long, name string, person int, year int, position int")
+    return df.repartition(7), [(p, q) for p in rows for q in rows if p[0] and p[0] == q[0] and p[1] is not None and q[1] is not None and p[1] < q[1]]
+
+
+def counted(df, *cols):
+    return {tuple(r[c] for c in cols): r["n"] for r in df.collect()}
+
+
+def test_sums_of_first(spark):
+    rows, pairs = people(spark)
+    want = {}
+    for p, _ in pairs:
+        n, t = want.get(p[0], (0, 0))
+        want[p[0]] = (n + 1, t + p[1] % 1000)
+    got = C.sums_of_first(rows.withColumn("v", F.col("sig") % 1000), "block", "sig", "v")
+    assert {r["block"]: (r["n"], r["total"]) for r in got.collect()} == want
