@@ -50,3 +50,15 @@ def test_sums_of_first(spark):
         want[p[0]] = (n + 1, t + p[1] % 1000)
     got = C.sums_of_first(rows.withColumn("v", F.col("sig") % 1000), "block", "sig", "v")
     assert {r["block"]: (r["n"], r["total"]) for r in got.collect()} == want
+
+
+def test_ordered_pairs(spark):
+    rows, pairs = people(spark)
+    want = Counter((p[0], p[4], q[4], p[5], q[5], p[2], q[2]) for p, q in pairs)
+    got = C.ordered_pairs(rows, "block", "sig", ["year", "position", "name"])
+    assert counted(got, "block", "year_a", "year_b", "position_a", "position_b", "name_a", "name_b") == want
+
+
+def test_pairs_of_one_hot_key(spark):
+    rows = spark.createDataFrame([("x", 1, i % 3) for i in range(300)] + [("x", 2, 5)], "block string, sig long, v int")
+    assert counted(C.ordered_pairs(rows, "block", "sig", ["v"]), "v_a", "v_b") == {(i, 5): 100 for i in range(3)}
