@@ -52,6 +52,13 @@ def test_sums_of_first(spark):
     assert {r["block"]: (r["n"], r["total"]) for r in got.collect()} == want
 
 
+def test_category_counts(spark):
+    rows, pairs = people(spark)
+    same = lambda x, y: "same" if x is not None and x == y else "different"
+    want = Counter((f"{same(p[2], q[2])}_name_{same(p[3], q[3])}_cluster",) for p, q in pairs)
+    assert counted(C.category_counts(rows, "block", "sig", "name", "person"), "category") == want
+
+
 def test_ordered_pairs(spark):
     rows, pairs = people(spark)
     want = Counter((p[0], p[4], q[4], p[5], q[5], p[2], q[2]) for p, q in pairs)
