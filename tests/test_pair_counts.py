@@ -69,3 +69,14 @@ def test_ordered_pairs(spark):
 def test_pairs_of_one_hot_key(spark):
     rows = spark.createDataFrame([("x", 1, i % 3) for i in range(300)] + [("x", 2, 5)], "block string, sig long, v int")
     assert counted(C.ordered_pairs(rows, "block", "sig", ["v"]), "v_a", "v_b") == {(i, 5): 100 for i in range(3)}
+
+
+def test_kinds_of_pairs(spark):
+    rows, pairs = people(spark)
+    want = Counter()
+    for p, q in pairs:
+        a, b = sorted(((p[2] or "", p[4] or 0), (q[2] or "", q[4] or 0)))
+        want[(p[0], (p[1] + q[1]) % 5 == 0, p[3] == q[3], *a, *b)] += 1
+    kinds = C.kinds_of_pairs(rows, "block", "sig", ["name", "year"], "person", 5).fillna("").fillna(0)
+    got = counted(kinds, "block", "disallowed", "equal", "name_a", "year_a", "name_b", "year_b")
+    assert got == want
