@@ -80,3 +80,18 @@ def test_kinds_of_pairs(spark):
     kinds = C.kinds_of_pairs(rows, "block", "sig", ["name", "year"], "person", 5).fillna("").fillna(0)
     got = counted(kinds, "block", "disallowed", "equal", "name_a", "year_a", "name_b", "year_b")
     assert got == want
+
+
+def test_shared_elements(spark):
+    import random
+
+    r = random.Random(3)
+    for letters, most in ((6, 17), (90, 17), (8, 3)):
+        rows = [(r.choice("xxy"), i if i % 5 else i // 3, r.sample(range(letters), r.randrange(0, 7))) for i in range(150)]
+        want = Counter()
+        for p in rows:
+            for q in rows:
+                if p[0] == q[0] and p[1] < q[1] and (n := len(set(p[2]) & set(q[2]))):
+                    want[(p[0], *sorted((len(p[2]), len(q[2]))), n)] += 1
+        df = spark.createDataFrame(rows, "block string, sig long, co array<int>")
+        assert counted(C.shared_elements(df, "block", "sig", "co", most), "block", "size_a", "size_b", "shared") == want
