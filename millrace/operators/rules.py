@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import lines as L
+from millrace.functions.text import let
 
 # Patterns, titles, questions and caps of the line rules.
 ENV = (r"os\.getenv\(\s*[\"']([A-Z0-9_]+)[\"']\s*,?", r"os\.environ\.get\(\s*[\"']([A-Z0-9_]+)[\"']\s*,?", r"os\.environ\[\s*[\"']([A-Z0-9_]+)[\"']\s*\]")
@@ -91,15 +92,18 @@ def _hits(rule: LineRule) -> Column:
         found = F.transform(lines, doc)
     elif rule.rule_id == "S1_VALIDATION":
 
-        def check(x, i):
-            following = F.get(F.filter(F.slice(lines, i + 2, F.greatest(n, F.lit(1))), lambda y: y.rlike(r"(?U)\S")), 0)
+        # blank lines hit nothing, so the line after a hit is the next of those that are not blank
+        solid = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(r"(?U)\S"))
+
+        def check(all_, s, k):
+            x, i, following = s["x"], s["i"], F.get(all_, k + 1)["x"]
             end = i + F.when(F.get(lines, i + 1).rlike(r"(?U)\S"), 2).otherwise(3)
             by_assert = x.rlike("(?U)" + ASSERT)
             by_if = x.rlike("(?U)" + IF) & F.coalesce(following.rlike(r"(?U)^\s*raise"), F.lit(False))
             condition = lambda p: F.regexp_replace(F.regexp_extract(x, "(?U)" + p, 1), r"(?U)^\s+|\s+$", "")
             return F.when(by_assert, _hit(i + 1, i + 1, condition(ASSERT), F.lit("validation_assert"))).when(by_if, _hit(i + 1, end, condition(IF), F.lit("validation_if_raise")))
 
-        found = F.transform(lines, check)
+        found = let(solid, lambda all_: F.transform(all_, lambda s, k: check(all_, s, k)))
     else:
 
         def plain(x, i):

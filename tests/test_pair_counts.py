@@ -5,8 +5,10 @@ from collections import Counter
 import duckdb
 from pyspark.sql import functions as F
 
+from millrace.functions import lines as L
 from millrace.operators import cluster as K
 from millrace.operators import pair_counts as C
+from millrace.operators import rules as R
 
 
 def test_incremental_halves_round_as_in_sql(spark):
@@ -95,3 +97,16 @@ def test_shared_elements(spark):
                     want[(p[0], *sorted((len(p[2]), len(q[2]))), n)] += 1
         df = spark.createDataFrame(rows, "block string, sig long, co array<int>")
         assert counted(C.shared_elements(df, "block", "sig", "co", most), "block", "size_a", "size_b", "shared") == want
+
+
+def test_validation_rule_is_linear_in_lines(spark):
+    import time
+
+    n = 40000
+    text = "\n".join(("if x is None:", "", "  raise ValueError(x)" if i % 2 else "  pass")[i % 3] for i in range(n))
+    files = L.with_lines(spark.createDataFrame([("f.py", text)], "path string, text string"))
+    t = time.time()
+    got = R.line_rule(files, next(r for r in R.RULES if r.rule_id == "S1_VALIDATION")).select("start_line", "end_line").collect()
+    assert time.time() - t < 20  # each line looked at all lines behind it
+    want = [(i + 1, i + 3) for i in range(0, n, 3) if i + 2 < n and (i + 2) % 2][:30]
+    assert [tuple(r) for r in got] == want
