@@ -162,3 +162,13 @@ def test_gram_scores_are_looked_up(spark, monkeypatch):
     assert len(few) > 0 and "FlatMapGroupsInArrow" in plan  # scores of types, not of pairs
     monkeypatch.setattr(Q, "_FEW_TYPES", 0)
     assert rows() == few
+
+
+def test_balanced_sample_with_sizes(spark):
+    pairs = spark.range(9000).selectExpr("id as a", "id + 1 as b", "case when id % 40 = 0 then 'few' else 'many' end as category")
+    want = {tuple(r) for r in N.balanced_sample(pairs, "category", 20, 7, "a", "b").collect()}
+    some = N.balanced_sample(pairs, "category", 20, 7, "a", "b", sizes={"few": 225, "many": 8775})
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in some.collect()} == want and "Range" not in plan
+    # told too many, so that too few hashes are small enough
+    assert {tuple(r) for r in N.balanced_sample(pairs, "category", 20, 7, "a", "b", sizes={"few": 225, "many": 10**9}).collect()} == want
