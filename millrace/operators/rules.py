@@ -22,6 +22,7 @@ DEF = r"^\s*(?:def|class)\s+([A-Za-z_][A-Za-z0-9_]*)\s*[\(:]"
 QUOTE = r"^\s*([\"']{3})"
 ASSERT = r"^\s*assert\s+(.+?)(?:,|$)"
 IF = r"^\s*if\s+(.+?)\s*:\s*$"
+HEAD = 16384  # lines of a long file that are looked at first
 
 
 @dataclass(frozen=True)
@@ -78,8 +79,18 @@ def _hit(line: Column, end: Column, name: Column, kind: Column) -> Column:
 
 
 def _hits(rule: LineRule) -> Column:
-    """Array of (line, end, name, kind) of a file's hits."""
+    """Array of (line, end, name, kind) of a file's hits, up to the rule's caps; with a cap, lines behind a head of the file are looked at only if the head has too few."""
+    most = min((c for c in (rule.per_file, rule.total) if c), default=0)
+    found = _found(rule)
+    if not most:
+        return found
+    return let(_found(rule, HEAD), lambda h: F.slice(F.when((F.size(h) >= most) | (F.col("n_lines") <= HEAD), h).otherwise(found), 1, most))
+
+
+def _found(rule: LineRule, head: int = 0) -> Column:
+    """All hits of a file, or those of its first lines; in a longer file without the last of these that is not blank, whose following line is not among them."""
     lines, n = F.col("lines"), F.col("n_lines")
+    first = F.slice(lines, 1, head) if head else lines
     kind = F.lit(rule.kind)
     if rule.rule_id == "S1_DOCSTRING_CONTRACT":
 
@@ -89,17 +100,19 @@ def _hits(rule: LineRule) -> Column:
             ok = x.rlike("(?U)" + DEF) & (i + 1 < n) & (quote != "") & (more > 0)
             return F.when(ok, _hit(i + 1, i + 2 + more, F.regexp_extract(x, "(?U)" + DEF, 1), kind))
 
-        found = F.transform(lines, doc)
+        found = F.transform(first, doc)
     elif rule.rule_id == "S1_VALIDATION":
 
         # blank lines hit nothing, so the line after a hit is the next of those that are not blank
-        solid = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(r"(?U)\S"))
+        solid = F.filter(F.transform(first, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(r"(?U)\S"))
 
         def check(all_, s, k):
             x, i, following = s["x"], s["i"], F.get(all_, k + 1)["x"]
             end = i + F.when(F.get(lines, i + 1).rlike(r"(?U)\S"), 2).otherwise(3)
             by_assert = x.rlike("(?U)" + ASSERT)
             by_if = x.rlike("(?U)" + IF) & F.coalesce(following.rlike(r"(?U)^\s*raise"), F.lit(False))
+            if head:
+                by_assert = by_assert & ((k + 1 < F.size(all_)) | (n <= head))
             condition = lambda p: F.regexp_replace(F.regexp_extract(x, "(?U)" + p, 1), r"(?U)^\s+|\s+$", "")
             return F.when(by_assert, _hit(i + 1, i + 1, condition(ASSERT), F.lit("validation_assert"))).when(by_if, _hit(i + 1, end, condition(IF), F.lit("validation_if_raise")))
 
@@ -114,9 +127,8 @@ def _hits(rule: LineRule) -> Column:
             name = _first_group(x, rule.pattern)
             return F.when(name.isNotNull(), _hit(i + 1, end, name, kind))
 
-        found = F.transform(lines, plain)
-    hits = F.filter(found, lambda h: h.isNotNull())
-    return F.slice(hits, 1, rule.per_file) if rule.per_file else hits
+        found = F.transform(first, plain)
+    return F.filter(found, lambda h: h.isNotNull())
 
 
 def evidence(path: Column, start: Column, end: Column, text: Column) -> Column:
@@ -144,18 +156,18 @@ def _drafts(rule: LineRule) -> Column:
 
     found = F.transform(_hits(rule), draft)
     if rule.tests_only:
-        found = F.when(F.contains(F.lower("path"), F.lit("test")), found).otherwise(F.slice(found, 1, 0))
+        found = F.when(F.contains(F.lower("path"), F.lit("test")), found).otherwise(F.array())
     return found
 
 
-def _flat(files: DataFrame, rules: list[LineRule]) -> DataFrame:
+def _flat(files: DataFrame, drafts: list[Column]) -> DataFrame:
     """All drafts of some rules: each file is read and split once, and its drafts are one array."""
-    return files.select(F.explode(F.concat(*(_drafts(r) for r in rules))).alias("d")).select("d.*")
+    return files.select(F.explode(F.concat(*drafts)).alias("d")).select("d.*")
 
 
 def line_rule(files: DataFrame, rule: LineRule) -> DataFrame:
     """Flat drafts of one rule over files (path, lines, n_lines)."""
-    rows = _flat(files, [rule])
+    rows = _flat(files, [_drafts(rule)])
     return rows.orderBy("path", "start_line").limit(rule.total) if rule.total else rows
 
 
@@ -167,19 +179,29 @@ def run_line_rules(files: DataFrame, rules: tuple[LineRule, ...] = RULES) -> Dat
     from pyspark.sql import Window
 
     files = L.with_lines(files)
-    able, parts = [], []
+    parts, made = [], []
     for rule in rules:
         try:
-            files.select(_drafts(rule)).schema  # made, but not run
-            able.append(rule)
+            made.append((rule, _drafts(rule)))
         except Exception as e:  # the other rules still run
             parts.append(error_row(files, rule, str(e)))
-    free, capped = [r for r in able if not r.total], [r for r in able if r.total]
+    able = made
+    try:
+        files.select(*(d for _, d in made)).schema  # all plans at once: made, but not run
+    except Exception:
+        able = []
+        for rule, drafts in made:
+            try:
+                files.select(drafts).schema
+                able.append((rule, drafts))
+            except Exception as e:
+                parts.append(error_row(files, rule, str(e)))
+    free, capped = [d for r, d in able if not r.total], [r for r, _ in able if r.total]
     if free:
         parts.append(_flat(files, free))
     if capped:
         caps = F.element_at(F.create_map(*(F.lit(x) for r in capped for x in (r.rule_id, r.total))), F.col("rule_id"))
-        rows = _flat(files, capped).withColumn("_r", F.row_number().over(Window.partitionBy("rule_id").orderBy("path", "start_line")))
+        rows = _flat(files, [d for r, d in able if r.total]).withColumn("_r", F.row_number().over(Window.partitionBy("rule_id").orderBy("path", "start_line")))
         parts.append(rows.where(F.col("_r") <= max(r.total for r in capped)).where(F.col("_r") <= caps).drop("_r"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -24,7 +24,7 @@ CODE_SQL = f"""code AS MATERIALIZED (SELECT path, line, text, count(*) OVER (PAR
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, text): forty source files."""
     rows = table(spark, sf_dir, "orders").select(F.expr(CODE_PATH).alias("path"), "o_orderkey", F.expr(CODE_LINE).alias("text"))
-    files = rows.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "text"))).alias("x"))
+    files = rows.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "text"))).alias("x"))
     return files.select("path", F.array_join("x.text", "\n").alias("text"))
 
 
